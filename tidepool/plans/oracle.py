@@ -76,6 +76,22 @@ STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 U16 = "(length(text) + length(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))"
 
 
+KMEANS_BASE = """with c0 as (
+  select list([value, cast(user_id as double)] order by event_id) as cs
+  from (select event_id, value, user_id from events order by event_id limit 5)),
+a0 as (
+  select event_id, value, user_id,
+    list_transform((select cs from c0),
+      lambda c: (c[1] - value) * (c[1] - value) + (c[2] - user_id) * (c[2] - user_id)) as dd
+  from events),
+a1 as (
+  select event_id, value, user_id, cast(list_position(dd, list_min(dd)) - 1 as integer) as cluster
+  from a0)"""
+
+REG_BASE = """with reg as (
+  select l_orderkey, l_linenumber, l_extendedprice / 1000 as y, l_quantity as x from lineitem)"""
+
+
 def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
@@ -228,4 +244,54 @@ select ip, cast(floor(epoch(min(ts))) as bigint) as session_start,
   cast(floor(epoch(max(ts) + interval 30 minutes)) as bigint) as session_end,
   count(*) as requests
 from s group by ip, sid""",
+
+    "vector_parse": """
+select event_id, 2 as dim, value as f0, cast(user_id as double) as f1 from events""",
+
+    "labeled_point_parse": """
+select event_id, 'tuple' as form, cast(event_id % 5 as double) as label, value as f0,
+  cast(user_id as double) as f1, true as parse_ok
+from events
+union all
+select event_id, 'legacy' as form, cast(event_id % 5 as double) as label, value as f0,
+  cast(user_id as double) as f1, true as parse_ok
+from events""",
+
+    "kmeans_step": KMEANS_BASE + """
+select cluster, count(*) as n, round(sum(value) / count(*), 6) as c_0,
+  round(sum(cast(user_id as double)) / count(*), 6) as c_1
+from a1 group by cluster""",
+
+    "kmeans_predict": KMEANS_BASE + """,
+u as (
+  select cluster, count(*) as m, sum(value) as s0, sum(cast(user_id as double)) as s1
+  from a1 group by cluster),
+old as (
+  select unnest(cs) as c, unnest(range(0, len(cs))) as i from c0),
+c1 as (
+  select list([case when u.m is null then old.c[1] else (1.0 / u.m) * u.s0 end,
+               case when u.m is null then old.c[2] else (1.0 / u.m) * u.s1 end] order by old.i) as cs
+  from old left join u on u.cluster = old.i),
+a2 as (
+  select event_id, cast(event_id % 5 as integer) as label,
+    list_transform((select cs from c1),
+      lambda c: (c[1] - value) * (c[1] - value) + (c[2] - user_id) * (c[2] - user_id)) as dd
+  from events)
+select event_id, label, cast(list_position(dd, list_min(dd)) - 1 as integer) as cluster from a2""",
+
+    "linreg_moments": REG_BASE + """
+select count(*) as n, round(sum(y * y), 2) as yy, round(sum(x * y), 2) as h_0,
+  round(sum(x * x), 2) as g_0_0, round(sum(x), 2) as g_0_1, round(sum(y), 2) as h_1,
+  round(cast(count(*) as double), 2) as g_1_1
+from reg""",
+
+    "linreg_fit": REG_BASE + """
+select count(*) as n, round(regr_slope(y, x), 6) as slope, round(regr_intercept(y, x), 6) as intercept
+from reg""",
+
+    "linreg_predict": REG_BASE + """,
+fit as (select regr_slope(y, x) as a, regr_intercept(y, x) as b from reg)
+select l_orderkey, l_linenumber, cast(trunc(y) as integer) as label,
+  round((select b from fit) + (select a from fit) * x, 6) as prediction
+from reg""",
 }

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import accesslog as al
 from tidepool.functions import text as tx
-from tidepool.operators import alarm, batches, sessions, textstats, windows
+from tidepool.functions.vectors import parse_labeled_point, parse_vector
+from tidepool.operators import alarm, batches, kmeans, linreg, sessions, textstats, windows
 from tidepool.sources import fixtures as fx
 
 TOP_K = 10
@@ -164,6 +165,116 @@ def session_gap30(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.gap_sessions(visits, "ip", "ts", sessions.SESSION_GAP)
 
 
+# ---------------------------------------------------------------- text forms
+def vector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ9: ``[a,b]`` lines back to numbers."""
+    v = fx.vector_lines(spark, sf_dir).select("event_id", parse_vector("line").alias("f"))
+    return v.select("event_id", F.size("f").alias("dim"), F.col("f")[0].alias("f0"),
+                    F.col("f")[1].alias("f1"))
+
+
+def labeled_point_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ10: ``(label,[a,b])`` and legacy ``label,a b`` lines back to numbers."""
+    lp = fx.labeled_point_lines(spark, sf_dir)
+    tuple_form = lp.select("event_id", F.lit("tuple").alias("form"), "line")
+    legacy_form = lp.select(
+        "event_id", F.lit("legacy").alias("form"),
+        F.concat((F.col("event_id") % 5).cast("string"), F.lit(","), F.col("value").cast("string"),
+                 F.lit(" "), F.col("user_id").cast("string")).alias("line"))
+    parsed = tuple_form.unionByName(legacy_form).select(
+        "event_id", "form", parse_labeled_point("line").alias("p"))
+    return parsed.select("event_id", "form", "p.label", F.col("p.features")[0].alias("f0"),
+                         F.col("p.features")[1].alias("f1"), "p.parse_ok")
+
+
+# ------------------------------------------------------------------- k-means
+KMEANS_DIGITS = 6
+
+
+def _kmeans_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fx.table(spark, sf_dir, "events")
+    return ev.select("event_id", "ts", (F.col("event_id") % 5).cast("int").alias("label"),
+                     F.array(F.col("value").cast("double"),
+                             F.col("user_id").cast("double")).alias("features"))
+
+
+def _first_centres(df: DataFrame, k: int) -> list[list[float]]:
+    """Fixed start: the features of the k lowest event ids (k rows to the driver)."""
+    rows = df.orderBy("event_id").limit(k).select("features").collect()
+    return [list(r["features"]) for r in rows]
+
+
+def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1: one streaming k-means update from zero-weight centres (= cluster means)."""
+    df = _kmeans_input(spark, sf_dir)
+    centres = _first_centres(df, kmeans.K)
+    out = kmeans.batch_centres(df, "features", centres)
+    return out.select("cluster", "n", *[F.round(f"c_{i}", KMEANS_DIGITS).alias(f"c_{i}")
+                                        for i in range(kmeans.DIM)])
+
+
+def kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML2: (label, cluster) for every point after the update."""
+    df = _kmeans_input(spark, sf_dir)
+    model = kmeans.StreamingKMeansModel.given(_first_centres(df, kmeans.K))
+    model.train_batch(df, "features")
+    return model.predict(df, "features").select("event_id", "label", "cluster")
+
+
+def kmeans_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1 over daily batches in order; the model after every batch."""
+    from tidepool.streaming.ml import kmeans_replay
+    df = batches.with_batch(_kmeans_input(spark, sf_dir), "ts", BATCH_EVERY)
+    model = kmeans.StreamingKMeansModel.given(_first_centres(df, kmeans.K))
+    return kmeans_replay(df, "features", "batch_id", model)
+
+
+# ---------------------------------------------------------------- regression
+REG_DIGITS = 6
+
+
+def _regression_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = fx.table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_shipdate",
+                     (F.col("l_extendedprice") / 1000).alias("y"), F.col("l_quantity").alias("x"))
+
+
+def linreg_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML3 building block: the batch moments (n, sums of y^2, x*y, y, x^2, x, 1)."""
+    m = linreg.regression_moments(_regression_input(spark, sf_dir), "y", ["x"])
+    return m.select(*[F.round(c, 2).alias(c) if c != "n" else F.col(c) for c in m.columns])
+
+
+def linreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML5: least-squares slope and intercept (what SGD converges to)."""
+    r = _regression_input(spark, sf_dir)
+    return r.agg(F.count(F.lit(1)).alias("n"),
+                 F.round(F.regr_slope("y", "x"), REG_DIGITS).alias("slope"),
+                 F.round(F.regr_intercept("y", "x"), REG_DIGITS).alias("intercept"))
+
+
+def linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML4: (label truncated to int, prediction) per row with the fitted model."""
+    r = _regression_input(spark, sf_dir)
+    fit = r.agg(F.regr_slope("y", "x").alias("a"), F.regr_intercept("y", "x").alias("b")).first()
+    pred = F.lit(fit["b"]) + F.lit(fit["a"]) * F.col("x")
+    return r.select("l_orderkey", "l_linenumber", F.col("y").cast("int").alias("label"),
+                    F.round(pred, REG_DIGITS).alias("prediction"))
+
+
+def linreg_sgd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML3: streaming SGD over yearly batches of lineitem (ship date order).
+
+    The feature is standardized first (the step size assumes unit scale).
+    """
+    from tidepool.streaming.ml import linreg_replay
+    r = _regression_input(spark, sf_dir)
+    stats = r.agg(F.avg("x").alias("mu"), F.stddev_pop("x").alias("sd")).first()
+    r = r.withColumn("xs", (F.col("x") - F.lit(stats["mu"])) / F.lit(stats["sd"] or 1.0))
+    r = batches.with_batch(r, "l_shipdate", "365 days")
+    return linreg_replay(r, "y", ["xs"], "batch_id", linreg.StreamingLinearModel.zeros(1))
+
+
 QUERIES = {
     "log_parse_records": log_parse_records,
     "log_url_strict_counts": log_url_strict_counts,
@@ -183,4 +294,13 @@ QUERIES = {
     "saved_rows_running_total": saved_rows_running_total,
     "session_first10": session_first10,
     "session_gap30": session_gap30,
+    "vector_parse": vector_parse,
+    "labeled_point_parse": labeled_point_parse,
+    "kmeans_step": kmeans_step,
+    "kmeans_predict": kmeans_predict,
+    "kmeans_stream": kmeans_stream,
+    "linreg_moments": linreg_moments,
+    "linreg_fit": linreg_fit,
+    "linreg_predict": linreg_predict,
+    "linreg_sgd_stream": linreg_sgd_stream,
 }
