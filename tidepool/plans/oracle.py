@@ -124,6 +124,18 @@ def _topk(src: str, key: str, window: int, slide: int, k: int = 10) -> str:
 where rank <= {k}"""
 
 
+def _wcounts(src: str, key: str, window: int, slide: int) -> str:
+    """Counts per (window, key) for windows [start, start + window) every slide."""
+    copies = window // slide
+    return f"""select window_start, window_start + {window} as window_end, {key}, n from (
+  select window_start, {key}, cast(sum(n) as bigint) as n from (
+    select {key}, b - k * {slide} as window_start, n from (
+      select {key}, b, n, unnest(range(0, {copies})) as k from (
+        select {key}, cast(floor(epoch(ts) / {slide}) as bigint) * {slide} as b, count(*) as n
+        from {src} group by 1, 2)))
+  group by window_start, {key})"""
+
+
 def _alarm_state(s: str, f: str) -> str:
     return (f"case when {s} + {f} <= 100 then 'quiet' when {f} > 0.5 * {s} then 'alarm' "
             f"else 'ok' end")
@@ -294,4 +306,25 @@ fit as (select regr_slope(y, x) as a, regr_intercept(y, x) as b from reg)
 select l_orderkey, l_linenumber, cast(trunc(y) as integer) as label,
   round((select b from fit) + (select a from fit) * x, 6) as prediction
 from reg""",
+
+    "stream_url_window_counts": _with(LOGS, PARSED, "u as (select ts, url_strict as url from r)")
+    + _wcounts("u", "url", 86400, 3600),
+
+    "stream_session_first10": None,  # filled below: same as the batch twin
+
+    "stream_agent_batch_counts": _with(LOGS, PARSED) + """
+select cast(0 as bigint) as batch_id, agent_row as agent, count(*) as total from r group by 2""",
+
+    "sink_json_roundtrip": _with(LOGS, PARSED) + """
+select event_id, url_loose as url, status_code as status, agent_row as agent from r""",
+
+    "sink_text_roundtrip": _with(STATUSES) + """
+select text as value from statuses""",
+
+    "sink_upsert": _with(LOGS, PARSED, """v as (
+  select ip_row as ip, url_loose as url, status_code as status, agent_row as user_agent, event_id,
+    row_number() over (partition by ip_row, url_loose order by ts desc, event_id desc) as rn
+  from r)""") + """
+select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
+ORACLE["stream_session_first10"] = ORACLE["session_first10"]

@@ -304,3 +304,7 @@ QUERIES = {
     "linreg_predict": linreg_predict,
     "linreg_sgd_stream": linreg_sgd_stream,
 }
+
+from tidepool.plans.streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)
