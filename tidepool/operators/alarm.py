@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.accesslog import status_class, status_code
+from tidepool.functions.accesslog import parse_log, status_class, status_code
 from tidepool.operators.windows import sliding_sums, window_sums
 
 # --- fixed values (the reference's alarm rule) -------------------------------
@@ -30,10 +30,14 @@ def alarm_state(success: Column, failure: Column, min_total: int = MIN_TOTAL,
              .otherwise(F.lit("ok")))
 
 
-def _class_measures(df: DataFrame, line: str | None, cls: str | None):
-    klass = F.col(cls) if cls else status_class(status_code(line))
-    return {"success": (klass == "Success").cast("int"),
-            "failure": (klass == "Failure").cast("int")}
+def _with_class(df: DataFrame, line: str | None, cls: str | None):
+    """Input with a status-class column and the two conditional measures."""
+    if cls is None:
+        df = parse_log(df, line).withColumn("_class", status_class(status_code("log")))
+        cls = "_class"
+    klass = F.col(cls)
+    return df, {"success": (klass == "Success").cast("int"),
+                "failure": (klass == "Failure").cast("int")}
 
 
 def error_rate_alarm(df: DataFrame, line: str | None = "line", class_col: str | None = None,
@@ -44,7 +48,7 @@ def error_rate_alarm(df: DataFrame, line: str | None = "line", class_col: str |
     Input is either raw log lines (``line``) or an existing status-class column.
     The class counts are conditional sums in one aggregation, never collected.
     """
-    m = _class_measures(df, line, class_col)
+    df, m = _with_class(df, line, class_col)
     w = window_sums(df, None, m, time_col, window, slide)
     return w.select("window_start", "window_end", "success", "failure",
                     alarm_state(F.col("success"), F.col("failure"), min_total, ratio).alias("state"))
@@ -58,7 +62,7 @@ def error_rate_alarm_ticks(df: DataFrame, line: str | None = "line", class_col:
     ``(tick, success, failure, state)``; the value at ``tick`` holds until the
     next row. This is the reference's 300 s / 1 s setting at any data volume.
     """
-    m = _class_measures(df, line, class_col)
+    df, m = _with_class(df, line, class_col)
     s = sliding_sums(df, None, m, time_col, window, tick, keep_zero=True)
     return s.select("tick", "success", "failure",
                     alarm_state(F.col("success"), F.col("failure"), min_total, ratio).alias("state"))

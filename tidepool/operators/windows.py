@@ -87,10 +87,16 @@ def sliding_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = No
     # fields as equal, so NULL keys survive the join, and both sides keep a
     # plain hash partitioning on it (the big side is not shuffled again).
     deltas = deltas.withColumn("_seg", F.struct(*[F.col(k) for k in keys], F.col("_period")))
-    within = Window.partitionBy("_seg").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
-    local = deltas.select("_seg", "tick", *[F.sum(k).over(within).alias(k) for k in names])
-
-    totals = deltas.groupBy("_seg").agg(*[F.sum(k).alias(k) for k in names])
+    within = Window.partitionBy("_seg").orderBy("tick")
+    running = within.rowsBetween(Window.unboundedPreceding, 0)
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # running sums and the segment's total in ONE window pass over the deltas
+    local = deltas.select("_seg", "tick",
+                          *[F.sum(k).over(running).alias(k) for k in names],
+                          *[F.sum(k).over(whole).alias(f"_t_{k}") for k in names])
+
+    # one row per segment; already partitioned by _seg, so no shuffle here
+    totals = local.groupBy("_seg").agg(*[F.max(f"_t_{k}").alias(k) for k in names])
     before = (Window.partitionBy(*[F.col("_seg")[k] for k in keys]).orderBy(F.col("_seg._period"))
               .rowsBetween(Window.unboundedPreceding, -1))
     carried = totals.select("_seg", *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"_c_{k}")

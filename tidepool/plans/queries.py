@@ -31,36 +31,33 @@ BATCH_EVERY = "1 day"
 # ---------------------------------------------------------------- log parsing
 def log_parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ1, PRJ4-PRJ6: every line parsed; row projection plus raw groups."""
-    logs = fx.logs(spark, sf_dir)
-    line = "line"
-    m = al.log_matches(line)
-    return logs.select(
+    p = al.parse_log(fx.logs(spark, sf_dir), "line")
+    return p.select(
         "event_id",
-        m.alias("matched"),
-        F.when(m, al.log_group(line, "ip")).otherwise(F.lit(al.UNMATCHED_LABEL)).alias("ip"),
-        al.url_loose(line).alias("url"),
-        al.status_code(line).alias("status"),
-        F.when(m, al.log_group(line, "agent")).otherwise(F.lit(al.UNMATCHED_LABEL)).alias("user_agent"),
-        al.log_group(line, "client").alias("client"),
-        al.log_group(line, "user").alias("user_name"),
-        al.log_group(line, "datetime").alias("log_time"),
-        al.log_group(line, "request").alias("request"),
-        al.log_group(line, "bytes").alias("bytes"),
-        al.log_group(line, "referer").alias("referer"),
+        F.col("log.matched").alias("matched"),
+        al.matched_or("log", "ip").alias("ip"),
+        al.url_loose().alias("url"),
+        al.status_code().alias("status"),
+        al.matched_or("log", "agent").alias("user_agent"),
+        F.col("log.client").alias("client"),
+        F.col("log.user").alias("user_name"),
+        F.col("log.datetime").alias("log_time"),
+        F.col("log.request").alias("request"),
+        F.col("log.bytes").alias("bytes"),
+        F.col("log.referer").alias("referer"),
     )
 
 
 def log_url_strict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ2: strict url (3-token requests only) counted over all lines."""
-    logs = fx.logs(spark, sf_dir)
-    return logs.groupBy(al.url_strict("line").alias("url")).agg(F.count(F.lit(1)).alias("n"))
+    urls = al.to_strict_urls(fx.logs(spark, sf_dir), "line")
+    return urls.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
 
 
 def log_url_leak_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ3: as PRJ2 but a bad request becomes the key ``()``."""
-    logs = fx.logs(spark, sf_dir)
-    return (logs.groupBy(al.url_strict("line", bad_request_label=al.LEAK_LABEL).alias("url"))
-                .agg(F.count(F.lit(1)).alias("n")))
+    urls = al.to_strict_urls(fx.logs(spark, sf_dir), "line", bad_request_label=al.LEAK_LABEL)
+    return urls.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
 
 
 def log_status_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,21 +70,20 @@ def log_status_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ sliding windows
 def url_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1 + PRJ16: strict-url counts over 300 s, every second, as a step function."""
-    logs = fx.logs(spark, sf_dir).select("ts", al.url_strict("line").alias("url"))
+    logs = al.to_strict_urls(fx.logs(spark, sf_dir), "line", keep=("ts",))
     return windows.sliding_counts(logs, "url", "ts", REF_WINDOW, REF_TICK, keep_zero=True)
 
 
 def url_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT1/SRT2: top 10 strict urls per sliding window."""
-    logs = fx.logs(spark, sf_dir).select("ts", al.url_strict("line").alias("url"))
+    logs = al.to_strict_urls(fx.logs(spark, sf_dir), "line", keep=("ts",))
     counts = windows.window_counts(logs, "url", "ts", TOPK_WINDOW, TOPK_SLIDE)
     return windows.top_k(counts, TOP_K, ["window_start", "window_end"], "n", "url")
 
 
 def status_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG2: count by status class over 300 s every second; zero counts dropped."""
-    logs = fx.logs(spark, sf_dir)
-    cls = logs.select("ts", al.status_class(al.status_code("line")).alias("status_class"))
+    cls = al.to_status_classes(fx.logs(spark, sf_dir), "line", keep=("ts",))
     return windows.sliding_counts(cls, "status_class", "ts", REF_WINDOW, REF_TICK, keep_zero=False)
 
 

@@ -57,7 +57,7 @@ def _upsert_by_batch(table: sinks.UpsertTable):
 
 def stream_url_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming ``window()`` counts in update mode, upserted per (window, url)."""
-    logs = _log_stream(spark, sf_dir).select("ts", al.url_strict("line").alias("url"))
+    logs = al.to_strict_urls(_log_stream(spark, sf_dir), "line", keep=("ts",))
     counts = windows.stream_window_counts(logs, "url", "ts", STREAM_WINDOW, STREAM_SLIDE, WATERMARK)
     table = sinks.UpsertTable(shared_dir(spark, "stream-url-window"),
                               ["window_start", "window_end", "url"], ["_batch"])
