@@ -22,3 +22,12 @@ def epoch_seconds(ts) -> Column:
 def from_epoch_seconds(sec) -> Column:
     """Inverse of :func:`epoch_seconds` as ``TIMESTAMP_NTZ`` (zone-free)."""
     return F.timestamp_seconds(_col(sec)).cast("timestamp_ntz")
+
+
+def epoch_micros(ts, ntz: bool = True) -> Column:
+    """Microseconds since the epoch; ``ntz`` tells how to read the column."""
+    c = _col(ts)
+    if not ntz:
+        return F.unix_micros(c)
+    frac = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint") % 1_000_000
+    return F.unix_timestamp(c) * 1_000_000 + frac

@@ -8,8 +8,8 @@ so every map task forwards at most ``n`` rows per key. No key's full history
 is ever gathered, so a client holding a third of all requests costs the same
 as any other.
 
-``gap_sessions``: idle-gap sessions through ``session_window`` (sessions are
-merged within each map task before the shuffle).
+``gap_sessions``: idle-gap sessions through ``session_window`` in two passes
+(per key and hour, then across hours), so no key's rows meet in one task.
 """
 
 from __future__ import annotations
@@ -47,13 +47,27 @@ def session_first_clicks(visits: DataFrame, key: str = "ip", item: str = "url",
 
 
 def gap_sessions(visits: DataFrame, key: str = "ip", time_col: str = "ts",
-                 gap: str = SESSION_GAP) -> DataFrame:
+                 gap: str = SESSION_GAP, bucket: str = "1 hour") -> DataFrame:
     """``(key, session_start, session_end, requests)``; times in epoch seconds.
 
     A session ends ``gap`` after its last request (``session_window``'s end).
+    Two passes keep a hot key from landing in one task: sessions are first
+    built per (key, time bucket), then the partial sessions are merged per key
+    with ``session_window`` again, each one carrying its own length as the gap
+    so touching or overlapping pieces join. Interval union is associative, so
+    the result equals one pass over all rows; pass two only sees the partial
+    sessions, at most one or two per key and bucket.
     """
-    s = F.session_window(time_col, gap)
-    return (visits.groupBy(key, s.alias("s"))
-                  .agg(F.count(F.lit(1)).alias("requests"))
-                  .select(key, epoch_seconds("s.start").alias("session_start"),
-                          epoch_seconds("s.end").alias("session_end"), "requests"))
+    from tidepool.functions.timecols import epoch_micros
+    from tidepool.operators.windows import parse_seconds
+
+    ntz = dict(visits.dtypes)[time_col] == "timestamp_ntz"
+    b = F.floor(epoch_seconds(time_col) / parse_seconds(bucket))
+    parts = (visits.groupBy(key, b.alias("_b"), F.session_window(time_col, gap).alias("s"))
+                   .agg(F.count(F.lit(1)).alias("_n"))
+                   .select(key, F.col("s.start").alias("_s"), F.col("s.end").alias("_e"), "_n"))
+    dur = ((epoch_micros("_e", ntz) - epoch_micros("_s", ntz)) / 1_000_000).cast("decimal(18,6)")
+    merged = (parts.groupBy(key, F.session_window("_s", F.make_interval(secs=dur)).alias("s"))
+                   .agg(F.sum("_n").alias("requests")))
+    return merged.select(key, epoch_seconds("s.start").alias("session_start"),
+                         epoch_seconds("s.end").alias("session_end"), "requests")

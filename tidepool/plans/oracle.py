@@ -245,7 +245,7 @@ from v group by ip""",
 g as (
   select ip, ts, event_id,
     case when lag(ts) over (partition by ip order by ts, event_id) is null
-           or ts - lag(ts) over (partition by ip order by ts, event_id) >= interval 30 minutes
+           or ts - lag(ts) over (partition by ip order by ts, event_id) > interval 30 minutes
          then 1 else 0 end as brk
   from v),
 s as (
