@@ -74,3 +74,12 @@ def test_hashtag_counts_match_python(spark):
         parts = r["text"].rstrip(" ").split(" ")
         expect.update(p for p in parts if p.startswith("#"))
     assert tags == expect
+
+
+def test_sliding_halo_at_every_boundary(spark):
+    """Period as short as the window: every boundary needs halo rows."""
+    ev = _events(spark)
+    a = windows.sliding_sums(ev, "key", None, "ts", "2 hours", "1 second", period="2 hours")
+    b = windows.sliding_sums(ev, "key", None, "ts", "2 hours", "1 second", period="365 days")
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

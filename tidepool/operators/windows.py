@@ -2,11 +2,11 @@
 
 Two batch forms, both exact:
 
-``sliding_sums`` (the +/- delta form): the relational image of an invertible
-window reduce. Each row adds ``+v`` at its tick and ``-v`` one window later;
-a running sum per key over ticks is the windowed value, as a step function
-(one row per key and tick where the value changes). Output size is bounded by
-twice the number of distinct (key, tick) pairs, however long the window is.
+``sliding_sums`` (the step-function form): the relational image of an
+invertible window reduce. The value changes only where a row arrives (its
+tick) or leaves (one window later); the windowed value at each such tick is a
+RANGE-frame sum over per-(key, tick) counts. Output size is bounded by twice
+the number of distinct (key, tick) pairs, however long the window is.
 
 ``window_counts``: one row per (window, key), equal to Spark's
 ``window(ts, W, S)``. Rows are first counted per slide bucket (a tumbling
@@ -14,10 +14,10 @@ pre-aggregate with map-side combine), and only those counts are copied into
 the ``W/S`` windows that contain the bucket, so the copy factor applies to
 distinct (bucket, key) pairs, not to raw rows.
 
-Skew: a running sum ordered by tick is one task per partition key, so the
-step-function form partitions by (key, period) -- a day by default -- and adds
-each period's carried total from a small per-(key, period) table. A key that
-holds a third of all rows is then split into as many tasks as it has periods.
+Skew: a frame ordered by tick is one task per partition key, so the
+step-function form partitions by (key, period) -- a day by default -- and
+copies the last window of each period into the next one (halo rows). A key
+that holds a third of all rows is split into as many tasks as it has periods.
 """
 
 from __future__ import annotations
@@ -52,59 +52,62 @@ def parse_seconds(d) -> int:
 def sliding_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = None,
                  time_col: str = "ts", window="300 seconds", tick="1 second",
                  period="1 day", keep_zero: bool = True) -> DataFrame:
-    """Windowed sums as a step function per key (the +/- delta form).
+    """Windowed sums as a step function per key.
 
     Output ``(*keys, tick, *measures)``: value of each measure over ticks
     ``(tick - window, tick]``, i.e. for rows with ``floor(t / tick_len) * tick_len``
     in that range. ``tick`` is epoch seconds of the tick start. A row appears
-    wherever some measure changes; with ``keep_zero`` a key that leaves the
-    window keeps a final all-zero row (as an add/subtract reduce without a
-    filter function does), otherwise all-zero rows are dropped.
+    wherever some measure changes (a row arrives or leaves the window); with
+    ``keep_zero`` a key that leaves the window keeps a final all-zero row (as an
+    add/subtract reduce without a filter function does), otherwise all-zero
+    rows are dropped.
+
+    Plan: (1) one aggregate per (key, tick) with map-side combine, fed with each
+    row's measures at its tick and a zero "probe" at tick + window, where the
+    value drops; (2) one shuffle by (key, period) -- counts from the last
+    ``window`` of a period are copied into the next period as halo rows -- and
+    a RANGE-frame sum over the window. A key with a third of all rows is split
+    into one task per period; no join, no per-key ordering.
     """
     keys = _keys(keys)
     measures = dict(measures or {"n": F.lit(1)})
     w_s, t_s, p_s = parse_seconds(window), parse_seconds(tick), parse_seconds(period)
     if w_s % t_s:
         raise ValueError("window must be a multiple of tick")
-    p_s = max(p_s, w_s) // t_s * t_s  # a period spans whole ticks
+    p_s = -(-max(p_s, w_s) // t_s) * t_s  # whole ticks, at least one window long
 
     names = list(measures)
     tick_col = F.floor(epoch_seconds(time_col) / t_s) * t_s
-    signed = F.explode(F.array(
+    rows = F.explode(F.array(
         F.struct(tick_col.alias("tick"), *[m.cast("bigint").alias(k) for k, m in measures.items()]),
-        F.struct((tick_col + w_s).alias("tick"),
-                 *[(-m.cast("bigint")).alias(k) for k, m in measures.items()]),
+        F.struct((tick_col + w_s).alias("tick"), *[F.lit(0).cast("bigint").alias(k) for k in names]),
     )).alias("d")
-    # one shuffle: partial sums per (key, tick) are combined map-side
-    deltas = (df.select(*keys, signed)
+    counts = (df.select(*keys, rows)
                 .select(*keys, "d.*")
-                .groupBy(*keys, "tick").agg(*[F.sum(k).alias(k) for k in names])
-                .where(F.greatest(*[F.col(k) != 0 for k in names]) if len(names) > 1
-                       else F.col(names[0]) != 0)
-                .withColumn("_period", F.floor(F.col("tick") / p_s)))
-
-    # A (key, period) segment as one struct column: struct equality treats NULL
-    # fields as equal, so NULL keys survive the join, and both sides keep a
-    # plain hash partitioning on it (the big side is not shuffled again).
-    deltas = deltas.withColumn("_seg", F.struct(*[F.col(k) for k in keys], F.col("_period")))
-    within = Window.partitionBy("_seg").orderBy("tick")
-    running = within.rowsBetween(Window.unboundedPreceding, 0)
-    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # running sums and the segment's total in ONE window pass over the deltas
-    local = deltas.select("_seg", "tick",
-                          *[F.sum(k).over(running).alias(k) for k in names],
-                          *[F.sum(k).over(whole).alias(f"_t_{k}") for k in names])
-
-    # one row per segment; already partitioned by _seg, so no shuffle here
-    totals = local.groupBy("_seg").agg(*[F.max(f"_t_{k}").alias(k) for k in names])
-    before = (Window.partitionBy(*[F.col("_seg")[k] for k in keys]).orderBy(F.col("_seg._period"))
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carried = totals.select("_seg", *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"_c_{k}")
-                                      for k in names])
-
-    out = (local.join(carried, on="_seg", how="inner")
-                .select(*[F.col("_seg")[k].alias(k) for k in keys], "tick",
-                        *[(F.col(k) + F.col(f"_c_{k}")).alias(k) for k in names]))
+                .groupBy(*keys, "tick").agg(*[F.sum(k).alias(k) for k in names]))
+
+    home = F.floor(F.col("tick") / p_s)
+    reach = F.floor((F.col("tick") + w_s) / p_s)
+    any_value = F.greatest(*[F.col(k) != 0 for k in names]) if len(names) > 1 else F.col(names[0]) != 0
+    seg = F.explode(F.when(any_value & (reach != home),
+                           F.array(F.struct(home.alias("p"), F.lit(True).alias("own")),
+                                   F.struct(reach.alias("p"), F.lit(False).alias("own"))))
+                     .otherwise(F.array(F.struct(home.alias("p"), F.lit(True).alias("own")))))
+    placed = (counts.select(*keys, "tick", *names, seg.alias("_s"))
+                    .select(F.struct(*[F.col(k) for k in keys], F.col("_s.p").alias("_period")).alias("_seg"),
+                            "tick", *names, F.col("_s.own").alias("_own")))
+
+    w = Window.partitionBy("_seg").orderBy("tick")
+    inside = w.rangeBetween(-(w_s - t_s), 0)
+    leaving = w.rangeBetween(-w_s, -w_s)
+    valued = placed.select(
+        "_seg", "tick", "_own",
+        *[F.sum(k).over(inside).alias(k) for k in names],
+        *[(F.col(k) - F.coalesce(F.sum(k).over(leaving), F.lit(0))).alias(f"_d_{k}") for k in names])
+    changed = (F.greatest(*[F.col(f"_d_{k}") != 0 for k in names]) if len(names) > 1
+               else F.col(f"_d_{names[0]}") != 0)
+    out = (valued.where(F.col("_own") & changed)
+                 .select(*[F.col("_seg")[k].alias(k) for k in keys], "tick", *names))
     if not keep_zero:
         out = out.where(F.greatest(*[F.col(k) != 0 for k in names]) if len(names) > 1
                         else F.col(names[0]) != 0)
