@@ -328,3 +328,4 @@ select text as value from statuses""",
 select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
 ORACLE["stream_session_first10"] = ORACLE["session_first10"]
+ORACLE["stream_kmeans_step"] = ORACLE["kmeans_step"]

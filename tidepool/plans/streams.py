@@ -114,6 +114,29 @@ def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark).select("ip", "url", "status", "user_agent", "event_id")
 
 
+def stream_kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1 through a live stream: the foreachBatch trainer, model read back.
+
+    Starts from the same fixed centres as ``kmeans_step`` with zero weight, so
+    after the replay's batch the model holds each cluster's mean and size.
+    """
+    from tidepool.operators import kmeans
+    from tidepool.plans.queries import KMEANS_DIGITS, _first_centres, _kmeans_input
+    from tidepool.streaming.ml import kmeans_foreach_batch
+    centres = _first_centres(_kmeans_input(spark, sf_dir), kmeans.K)
+    ev = _events_stream(spark, sf_dir)
+    feats = ev.select(F.array(F.col("value").cast("double"),
+                              F.col("user_id").cast("double")).alias("features"))
+    model_dir = shared_dir(spark, "stream-kmeans")
+    trainer = kmeans_foreach_batch(kmeans.StreamingKMeansModel.given(centres), "features", model_dir)
+    _run(feats, trainer, "kmeans_train")
+    last = trainer.state["last"]
+    model = spark.read.parquet(f"{model_dir}/batch_id={last}")
+    return model.where(F.col("weight") > 0).select(
+        "cluster", F.col("weight").cast("bigint").alias("n"),
+        *[F.round(F.col("centre")[i], KMEANS_DIGITS).alias(f"c_{i}") for i in range(kmeans.DIM)])
+
+
 STREAM_QUERIES = {
     "stream_url_window_counts": stream_url_window_counts,
     "stream_session_first10": stream_session_first10,
@@ -121,4 +144,5 @@ STREAM_QUERIES = {
     "sink_json_roundtrip": sink_json_roundtrip,
     "sink_text_roundtrip": sink_text_roundtrip,
     "sink_upsert": sink_upsert,
+    "stream_kmeans_step": stream_kmeans_step,
 }
