@@ -329,3 +329,9 @@ select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
 ORACLE["stream_session_first10"] = ORACLE["session_first10"]
 ORACLE["stream_kmeans_step"] = ORACLE["kmeans_step"]
+ORACLE["stream_hashtag_topk"] = ORACLE["hashtag_topk"]
+ORACLE["stream_error_rate_alarm"] = ORACLE["error_rate_alarm"]
+ORACLE["stream_text_metrics"] = _with(STATUSES) + f"""
+select cast(0 as bigint) as batch_id, count(*) as counter,
+  cast(floor(sum({U16}) / count(*)) as bigint) as avg_length, cast(max({U16}) as bigint) as longest_in_batch
+from statuses"""

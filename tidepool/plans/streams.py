@@ -137,6 +137,67 @@ def stream_kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.round(F.col("centre")[i], KMEANS_DIGITS).alias(f"c_{i}") for i in range(kmeans.DIM)])
 
 
+def _window_table(spark, counts: DataFrame, keys: list, name: str) -> DataFrame:
+    """Run windowed counts in update mode into an upsert table; return its rows."""
+    table = sinks.UpsertTable(shared_dir(spark, name), ["window_start", "window_end", *keys],
+                              ["_batch"])
+    _run(counts, _upsert_by_batch(table), name, mode="update")
+    return table.read(spark).drop("_batch")
+
+
+def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's main pipeline as a stream: hashtag window counts kept in
+    a keyed table by the stream, top 10 per window read from it."""
+    ev = _events_stream(spark, sf_dir)
+    st = ev.select(ntz_to_instant("ts").alias("ts"), fx.status_text().alias("text"))
+    from tidepool.functions import text as tx
+    tags = tx.hashtags(st, "text", "tag", keep=("ts",))
+    counts = windows.stream_window_counts(tags, "tag", "ts", STREAM_WINDOW, STREAM_SLIDE, WATERMARK)
+    table = _window_table(spark, counts, ["tag"], "stream-hashtags")
+    return windows.top_k(table, 10, ["window_start", "window_end"], "n", "tag")
+
+
+def stream_error_rate_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG4 on a stream: success/failure per 12-hour window (1-hour slide)."""
+    from tidepool.operators.alarm import alarm_state
+    cls = al.to_status_classes(_log_stream(spark, sf_dir), "line", keep=("ts",))
+    w = F.window(F.col("ts"), "12 hours", "1 hour")
+    counts = (cls.withWatermark("ts", "12 hours")
+                 .groupBy(w.alias("w"))
+                 .agg(F.sum((F.col("status_class") == "Success").cast("bigint")).alias("success"),
+                      F.sum((F.col("status_class") == "Failure").cast("bigint")).alias("failure"))
+                 .select(F.unix_timestamp("w.start").alias("window_start"),
+                         F.unix_timestamp("w.end").alias("window_end"), "success", "failure"))
+    table = _window_table(spark, counts, [], "stream-alarm")
+    return table.select("window_start", "window_end", "success", "failure",
+                        alarm_state(F.col("success"), F.col("failure")).alias("state"))
+
+
+def stream_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: counter and gauges observed on each micro-batch of status texts.
+
+    ``observe`` computes them inside the batch's own job; they are read from the
+    query progress (a live deployment registers ``sinks.MetricsListener``).
+    """
+    ev = _events_stream(spark, sf_dir)
+    st = ev.select(fx.status_text().alias("text"))
+    observed, _ = sinks.observe_text_metrics(st, "text", "text_metrics")
+    q = (observed.writeStream.format("noop").queryName("text_metrics")
+                 .option("checkpointLocation", shared_dir(spark, "checkpoint-text-metrics"))
+                 .trigger(availableNow=True).start())
+    runners.drain(q, TIMEOUT_S)
+    rows, total_n, total_chars = [], 0, 0
+    for p in q.recentProgress:
+        m = p.observedMetrics.get("text_metrics")
+        if m is None or not m["tweets"]:
+            continue
+        total_n += m["tweets"]
+        total_chars += m["chars"]
+        rows.append((int(p.batchId), int(total_n), int(total_chars // total_n), int(m["longest"])))
+    return spark.createDataFrame(
+        rows, "batch_id bigint, counter bigint, avg_length bigint, longest_in_batch bigint")
+
+
 STREAM_QUERIES = {
     "stream_url_window_counts": stream_url_window_counts,
     "stream_session_first10": stream_session_first10,
@@ -145,4 +206,7 @@ STREAM_QUERIES = {
     "sink_text_roundtrip": sink_text_roundtrip,
     "sink_upsert": sink_upsert,
     "stream_kmeans_step": stream_kmeans_step,
+    "stream_hashtag_topk": stream_hashtag_topk,
+    "stream_error_rate_alarm": stream_error_rate_alarm,
+    "stream_text_metrics": stream_text_metrics,
 }
