@@ -198,6 +198,22 @@ def stream_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "batch_id bigint, counter bigint, avg_length bigint, longest_in_batch bigint")
 
 
+def stream_session_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STS3 + STS4: the session state read back from the checkpoint as of the
+    last batch with input, queried with the reference's snapshot SQL."""
+    from tidepool.streaming.sessions import snapshot_sql
+    visits = al.to_visits(_log_stream(spark, sf_dir), "line", keep=("event_id", "ts"))
+    cp = shared_dir(spark, "checkpoint-session-snapshot")
+    q = (session_state(visits, "ip").writeStream.format("noop").outputMode("update")
+            .queryName("session_snapshot").option("checkpointLocation", cp)
+            .trigger(availableNow=True).start())
+    runners.drain(q, TIMEOUT_S)
+    last_data = max(p.batchId for p in q.recentProgress if p.numInputRows > 0)
+    snap = snapshot_sql(spark, cp, last_data)
+    return snap.select("ip", "session_length", F.size("clickstream").alias("clicks"),
+                       F.concat_ws(" ", "clickstream").alias("clickstream"))
+
+
 STREAM_QUERIES = {
     "stream_url_window_counts": stream_url_window_counts,
     "stream_session_first10": stream_session_first10,
@@ -209,4 +225,5 @@ STREAM_QUERIES = {
     "stream_hashtag_topk": stream_hashtag_topk,
     "stream_error_rate_alarm": stream_error_rate_alarm,
     "stream_text_metrics": stream_text_metrics,
+    "stream_session_snapshot": stream_session_snapshot,
 }

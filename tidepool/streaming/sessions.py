@@ -81,3 +81,31 @@ def session_state(visits: DataFrame, key: str = "ip", n: int = CLICKSTREAM_LENGT
     return v.groupBy(key).applyInPandasWithState(
         session_state_fn(n, gap, order, item, key), schema, STATE_SCHEMA, "update",
         GroupStateTimeout.EventTimeTimeout)
+
+
+# --- fixed values (the reference's snapshot view and query) -----------------
+SNAPSHOT_VIEW = "sessionData"
+SNAPSHOT_SQL = "select * from sessionData"
+# -----------------------------------------------------------------------------
+
+
+def state_snapshot(spark, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """STS3: the full session state as a table, read from the query checkpoint.
+
+    ``(key columns..., session_length, clickstream, last_ms, timeout_ms)`` as of
+    ``batch_id`` (latest when omitted); a distributed read of the state store,
+    one task per state partition.
+    """
+    r = spark.read.format("statestore")
+    if batch_id is not None:
+        r = r.option("batchId", int(batch_id))
+    st = r.load(checkpoint)
+    return st.select("key.*", "value.groupState.*",
+                     F.col("value.timeoutTimestamp").alias("timeout_ms"))
+
+
+def snapshot_sql(spark, checkpoint: str, batch_id: int | None = None,
+                 sql: str = SNAPSHOT_SQL, view: str = SNAPSHOT_VIEW) -> DataFrame:
+    """STS4: SQL over the state snapshot registered as ``sessionData``."""
+    state_snapshot(spark, checkpoint, batch_id).createOrReplaceTempView(view)
+    return spark.sql(sql)
