@@ -103,3 +103,25 @@ def test_restart_from_checkpoint_gives_same_table(spark):
     spanning = a.where("window_start < unix_timestamp(timestamp'2024-01-11 00:00:00') "
                        "and window_end > unix_timestamp(timestamp'2024-01-11 00:00:00')")
     assert spanning.count() > 0 and _same(a, b)
+
+
+def test_crlf_text_files_parse(spark):
+    """SRC6 + PRJ9/PRJ10: reference-format training lines with CRLF endings."""
+    from tidepool.functions.vectors import parse_labeled_point, parse_vector
+    path = shared_dir(spark, "crlf-lines")
+    lines = ["[172153.58,22]\r", "[143383.71,21]\r"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    df = sources.text_lines(spark, path)
+    assert sorted(r["line"] for r in df.collect()) == ["[143383.71,21]", "[172153.58,22]"]
+    vecs = sorted(tuple(r[0]) for r in df.select(parse_vector("line")).collect())
+    assert vecs == [(143383.71, 21.0), (172153.58, 22.0)]
+    lp = spark.createDataFrame([("(0,[172153.58,22])\r",)], "line string").select(
+        parse_labeled_point("line").alias("p")).first()["p"]
+    assert (lp["label"], lp["features"], lp["parse_ok"]) == (0.0, [172153.58, 22.0], True)
+
+
+def test_latest_top_k(spark):
+    from tidepool.operators.windows import latest_top_k
+    df = spark.createDataFrame([("a", 3), ("b", 5), ("c", 5), ("d", 1)], "key string, n long")
+    assert [r["key"] for r in latest_top_k(df, 3).collect()] == ["b", "c", "a"]
+    assert [r["key"] for r in latest_top_k(df, 2, ascending=True).collect()] == ["d", "a"]
