@@ -110,3 +110,70 @@ def test_labeled_point_forms(spark):
     assert got[2][2] is False
     v = spark.createDataFrame([("[172153.58,22]\r",)], "line string").select(parse_vector("line"))
     assert v.first()[0] == [172153.58, 22.0]
+
+
+def _numpy_kmeans_replay(points_by_batch, centres):
+    c = np.array(centres, dtype=float)
+    w = np.zeros(len(c))
+    out = []
+    for b, pts in points_by_batch:
+        x = np.array(pts, dtype=float)
+        d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+        a = d.argmin(axis=1)
+        for j in range(len(c)):
+            m = (a == j).sum()
+            if m:
+                lam = m / (w[j] + m)
+                c[j] = (1 - lam) * c[j] + lam * x[a == j].mean(axis=0)
+                w[j] += m
+        big, small = w.argmax(), w.argmin()
+        if w[small] < 1e-8 * w[big]:
+            w[big] = w[small] = (w[big] + w[small]) / 2
+            p = 1e-14 * np.maximum(np.abs(c[big]), 1.0)
+            c[small] = c[big] - p
+            c[big] = c[big] + p
+        out.append((b, c.copy(), w.copy()))
+    return out
+
+
+def test_kmeans_stream_query_brute_force(spark):
+    from tidepool.plans import queries
+    got = queries.kmeans_stream(spark, SF_SMALL).orderBy("batch_id", "cluster").collect()
+    ev = fx.table(spark, SF_SMALL, "events").orderBy("event_id").collect()
+    centres = [[r["value"], float(r["user_id"])] for r in ev[:kmeans.K]]
+    import calendar
+    batches = {}
+    for r in ev:
+        b = calendar.timegm(r["ts"].timetuple()) // 86400
+        batches.setdefault(b, []).append([r["value"], float(r["user_id"])])
+    expect = _numpy_kmeans_replay(sorted(batches.items()), centres)
+    assert len(got) == len(expect) * kmeans.K
+    for i, (b, c, w) in enumerate(expect):
+        rows = got[i * kmeans.K:(i + 1) * kmeans.K]
+        assert all(r["batch_id"] == b for r in rows)
+        np.testing.assert_allclose([r["centre"] for r in rows], c, rtol=1e-9, atol=1e-9)
+        np.testing.assert_allclose([r["weight"] for r in rows], w)
+
+
+def test_linreg_sgd_stream_query_brute_force(spark):
+    import calendar
+    from tidepool.plans import queries
+    got = queries.linreg_sgd_stream(spark, SF_SMALL).orderBy("batch_id").collect()
+    li = fx.table(spark, SF_SMALL, "lineitem").select("l_quantity", "l_extendedprice", "l_shipdate").toPandas()
+    x = li.l_quantity.to_numpy()
+    xs = (x - x.mean()) / x.std()
+    y = (li.l_extendedprice / 1000).to_numpy()
+    b = np.array([calendar.timegm(t.timetuple()) // (365 * 86400) for t in li.l_shipdate])
+    w = np.zeros(2)  # slope, intercept (carried)
+    for i, batch in enumerate(sorted(set(b))):
+        sel = b == batch
+        X, Y = xs[sel], y[sel]
+        prev = None
+        for it in range(1, 51):
+            g = np.array([((w[0] * X + w[1] - Y) * X).mean(), (w[0] * X + w[1] - Y).mean()])
+            w = w - 0.1 / np.sqrt(it) * g
+            if prev is not None and np.linalg.norm(prev - w) < 0.001 * max(np.linalg.norm(w), 1.0):
+                break
+            prev = w.copy()
+        assert got[i]["batch_id"] == batch and got[i]["n"] == sel.sum()
+        np.testing.assert_allclose([got[i]["weights"][0], got[i]["intercept"]], w, rtol=1e-7)
