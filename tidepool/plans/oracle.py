@@ -160,6 +160,9 @@ select status_code as status, status_class, count(*) as n from r group by 1, 2""
     "url_sliding_counts": _with(LOGS, PARSED, "u as (select ts, url_strict as url from r)")
     + _delta("u", "url", 300, True),
 
+    "event_type_sliding_counts": "with u as (select ts, event_type from events)\n"
+    + _delta("u", "event_type", 300, True),
+
     "url_window_topk": _with(LOGS, PARSED, "u as (select ts, url_strict as url from r)")
     + _topk("u", "url", 86400, 3600),
 

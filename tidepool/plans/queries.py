@@ -74,6 +74,12 @@ def url_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.sliding_counts(logs, "url", "ts", REF_WINDOW, REF_TICK, keep_zero=True)
 
 
+def event_type_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1 on a plain key column: events by type over 300 s, every second."""
+    ev = fx.table(spark, sf_dir, "events").select("ts", "event_type")
+    return windows.sliding_counts(ev, "event_type", "ts", REF_WINDOW, REF_TICK, keep_zero=True)
+
+
 def url_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT1/SRT2: top 10 strict urls per sliding window."""
     logs = al.to_strict_urls(fx.logs(spark, sf_dir), "line", keep=("ts",))
@@ -277,6 +283,7 @@ QUERIES = {
     "log_url_leak_counts": log_url_leak_counts,
     "log_status_class": log_status_class,
     "url_sliding_counts": url_sliding_counts,
+    "event_type_sliding_counts": event_type_sliding_counts,
     "url_window_topk": url_window_topk,
     "status_sliding_counts": status_sliding_counts,
     "error_rate_alarm": error_rate_alarm,

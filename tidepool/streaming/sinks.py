@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidepool.functions.text import utf16_length
@@ -95,8 +96,10 @@ class UpsertTable:
     def _marker(self, spark: SparkSession):
         try:
             return spark.read.parquet(f"{self.path}/_marker").first()
-        except Exception:  # noqa: BLE001 - no commit yet
-            return None
+        except AnalysisException as e:  # no commit yet
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+                return None
+            raise
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         m = self._marker(spark)
