@@ -125,3 +125,25 @@ def test_latest_top_k(spark):
     df = spark.createDataFrame([("a", 3), ("b", 5), ("c", 5), ("d", 1)], "key string, n long")
     assert [r["key"] for r in latest_top_k(df, 3).collect()] == ["b", "c", "a"]
     assert [r["key"] for r in latest_top_k(df, 2, ascending=True).collect()] == ["d", "a"]
+
+
+def test_tick_counts_stream_any_batching(spark):
+    """Per-second counts appended per micro-batch give the batch step function
+    whatever the batching (three files, one per micro-batch)."""
+    from tidepool.functions import accesslog as al
+    from tidepool.operators import windows
+    from tidepool.plans.streams import _run, ntz_to_instant
+    from tidepool.sources import fixtures as fx
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src = shared_dir(spark, "src-ticks")
+    day = F.dayofmonth("ts")
+    for cond in (day < 11, (day >= 11) & (day < 21), day >= 21):
+        events.where(cond).coalesce(1).write.mode("append").parquet(src)
+    ev = sources.table_stream(spark, src, events.schema, max_files_per_trigger=1)
+    logs = ev.select("event_id", ntz_to_instant("ts").alias("ts"), fx.log_line().alias("line"))
+    sink = sinks.TickCountsSink(shared_dir(spark, "ticks"), "url", "ts")
+    _run(al.to_strict_urls(logs, "line", keep=("ts",)), sink, "ticks_test")
+    assert spark.read.parquet(sink.path).select("batch_id").distinct().count() == 3
+    batch = windows.sliding_counts(al.to_strict_urls(fx.logs(spark, SF_SMALL), "line", keep=("ts",)),
+                                   "url", "ts", "300 seconds", "1 second")
+    assert _same(sink.sliding(spark), batch)

@@ -214,6 +214,15 @@ def stream_session_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.concat_ws(" ", "clickstream").alias("clickstream"))
 
 
+def stream_url_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1 at 300 s / 1 s on a stream without window state: per-second url
+    counts per micro-batch into a table, the step function computed over it."""
+    urls = al.to_strict_urls(_log_stream(spark, sf_dir), "line", keep=("ts",))
+    sink = sinks.TickCountsSink(shared_dir(spark, "stream-url-ticks"), "url", "ts")
+    _run(urls, sink, "url_ticks")
+    return sink.sliding(spark, "300 seconds", keep_zero=True)
+
+
 STREAM_QUERIES = {
     "stream_url_window_counts": stream_url_window_counts,
     "stream_session_first10": stream_session_first10,
@@ -226,4 +235,5 @@ STREAM_QUERIES = {
     "stream_error_rate_alarm": stream_error_rate_alarm,
     "stream_text_metrics": stream_text_metrics,
     "stream_session_snapshot": stream_session_snapshot,
+    "stream_url_sliding_counts": stream_url_sliding_counts,
 }
