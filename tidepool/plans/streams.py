@@ -223,6 +223,20 @@ def stream_url_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.sliding(spark, "300 seconds", keep_zero=True)
 
 
+def stream_error_rate_alarm_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's alarm on a stream at 300 s / 1 s: per-second success and
+    failure sums per micro-batch, the alarm rule over the step function."""
+    from tidepool.operators.alarm import alarm_state
+    cls = al.to_status_classes(_log_stream(spark, sf_dir), "line", keep=("ts",))
+    measures = {"success": (F.col("status_class") == "Success").cast("int"),
+                "failure": (F.col("status_class") == "Failure").cast("int")}
+    sink = sinks.TickCountsSink(shared_dir(spark, "stream-alarm-ticks"), None, "ts", 1, measures)
+    _run(cls, sink, "alarm_ticks")
+    s = sink.sliding(spark, "300 seconds", keep_zero=True)
+    return s.select("tick", "success", "failure",
+                    alarm_state(F.col("success"), F.col("failure")).alias("state"))
+
+
 STREAM_QUERIES = {
     "stream_url_window_counts": stream_url_window_counts,
     "stream_session_first10": stream_session_first10,
@@ -236,4 +250,5 @@ STREAM_QUERIES = {
     "stream_text_metrics": stream_text_metrics,
     "stream_session_snapshot": stream_session_snapshot,
     "stream_url_sliding_counts": stream_url_sliding_counts,
+    "stream_error_rate_alarm_ticks": stream_error_rate_alarm_ticks,
 }

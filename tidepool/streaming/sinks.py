@@ -134,32 +134,36 @@ class UpsertTable:
 
 # -------------------------------------------- per-tick counts for sliding sums
 class TickCountsSink:
-    """Each micro-batch's counts per (key, tick), stored under ``batch_id=N``.
+    """Each micro-batch's sums per (key, tick), stored under ``batch_id=N``.
 
     The stream keeps no window state at all: a 300 s window sliding every
     second would hold 300 copies of every row in the state store. The exact
     step function is :func:`tidepool.operators.windows.sliding_sums` over these
-    counts (``read``), and replaying a batch overwrites its own partition.
+    partial sums (``sliding``), and replaying a batch overwrites its own
+    partition. ``measures`` maps output names to per-row values (default: a
+    row count ``n``).
     """
 
-    def __init__(self, path: str, keys, time_col: str = "ts", tick_s: int = 1):
+    def __init__(self, path: str, keys, time_col: str = "ts", tick_s: int = 1,
+                 measures: dict | None = None):
         self.path = path.rstrip("/")
-        self.keys = [keys] if isinstance(keys, str) else list(keys)
+        self.keys = [] if keys is None else ([keys] if isinstance(keys, str) else list(keys))
         self.time_col, self.tick_s = time_col, tick_s
+        self.measures = measures or {"n": F.lit(1)}
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         tick = F.floor(F.unix_timestamp(F.col(self.time_col)) / self.tick_s) * self.tick_s
-        counts = (batch_df.groupBy(*self.keys, tick.alias("tick"))
-                          .agg(F.count(F.lit(1)).alias("n")))
-        counts.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        sums = (batch_df.groupBy(*self.keys, tick.alias("tick"))
+                        .agg(*[F.sum(m.cast("bigint")).alias(k) for k, m in self.measures.items()]))
+        sums.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("batch_id")
 
     def sliding(self, spark: SparkSession, window="300 seconds", keep_zero: bool = True) -> DataFrame:
         from tidepool.operators.windows import sliding_sums
-        counts = self.read(spark).withColumn("_t", F.timestamp_seconds("tick"))
-        return sliding_sums(counts, self.keys, {"n": F.col("n")}, "_t", window,
+        sums = self.read(spark).withColumn("_t", F.timestamp_seconds("tick"))
+        return sliding_sums(sums, self.keys, {k: F.col(k) for k in self.measures}, "_t", window,
                             f"{self.tick_s} seconds", keep_zero=keep_zero)
 
 
