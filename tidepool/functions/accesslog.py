@@ -110,7 +110,7 @@ def url_strict(log="log", bad_request_label: str = ERROR_LABEL) -> Column:
 
     Unmatched lines give ``[error]``. A matched request that is not exactly
     three tokens gives ``bad_request_label``: ``[error]`` (PRJ2) or ``()`` for
-    parity with the pipelines that leak the Unit value as a key (PRJ3).
+    parity with the reference jobs that leak the Unit value as a key (PRJ3).
     """
     s = _col(log)
     toks = request_tokens(s["request"])

@@ -121,7 +121,7 @@ def hashtag_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's main pipeline: top 10 hashtags per sliding window."""
+    """The reference's main job: top 10 hashtags per sliding window."""
     tags = tx.hashtags(fx.statuses(spark, sf_dir), "text", "tag", keep=("ts",))
     counts = windows.window_counts(tags, "tag", "ts", TOPK_WINDOW, TOPK_SLIDE)
     return windows.top_k(counts, TOP_K, ["window_start", "window_end"], "n", "tag")

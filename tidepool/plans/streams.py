@@ -146,7 +146,7 @@ def _window_table(spark, counts: DataFrame, keys: list, name: str) -> DataFrame:
 
 
 def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's main pipeline as a stream: hashtag window counts kept in
+    """The reference's main job as a stream: hashtag window counts kept in
     a keyed table by the stream, top 10 per window read from it."""
     ev = _events_stream(spark, sf_dir)
     st = ev.select(ntz_to_instant("ts").alias("ts"), fx.status_text().alias("text"))
