@@ -147,3 +147,13 @@ def test_tick_counts_stream_any_batching(spark):
     batch = windows.sliding_counts(al.to_strict_urls(fx.logs(spark, SF_SMALL), "line", keep=("ts",)),
                                    "url", "ts", "300 seconds", "1 second")
     assert _same(sink.sliding(spark), batch)
+
+
+def test_console_writer_and_preview(spark):
+    from pyspark.sql.streaming import DataStreamWriter
+    from tidepool.operators.windows import first_n
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    stream = sources.table_stream(spark, f"{SF_SMALL}/events.parquet", schema)
+    assert isinstance(sinks.console(stream), DataStreamWriter)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert [r["event_id"] for r in first_n(ev, 3, ["event_id"]).collect()] == [0, 1, 2]

@@ -191,3 +191,9 @@ def latest_top_k(df: DataFrame, k: int, score: str = "n", key: str = "key",
     """Top k rows overall (TakeOrderedAndProject: k rows per task, then merge)."""
     order = [F.col(score).asc() if ascending else F.col(score).desc(), F.col(key).asc()]
     return df.orderBy(*order).limit(k)
+
+
+def first_n(df: DataFrame, n: int = 20, order=()) -> DataFrame:
+    """SRT3: a preview of ``n`` rows; with ``order`` the rows are deterministic
+    (TakeOrderedAndProject), without it any ``n`` rows, like ``show()``."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
