@@ -37,6 +37,10 @@ def test_upsert_replay_is_idempotent(spark):
     t.merge(b1, 1)  # replay of batch 1 after a failure
     got = sorted((r["k"] or "", r["v"]) for r in t.read(spark).collect())
     assert got == [("", 5), ("a", 2), ("b", 1)]
+    t.compact(spark, 1)
+    t.merge(spark.createDataFrame([("b", 7)], "k string, v int"), 2)
+    got = sorted((r["k"] or "", r["v"]) for r in t.read(spark).collect())
+    assert got == [("", 5), ("a", 2), ("b", 7)]
 
 
 def test_capped_capture_stops_after_limit(spark):

@@ -79,13 +79,14 @@ class CappedTextCapture:
 
 # ------------------------------------------------------------------ SNK5
 class UpsertTable:
-    """SNK5: keyed row store on parquet, last row per key wins.
-
-    Each merge writes a new version ``v=<batch_id>`` from the previous version
-    plus the batch, deduplicated per key with ``max_by`` over the order
-    columns (an aggregate with map-side combine: a hot key costs one row per
-    task, not its full history). A one-row marker names the committed version
-    and its predecessor, so replaying a batch merges from the predecessor.
+    """SNK5: keyed row store on parquet, last row per key wins (merge on read).
+
+    A merge writes only the batch -- de-duplicated per key -- under
+    ``delta/batch_id=N`` (overwrite: replaying a batch replaces its own
+    output, nothing else). Reading takes the last row per key over the base and
+    the newer deltas with ``max_by`` on ``(order..., batch_id)``: an aggregate
+    with map-side combine, so a hot key costs one row per task. Writes cost
+    O(batch), not O(table); ``compact`` folds the deltas into a new base.
     """
 
     def __init__(self, path: str, keys, order):
@@ -93,44 +94,61 @@ class UpsertTable:
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.order = [order] if isinstance(order, str) else list(order)
 
-    def _marker(self, spark: SparkSession):
-        try:
-            return spark.read.parquet(f"{self.path}/_marker").first()
-        except AnalysisException as e:  # no commit yet
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                return None
-            raise
-
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        m = self._marker(spark)
-        if m is None:
-            return None
-        return spark.read.parquet(f"{self.path}/v={m['version']}")
-
     @staticmethod
     def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
         values = [c for c in df.columns if c not in keys]
         best = F.max_by(F.struct(*[F.col(c) for c in values]), F.struct(*[F.col(c) for c in order]))
         return df.groupBy(*keys).agg(best.alias("_v")).select(*keys, "_v.*")
 
+    @staticmethod
+    def _read_or_none(spark: SparkSession, path: str):
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:  # nothing written yet
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
+                    or "UNABLE_TO_INFER_SCHEMA" in str(e):
+                return None
+            raise
+
     def merge(self, batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        m = self._marker(spark)
-        base_version = None
-        if m is not None:
-            base_version = m["previous"] if m["version"] >= batch_id else m["version"]
-        incoming = self.latest_per_key(batch_df, self.keys, self.order)
-        if base_version is not None and base_version >= 0:
-            old = spark.read.parquet(f"{self.path}/v={base_version}")
-            incoming = self.latest_per_key(old.unionByName(incoming), self.keys, self.order)
-        incoming.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        prev = -1 if base_version is None else base_version
-        spark.createDataFrame([(int(batch_id), int(prev))], "version bigint, previous bigint") \
-             .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_marker")
+        delta = self.latest_per_key(batch_df, self.keys, self.order)
+        delta.write.mode("overwrite").parquet(f"{self.path}/delta/batch_id={int(batch_id)}")
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         self.merge(batch_df, batch_id)
 
+    def _rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        marker = self._read_or_none(spark, f"{self.path}/_base_marker")
+        covered = marker.first()["covered"] if marker is not None else -1
+        deltas = self._read_or_none(spark, f"{self.path}/delta")
+        parts = []
+        if covered >= 0:
+            parts.append(spark.read.parquet(f"{self.path}/base/v={covered}"))
+        if deltas is not None:
+            d = deltas.where(F.col("batch_id") > covered)
+            if upto is not None:
+                d = d.where(F.col("batch_id") <= upto)
+            parts.append(d.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+        if not parts:
+            return None
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return self.latest_per_key(rows, self.keys, [*self.order, "batch_id"])
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        rows = self._rows(spark)
+        return None if rows is None else rows.drop("batch_id")
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold every delta up to ``upto`` into base version ``upto``."""
+        rows = self._rows(spark, upto)
+        if rows is None:
+            return
+        rows.write.mode("overwrite").parquet(f"{self.path}/base/v={int(upto)}")
+        spark.createDataFrame([(int(upto),)], "covered bigint").coalesce(1) \
+             .write.mode("overwrite").parquet(f"{self.path}/_base_marker")
+
 
 # -------------------------------------------- per-tick counts for sliding sums
 class TickCountsSink:
