@@ -177,3 +177,35 @@ def test_linreg_sgd_stream_query_brute_force(spark):
             prev = w.copy()
         assert got[i]["batch_id"] == batch and got[i]["n"] == sel.sum()
         np.testing.assert_allclose([got[i]["weights"][0], got[i]["intercept"]], w, rtol=1e-7)
+
+
+def test_trainers_roll_back_on_replayed_batch(spark):
+    """A replayed micro-batch reloads the model of the batch before it."""
+    from tidepool.session import shared_dir
+    from tidepool.streaming.ml import kmeans_foreach_batch, linreg_foreach_batch
+    b0 = spark.createDataFrame([([1.0, 1.0],), ([9.0, 9.0],)], "features array<double>")
+    b1 = spark.createDataFrame([([2.0, 2.0],), ([8.0, 8.0],)], "features array<double>")
+    start = [[0.0, 0.0], [10.0, 10.0]]
+    once = kmeans_foreach_batch(kmeans.StreamingKMeansModel.given(start), "features",
+                                shared_dir(spark, "km-once"))
+    once(b0, 0)
+    once(b1, 1)
+    again = kmeans_foreach_batch(kmeans.StreamingKMeansModel.given(start), "features",
+                                 shared_dir(spark, "km-again"))
+    again(b0, 0)
+    again(b1, 1)
+    again(b1, 1)  # replay after a failure
+    np.testing.assert_allclose(again.state["model"].centres, once.state["model"].centres)
+    np.testing.assert_allclose(again.state["model"].weights, once.state["model"].weights)
+
+    r0 = spark.createDataFrame([(1.0, 2.1), (2.0, 3.9)], "x double, y double")
+    r1 = spark.createDataFrame([(3.0, 6.2), (4.0, 7.8)], "x double, y double")
+    one = linreg_foreach_batch(linreg.StreamingLinearModel.zeros(1), "y", ["x"], shared_dir(spark, "lr1"))
+    one(r0, 0)
+    one(r1, 1)
+    two = linreg_foreach_batch(linreg.StreamingLinearModel.zeros(1), "y", ["x"], shared_dir(spark, "lr2"))
+    two(r0, 0)
+    two(r1, 1)
+    two(r1, 1)
+    np.testing.assert_allclose(two.state["model"].weights, one.state["model"].weights)
+    assert two.state["model"].intercept == one.state["model"].intercept
