@@ -209,3 +209,19 @@ def test_trainers_roll_back_on_replayed_batch(spark):
     two(r1, 1)
     np.testing.assert_allclose(two.state["model"].weights, one.state["model"].weights)
     assert two.state["model"].intercept == one.state["model"].intercept
+
+
+def test_linreg_train_then_score_in_one_batch(spark):
+    from tidepool.session import shared_dir
+    from tidepool.streaming.ml import linreg_foreach_batch
+    rows = [(float(x), float(2.0 * x + 1.0), "train") for x in np.linspace(-1, 1, 50)]
+    rows += [(0.5, -1.74, "test")]
+    df = spark.createDataFrame(rows, "x double, y double, role string")
+    out = shared_dir(spark, "lr-pred")
+    run = linreg_foreach_batch(linreg.StreamingLinearModel.zeros(1), "y", ["x"],
+                               shared_dir(spark, "lr-model"), role_col="role", predict_dir=out)
+    run(df, 0)
+    m = run.state["model"]
+    got = spark.read.parquet(out).first()
+    assert got["label"] == -1 and got["label_value"] == -1.74   # truncation toward zero
+    assert abs(got["prediction"] - (m.weights[0] * 0.5 + m.intercept)) < 1e-12

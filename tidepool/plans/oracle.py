@@ -332,6 +332,7 @@ select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
 ORACLE["stream_session_first10"] = ORACLE["session_first10"]
 ORACLE["stream_kmeans_step"] = ORACLE["kmeans_step"]
+ORACLE["stream_kmeans_predict"] = ORACLE["kmeans_predict"]
 ORACLE["stream_url_sliding_counts"] = ORACLE["url_sliding_counts"]
 ORACLE["stream_error_rate_alarm_ticks"] = ORACLE["error_rate_alarm_ticks"]
 ORACLE["stream_session_snapshot"] = ORACLE["session_first10"]

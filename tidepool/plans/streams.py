@@ -145,6 +145,27 @@ def _window_table(spark, counts: DataFrame, keys: list, name: str) -> DataFrame:
     return table.read(spark).drop("_batch")
 
 
+def stream_kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1 + ML2 as one stream: training rows and rows to score share the
+    micro-batch (a role column); scoring uses the model after that batch."""
+    from tidepool.operators import kmeans
+    from tidepool.plans.queries import _first_centres, _kmeans_input
+    from tidepool.streaming.ml import kmeans_foreach_batch
+    centres = _first_centres(_kmeans_input(spark, sf_dir), kmeans.K)
+    def rows(role):
+        ev = _events_stream(spark, sf_dir)
+        return ev.select("event_id", (F.col("event_id") % 5).cast("int").alias("label"),
+                         F.array(F.col("value").cast("double"),
+                                 F.col("user_id").cast("double")).alias("features"),
+                         F.lit(role).alias("role"))
+    out = shared_dir(spark, "stream-kmeans-predict")
+    trainer = kmeans_foreach_batch(kmeans.StreamingKMeansModel.given(centres), "features",
+                                   shared_dir(spark, "stream-kmeans-model"), role_col="role",
+                                   predict_dir=out, keep=("event_id", "label"))
+    _run(rows("train").unionByName(rows("test")), trainer, "kmeans_train_predict")
+    return spark.read.parquet(out).select("event_id", "label", "cluster")
+
+
 def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's main job as a stream: hashtag window counts kept in
     a keyed table by the stream, top 10 per window read from it."""
@@ -245,6 +266,7 @@ STREAM_QUERIES = {
     "sink_text_roundtrip": sink_text_roundtrip,
     "sink_upsert": sink_upsert,
     "stream_kmeans_step": stream_kmeans_step,
+    "stream_kmeans_predict": stream_kmeans_predict,
     "stream_hashtag_topk": stream_hashtag_topk,
     "stream_error_rate_alarm": stream_error_rate_alarm,
     "stream_text_metrics": stream_text_metrics,

@@ -64,8 +64,15 @@ def _reload_kmeans(spark, model_dir: str, batch_id: int, initial: StreamingKMean
     return m
 
 
-def kmeans_foreach_batch(model: StreamingKMeansModel, features: str, model_dir: str):
-    """``foreachBatch`` trainer: update, then persist the model for this batch id."""
+def kmeans_foreach_batch(model: StreamingKMeansModel, features: str, model_dir: str,
+                         role_col: str | None = None, predict_dir: str | None = None,
+                         keep=()):
+    """``foreachBatch`` trainer: update, then persist the model for this batch id.
+
+    With ``role_col`` the stream carries training rows (``'train'``) and rows
+    to score (``'test'``) together: the batch trains first, then scores its
+    test rows with the updated model into ``predict_dir/batch_id=N``.
+    """
     state = {"model": model, "initial": StreamingKMeansModel.given(model.centres, 0.0, model.decay),
              "last": -1}
 
@@ -73,19 +80,35 @@ def kmeans_foreach_batch(model: StreamingKMeansModel, features: str, model_dir:
         spark = batch_df.sparkSession
         if batch_id <= state["last"]:  # replay after a restart: roll back first
             state["model"] = _reload_kmeans(spark, model_dir, batch_id, state["initial"])
-        if batch_df.isEmpty():
-            return
-        state["model"].train_batch(batch_df, features)
-        (spark.createDataFrame(state["model"].as_rows(batch_id), MODEL_SCHEMA)
-              .write.mode("overwrite").parquet(f"{model_dir}/batch_id={batch_id}"))
-        state["last"] = batch_id
+        scoring = role_col is not None and predict_dir is not None
+        if scoring:  # read once, used by the update and by the scoring
+            batch_df = batch_df.persist()
+        try:
+            train = batch_df if role_col is None else batch_df.where(F.col(role_col) == "train")
+            if not train.isEmpty():
+                state["model"].train_batch(train, features)
+                (spark.createDataFrame(state["model"].as_rows(batch_id), MODEL_SCHEMA)
+                      .write.mode("overwrite").parquet(f"{model_dir}/batch_id={batch_id}"))
+                state["last"] = batch_id
+            if scoring:
+                test = batch_df.where(F.col(role_col) == "test")
+                (state["model"].predict(test, features).select(*keep, "cluster")
+                      .write.mode("overwrite").parquet(f"{predict_dir}/batch_id={batch_id}"))
+        finally:
+            if scoring:
+                batch_df.unpersist()
 
     run.state = state
     return run
 
 
-def linreg_foreach_batch(model: StreamingLinearModel, label: str, features: list, model_dir: str):
-    """``foreachBatch`` trainer for the regression model."""
+def linreg_foreach_batch(model: StreamingLinearModel, label: str, features: list, model_dir: str,
+                         role_col: str | None = None, predict_dir: str | None = None, keep=()):
+    """``foreachBatch`` trainer for the regression model.
+
+    With ``role_col``, ``'test'`` rows are scored after the batch's update as
+    ``(*keep, label (truncated to int), label_value, prediction)``.
+    """
     state = {"model": model, "last": -1,
              "initial": (model.weights.copy(), model.intercept)}
 
@@ -99,15 +122,28 @@ def linreg_foreach_batch(model: StreamingLinearModel, label: str, features: list
                 prev = spark.read.parquet(f"{model_dir}/batch_id={batch_id - 1}").first()
                 state["model"].weights = np.array(prev["weights"])
                 state["model"].intercept = prev["intercept"]
-        m = regression_moments(batch_df, label, features).first()
-        if not m or not m["n"]:
-            return
-        state["model"].update_from_moments(m)
-        row = [(int(batch_id), int(m["n"]), [float(w) for w in state["model"].weights],
-                float(state["model"].intercept))]
-        spark.createDataFrame(row, LINREG_SCHEMA).write.mode("overwrite").parquet(
-            f"{model_dir}/batch_id={batch_id}")
-        state["last"] = batch_id
+        scoring = role_col is not None and predict_dir is not None
+        if scoring:
+            batch_df = batch_df.persist()
+        try:
+            train = batch_df if role_col is None else batch_df.where(F.col(role_col) == "train")
+            m = regression_moments(train, label, features).first()
+            if m and m["n"]:
+                state["model"].update_from_moments(m)
+                row = [(int(batch_id), int(m["n"]), [float(w) for w in state["model"].weights],
+                        float(state["model"].intercept))]
+                spark.createDataFrame(row, LINREG_SCHEMA).write.mode("overwrite").parquet(
+                    f"{model_dir}/batch_id={batch_id}")
+                state["last"] = batch_id
+            if scoring:
+                test = batch_df.where(F.col(role_col) == "test")
+                (test.select(*keep, F.col(label).cast("int").alias("label"),
+                             F.col(label).cast("double").alias("label_value"),
+                             state["model"].predict(features))
+                     .write.mode("overwrite").parquet(f"{predict_dir}/batch_id={batch_id}"))
+        finally:
+            if scoring:
+                batch_df.unpersist()
 
     run.state = state
     return run
