@@ -161,3 +161,31 @@ def test_console_writer_and_preview(spark):
     assert isinstance(sinks.console(stream), DataStreamWriter)
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     assert [r["event_id"] for r in first_n(ev, 3, ["event_id"]).collect()] == [0, 1, 2]
+
+
+def test_status_files_stream_hashtags(spark):
+    """SRC4 re-aimed: JSON status files streamed into hashtag counts."""
+    from tidepool.functions import text as tx
+    path = shared_dir(spark, "status-json")
+    spark.createDataFrame([("#a b #c", "2024-01-01 00:00:00"), ("#a  ", "2024-01-01 00:00:01")],
+                          "text string, ts string") \
+         .select("text", F.col("ts").cast("timestamp").alias("ts")).write.json(path)
+    got = {}
+
+    def collect(batch_df, batch_id):
+        for r in batch_df.groupBy("tag").count().collect():
+            got[r["tag"]] = got.get(r["tag"], 0) + r["count"]
+
+    from tidepool.streaming import runners
+    tags = tx.hashtags(sources.status_files(spark, path), "text", "tag")
+    runners.drain(runners.start_foreach_batch(tags, collect, "status_files_test", available_now=True), 300)
+    assert got == {"#a": 2, "#c": 1}
+
+
+def test_alarm_messages(spark):
+    from tidepool.operators.alarm import ALARM_MESSAGE, ALL_CLEAR_MESSAGE, alarm_messages, alarm_state
+    df = spark.createDataFrame([(10, 101), (90, 20), (5, 5)], "success long, failure long")
+    out = alarm_messages(df.withColumn("state", alarm_state(F.col("success"), F.col("failure")))).collect()
+    assert [r["state"] for r in out] == ["alarm", "ok", "quiet"]
+    assert [r["alarm_message"] for r in out] == [ALARM_MESSAGE, ALL_CLEAR_MESSAGE, None]
+    assert out[0]["totals_message"] == "Total success: 10 Total failure: 101"
