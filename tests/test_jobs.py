@@ -145,3 +145,22 @@ def test_model_jobs(spark):
     runners.drain(q, 300)
     assert spark.read.parquet(f"{base}/predictions").count() == 1000
     assert state["last"] >= 0
+
+
+def test_url_counts_job_reads_only_recent_batches(spark):
+    """Three micro-batches: later views read only batches reaching the window."""
+    from tidepool.streaming import sources
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src = shared_dir(spark, "job-src")
+    day = F.dayofmonth("ts")
+    for cond in (day < 11, (day >= 11) & (day < 21), day >= 21):
+        events.where(cond).coalesce(1).write.mode("append").parquet(src)
+    ev = sources.table_stream(spark, src, events.schema, max_files_per_trigger=1)
+    lines = ev.select(ntz_to_instant("ts").alias("ts"), fx.log_line().alias("line"))
+    got, cb = _collector()
+    window = 3 * 86400  # reaches back into the previous batch, not two back
+    runners.drain(jobs.start_url_counts(lines, shared_dir(spark, "job-url3"), on_result=cb,
+                                        window_s=window, available_now=True), 300)
+    assert len(got) == 3
+    urls = al.to_strict_urls(fx.logs(spark, SF_SMALL), "line", keep=("ts",))
+    assert got[max(got)] == _expected_top(urls, "url", window=window)

@@ -4,8 +4,9 @@ Each ``start_*`` takes a streaming DataFrame from :mod:`tidepool.streaming.sourc
 (``line``/``text`` plus an event-time ``ts`` TIMESTAMP) and a working folder, and
 returns the started ``StreamingQuery``. Per-tick views ("top 10 in the last 300 s",
 "totals in the last 300 s") are computed in ``foreachBatch`` from per-second
-counts: only the ticks of the current window are read (parquet min/max stats skip
-older files), so no job keeps 300 copies of each row in window state.
+counts: only the stored batches whose ticks reach into the current window are
+read, so no job keeps 300 copies of each row in window state and the per-batch
+cost does not grow with the stream's history.
 Results go to a callback ``on_result(batch_id, rows)`` (default: print), rows
 being a short list (top k, one alarm line).
 """
@@ -41,23 +42,41 @@ def _run(df, fn, name, base, mode="append", available_now=False, interval=runner
                                        interval=interval, checkpoint=f"{base}/checkpoint")
 
 
-def _window_view(sink: sinks.TickCountsSink, spark, until_tick: int, window_s: int) -> DataFrame:
+def _window_view(sink: sinks.TickCountsSink, spark, until_tick: int, window_s: int,
+                 batch_ids=None) -> DataFrame:
     """Sums per key over ticks (until - window, until]: the current window."""
-    c = sink.read(spark).where((F.col("tick") > until_tick - window_s) & (F.col("tick") <= until_tick))
+    c = sink.read(spark, batch_ids)
+    c = c.where((F.col("tick") > until_tick - window_s) & (F.col("tick") <= until_tick))
     return c.groupBy(*sink.keys).agg(*[F.sum(k).alias(k) for k in sink.measures])
 
 
-def _ticking(sink: sinks.TickCountsSink, view):
-    """foreachBatch: store this batch's per-second sums, then show the view at its last tick."""
+def _ticking(sink: sinks.TickCountsSink, view, window_s: int):
+    """foreachBatch: store this batch's per-second sums, then show the view at its
+    last tick. The tick range of every stored batch is remembered (one small
+    tuple per batch), so the view reads only the batches that reach into the
+    window, not the whole history; after a restart it reads everything once.
+    """
+    ranges: dict[int, tuple[int, int]] = {}
+    state = {"restarted": True}
+
     def run(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
         try:
-            last = batch_df.agg(F.max(F.unix_timestamp(sink.time_col))).first()[0]
+            secs = F.unix_timestamp(sink.time_col)
+            lo, hi = batch_df.agg(F.min(secs), F.max(secs)).first()
             sink(batch_df, batch_id)
         finally:
             batch_df.unpersist()
-        if last is not None:
-            view(batch_df.sparkSession, batch_id, int(last))
+        if hi is None:
+            return
+        ranges[batch_id] = (int(lo), int(hi))
+        last = int(hi)
+        if state["restarted"]:
+            ids = None
+            state["restarted"] = False
+        else:
+            ids = [b for b, (a, z) in ranges.items() if z > last - window_s and a <= last]
+        view(batch_df.sparkSession, batch_id, last, ids)
     return run
 
 
@@ -65,12 +84,13 @@ def _top_counts_job(keyed: DataFrame, key: str, base: str, name: str, on_result,
                     k: int, available_now: bool) -> StreamingQuery:
     sink = sinks.TickCountsSink(f"{base}/ticks", key, "ts")
 
-    def view(spark, batch_id, last):
-        top = (_window_view(sink, spark, last, window_s).where(F.col("n") > 0)
+    def view(spark, batch_id, last, ids):
+        top = (_window_view(sink, spark, last, window_s, ids).where(F.col("n") > 0)
                .orderBy(F.desc("n"), F.asc(key)).limit(k).collect())
         on_result(batch_id, [(r[key], r["n"]) for r in top])
 
-    return _run(keyed.select(key, "ts"), _ticking(sink, view), name, base, available_now=available_now)
+    return _run(keyed.select(key, "ts"), _ticking(sink, view, window_s), name, base,
+                available_now=available_now)
 
 
 # ------------------------------------------------------------------ log jobs
@@ -90,15 +110,15 @@ def start_alarm(lines: DataFrame, base: str, on_result=_print, window_s: int = W
         "success": (F.col("status_class") == "Success").cast("int"),
         "failure": (F.col("status_class") == "Failure").cast("int")})
 
-    def view(spark, batch_id, last):
-        r = _window_view(sink, spark, last, window_s).first()
+    def view(spark, batch_id, last, ids):
+        r = _window_view(sink, spark, last, window_s, ids).first()
         s, f = (r["success"] or 0, r["failure"] or 0) if r else (0, 0)
         out = [f"Total success: {s} Total failure: {f}"]
         if s + f > min_total:
             out.append(ALARM_MESSAGE if f > ratio * s else ALL_CLEAR_MESSAGE)
         on_result(batch_id, out)
 
-    return _run(cls, _ticking(sink, view), "alarm", base, available_now=available_now)
+    return _run(cls, _ticking(sink, view, window_s), "alarm", base, available_now=available_now)
 
 
 def start_batch_sql(lines: DataFrame, base: str, sql: str = BATCH_SQL, available_now: bool = False):

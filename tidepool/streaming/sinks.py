@@ -175,8 +175,12 @@ class TickCountsSink:
                         .agg(*[F.sum(m.cast("bigint")).alias(k) for k, m in self.measures.items()]))
         sums.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("batch_id")
+    def read(self, spark: SparkSession, batch_ids=None) -> DataFrame:
+        """All stored sums, or only those of ``batch_ids`` (no listing of the rest)."""
+        if batch_ids is None:
+            return spark.read.parquet(self.path).drop("batch_id")
+        paths = [f"{self.path}/batch_id={int(b)}" for b in batch_ids]
+        return spark.read.option("basePath", self.path).parquet(*paths).drop("batch_id")
 
     def sliding(self, spark: SparkSession, window="300 seconds", keep_zero: bool = True) -> DataFrame:
         from tidepool.operators.windows import sliding_sums
