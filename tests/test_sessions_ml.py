@@ -225,3 +225,19 @@ def test_linreg_train_then_score_in_one_batch(spark):
     got = spark.read.parquet(out).first()
     assert got["label"] == -1 and got["label_value"] == -1.74   # truncation toward zero
     assert abs(got["prediction"] - (m.weights[0] * 0.5 + m.intercept)) < 1e-12
+
+
+def test_small_helpers(spark):
+    from tidepool.functions.timecols import epoch_seconds, from_epoch_seconds
+    from tidepool.operators.batches import group_counts_per_batch, running_totals
+    df = spark.createDataFrame([(0, "a"), (0, "a"), (1, "b"), (2, "a")], "batch_id long, agent string")
+    per = group_counts_per_batch(df, "agent").orderBy("batch_id", "agent").collect()
+    assert [(r["batch_id"], r["agent"], r["total"]) for r in per] == [(0, "a", 2), (1, "b", 1), (2, "a", 1)]
+    counts = df.groupBy("batch_id").count()
+    run = running_totals(counts, "batch_id", {"count": None}).orderBy("batch_id").collect()
+    assert [r["running_count"] for r in run] == [2, 3, 4]
+    t = spark.createDataFrame([(1704067207,)], "s long").select(from_epoch_seconds("s").alias("t"))
+    assert t.select(epoch_seconds("t")).first()[0] == 1704067207
+    p = spark.createDataFrame([([2.0, 3.0],)], "f array<double>").select(
+        linreg.predict_array("f", [0.5, -1.0], 0.25)).first()[0]
+    assert p == 0.25 + 1.0 - 3.0
