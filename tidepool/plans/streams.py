@@ -3,7 +3,8 @@
 Each query runs a real Structured Streaming query over the events table
 (``availableNow`` trigger, its own checkpoint in the shared folder), lets the
 sink write, and returns what a reader of that sink sees. Results equal the
-batch twins, which is the point: operators are the same code on both paths.
+batch twins: the projections are the same code on both paths, and the stream
+aggregations are checked against the batch operators.
 """
 
 from __future__ import annotations
