@@ -241,3 +241,12 @@ def test_small_helpers(spark):
     p = spark.createDataFrame([([2.0, 3.0],)], "f array<double>").select(
         linreg.predict_array("f", [0.5, -1.0], 0.25)).first()[0]
     assert p == 0.25 + 1.0 - 3.0
+
+
+def test_kmeans_scaling(spark):
+    df = spark.createDataFrame([([100000.0 * i, 20.0 + i],) for i in range(10)], "features array<double>")
+    mu, sd = kmeans.scaling_stats(df, "features", 2)
+    scaled = kmeans.apply_scaling(df, "features", mu, sd).toPandas()
+    x = np.array(scaled["features"].tolist())
+    np.testing.assert_allclose(x.mean(axis=0), [0, 0], atol=1e-12)
+    np.testing.assert_allclose(x.std(axis=0), [1, 1], atol=1e-12)

@@ -14,7 +14,7 @@ as Spark's streaming k-means does.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -79,7 +79,6 @@ class StreamingKMeansModel:
     centres: np.ndarray
     weights: np.ndarray
     decay: float = DECAY
-    history: list = field(default_factory=list)
 
     @classmethod
     def random(cls, k: int = K, dim: int = DIM, weight: float = INITIAL_WEIGHT, seed: int = 42,
@@ -125,3 +124,24 @@ class StreamingKMeansModel:
 
 
 MODEL_SCHEMA = "batch_id bigint, cluster int, weight double, centre array<double>"
+
+
+def scaling_stats(df: DataFrame, features: str, dim: int = DIM):
+    """Per-dimension mean and population std in ONE aggregate (2*d numbers back).
+
+    The reference clusters raw (income, age) pairs whose scales differ by four
+    orders of magnitude; scaling is optional and off by default.
+    """
+    x = F.col(features)
+    row = df.agg(*[F.avg(x[i]).alias(f"m{i}") for i in range(dim)],
+                 *[F.stddev_pop(x[i]).alias(f"s{i}") for i in range(dim)]).first()
+    mu = [float(row[f"m{i}"]) for i in range(dim)]
+    sd = [float(row[f"s{i}"]) if row[f"s{i}"] else 1.0 for i in range(dim)]
+    return mu, sd
+
+
+def apply_scaling(df: DataFrame, features: str, mu, sd, out: str | None = None) -> DataFrame:
+    """``(x - mu) / sd`` per dimension; a projection, so it also runs on streams."""
+    x = F.col(features)
+    scaled = F.array(*[(x[i] - F.lit(m)) / F.lit(s) for i, (m, s) in enumerate(zip(mu, sd))])
+    return df.withColumn(out or features, scaled)

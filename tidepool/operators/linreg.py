@@ -10,7 +10,7 @@ with mini-batch fraction 1.0 would compute them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -87,7 +87,6 @@ class StreamingLinearModel:
     step: float = STEP_SIZE
     iters: int = NUM_ITERATIONS
     tol: float = CONVERGENCE_TOL
-    history: list = field(default_factory=list)
 
     @classmethod
     def zeros(cls, d: int = NUM_FEATURES, **kw) -> "StreamingLinearModel":

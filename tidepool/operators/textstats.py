@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import utf16_length
 
+EXACT_DIGITS = 6
+
 
 def text_length_stats(df: DataFrame, text: str = "text", by=()) -> DataFrame:
-    """``n, total_chars, avg_length (floor), exact_avg_length, longest`` [per group]."""
+    """``n, total_chars, avg_length (floor, as the reference), exact_avg_length, longest``."""
     length = utf16_length(text)
     agg = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
@@ -23,6 +25,7 @@ def text_length_stats(df: DataFrame, text: str = "text", by=()) -> DataFrame:
     return agg.select(
         *by, "n", "total_chars",
         F.floor(F.col("total_chars") / F.col("n")).cast("bigint").alias("avg_length"),
+        F.round(F.col("total_chars") / F.col("n"), EXACT_DIGITS).alias("exact_avg_length"),
         F.col("longest"))
 
 
@@ -31,7 +34,8 @@ def text_length_by_batch(df: DataFrame, text: str = "text", batch_col: str = "ba
 
     ``n``/``chars``/``longest`` of the batch itself; ``total_n``/``total_chars``
     since the start; ``avg_length`` = total_chars div total_n (integer division,
-    as in the reference); ``longest_all_time`` as the extra all-time figure.
+    as in the reference) and ``exact_avg_length`` next to it; ``longest_all_time``
+    as the extra all-time figure.
     """
     length = utf16_length(text)
     per = df.groupBy(batch_col).agg(
@@ -41,5 +45,7 @@ def text_length_by_batch(df: DataFrame, text: str = "text", batch_col: str = "ba
                      F.sum("n").over(w).alias("total_n"),
                      F.sum("chars").over(w).alias("total_chars"),
                      F.max("longest").over(w).alias("longest_all_time"))
-    return out.withColumn("avg_length",
-                          F.floor(F.col("total_chars") / F.col("total_n")).cast("bigint"))
+    return (out.withColumn("avg_length",
+                           F.floor(F.col("total_chars") / F.col("total_n")).cast("bigint"))
+               .withColumn("exact_avg_length",
+                           F.round(F.col("total_chars") / F.col("total_n"), EXACT_DIGITS)))

@@ -214,12 +214,14 @@ from r group by 1, 2""",
 
     "text_length_stats": f"""
 select role, count(*) as n, cast(sum({U16}) as bigint) as total_chars,
-  cast(floor(sum({U16}) / count(*)) as bigint) as avg_length, cast(max({U16}) as bigint) as longest
+  cast(floor(sum({U16}) / count(*)) as bigint) as avg_length,
+  round(sum({U16}) / count(*), 6) as exact_avg_length, cast(max({U16}) as bigint) as longest
 from conversations group by role""",
 
     "text_length_by_batch": _with(STATUSES) + f"""
 select batch_id, n, chars, longest, total_n, total_chars, longest_all_time,
-  cast(floor(total_chars / total_n) as bigint) as avg_length
+  cast(floor(total_chars / total_n) as bigint) as avg_length,
+  round(total_chars / total_n, 6) as exact_avg_length
 from (select batch_id, n, chars, longest,
         cast(sum(n) over (order by batch_id rows between unbounded preceding and current row) as bigint) as total_n,
         cast(sum(chars) over (order by batch_id rows between unbounded preceding and current row) as bigint) as total_chars,
