@@ -164,3 +164,12 @@ def test_url_counts_job_reads_only_recent_batches(spark):
     assert len(got) == 3
     urls = al.to_strict_urls(fx.logs(spark, SF_SMALL), "line", keep=("ts",))
     assert got[max(got)] == _expected_top(urls, "url", window=window)
+
+
+def test_sessions_job_without_event_ids(spark):
+    """Line sources (socket, Kafka) carry no event id; ties are broken by a generated one."""
+    lines = _log_stream(spark, SF_SMALL).drop("event_id")
+    got, cb = _collector()
+    runners.drain(jobs.start_sessions(lines, shared_dir(spark, "job-sessions2"), on_result=cb,
+                                      available_now=True), 300)
+    assert got and max(len(r) for r in got.values()) > 0

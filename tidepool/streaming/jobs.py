@@ -145,9 +145,9 @@ def start_row_store(lines: DataFrame, base: str, keys=("ip", "url"), available_n
 def start_sessions(lines: DataFrame, base: str, on_result=_print, available_now: bool = False):
     """Per-ip sessions (count + first 10 urls, 30-minute idle timeout); each batch
     the current snapshot is queried with the reference's SQL."""
-    visits = al.to_visits(lines.withColumn("event_id", F.monotonically_increasing_id())
-                          if "event_id" not in lines.columns else lines,
-                          "line", keep=("event_id", "ts"))
+    if "event_id" not in lines.columns:  # order lines sharing a timestamp deterministically
+        lines = lines.withColumn("event_id", F.xxhash64("line"))
+    visits = al.to_visits(lines, "line", keep=("event_id", "ts"))
     table = sinks.UpsertTable(f"{base}/sessions", ["ip"], ["_batch"])
 
     def run(batch_df, batch_id):
