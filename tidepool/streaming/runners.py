@@ -9,6 +9,8 @@ backfills pass ``available_now=True``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,7 +35,8 @@ def start_foreach_batch(df: DataFrame, fn, name: str, output_mode: str = "append
                         checkpoint: str | None = None) -> StreamingQuery:
     """Run ``fn(batch_df, batch_id)`` on every micro-batch."""
     cp = checkpoint or shared_dir(df.sparkSession, f"checkpoint-{name}")
-    w = (df.writeStream.queryName(f"{name}") .outputMode(output_mode)
+    # names must be unique among active queries: two jobs of one kind can run side by side
+    w = (df.writeStream.queryName(f"{name}-{uuid.uuid4().hex[:8]}").outputMode(output_mode)
            .option("checkpointLocation", cp).foreachBatch(fn))
     return _trigger(w, available_now, interval).start()
 
