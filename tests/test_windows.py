@@ -83,3 +83,10 @@ def test_sliding_halo_at_every_boundary(spark):
     b = windows.sliding_sums(ev, "key", None, "ts", "2 hours", "1 second", period="365 days")
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_window_copy_guard(spark):
+    import pytest
+    ev = _events(spark)
+    with pytest.raises(ValueError, match="max_copies"):
+        windows.window_counts(ev, "key", "ts", "1 day", "1 second")

@@ -120,13 +120,19 @@ def sliding_counts(df: DataFrame, key, time_col: str = "ts", window="300 seconds
     return sliding_sums(df, key, {out: F.lit(1)}, time_col, window, tick, keep_zero=keep_zero)
 
 
+MAX_WINDOW_COPIES = 10_000
+
+
 def window_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = None,
-                time_col: str = "ts", window="300 seconds", slide="1 second") -> DataFrame:
+                time_col: str = "ts", window="300 seconds", slide="1 second",
+                max_copies: int = MAX_WINDOW_COPIES) -> DataFrame:
     """Sums per ``(window_start, window_end, *keys)`` equal to ``window(ts, W, S)``.
 
     Windows are ``[start, start + W)`` with ``start`` a multiple of ``S`` (epoch
     aligned, no offset); only windows holding at least one row appear. Times are
-    epoch seconds.
+    epoch seconds. The output has up to ``W/S`` rows per (bucket, key), so a
+    very fine slide is refused above ``max_copies``: :func:`sliding_sums` gives
+    the same values as a step function without the copies.
     """
     keys = _keys(keys)
     measures = dict(measures or {"n": F.lit(1)})
@@ -134,6 +140,9 @@ def window_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = Non
     if w_s % s_s:
         raise ValueError("window must be a multiple of slide")
     copies = w_s // s_s
+    if copies > max_copies:
+        raise ValueError(f"{copies} windows per bucket exceed max_copies={max_copies}; "
+                         "use sliding_sums for the step function instead")
     bucket = (F.floor(epoch_seconds(time_col) / s_s) * s_s).alias("_bucket")
     names = list(measures)
     # tumbling pre-aggregate: map-side combine before the first shuffle
