@@ -189,3 +189,13 @@ def test_alarm_messages(spark):
     assert [r["state"] for r in out] == ["alarm", "ok", "quiet"]
     assert [r["alarm_message"] for r in out] == [ALARM_MESSAGE, ALL_CLEAR_MESSAGE, None]
     assert out[0]["totals_message"] == "Total success: 10 Total failure: 101"
+
+
+def test_upsert_auto_compaction(spark):
+    t = sinks.UpsertTable(shared_dir(spark, "upsert-compact"), ["k"], ["v"], compact_every=2)
+    for b, (k, v) in enumerate([("a", 1), ("b", 2), ("a", 3), ("c", 4), ("b", 0)]):
+        t.merge(spark.createDataFrame([(k, v)], "k string, v int"), b)
+    marker = spark.read.parquet(f"{t.path}/_base_marker").first()["covered"]
+    assert marker == 4
+    got = sorted((r["k"], r["v"]) for r in t.read(spark).collect())
+    assert got == [("a", 3), ("b", 2), ("c", 4)]  # order column decides, not arrival

@@ -89,10 +89,11 @@ class UpsertTable:
     O(batch), not O(table); ``compact`` folds the deltas into a new base.
     """
 
-    def __init__(self, path: str, keys, order):
+    def __init__(self, path: str, keys, order, compact_every: int | None = None):
         self.path = path.rstrip("/")
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.order = [order] if isinstance(order, str) else list(order)
+        self.compact_every = compact_every
 
     @staticmethod
     def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
@@ -113,6 +114,8 @@ class UpsertTable:
     def merge(self, batch_df: DataFrame, batch_id: int) -> None:
         delta = self.latest_per_key(batch_df, self.keys, self.order)
         delta.write.mode("overwrite").parquet(f"{self.path}/delta/batch_id={int(batch_id)}")
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(batch_df.sparkSession, batch_id)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         self.merge(batch_df, batch_id)
