@@ -226,9 +226,10 @@ def stream_session_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidepool.streaming.sessions import snapshot_sql
     visits = al.to_visits(_log_stream(spark, sf_dir), "line", keep=("event_id", "ts"))
     cp = shared_dir(spark, "checkpoint-session-snapshot")
-    q = (session_state(visits, "ip").writeStream.format("noop").outputMode("update")
-            .queryName("session_snapshot").option("checkpointLocation", cp)
-            .trigger(availableNow=True).start())
+    q = runners.start_with_partitions(
+        session_state(visits, "ip").writeStream.format("noop").outputMode("update")
+        .queryName("session_snapshot").option("checkpointLocation", cp)
+        .trigger(availableNow=True), spark)
     runners.drain(q, TIMEOUT_S)
     last_data = max(p.batchId for p in q.recentProgress if p.numInputRows > 0)
     snap = snapshot_sql(spark, cp, last_data)

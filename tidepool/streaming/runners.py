@@ -30,15 +30,46 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(processingTime=interval)
 
 
+def state_partitions(spark) -> int:
+    """Default state-store partition count for a new stateful query.
+
+    It is fixed for the life of a checkpoint at the first micro-batch. The
+    cluster's parallelism (one state task per core) is used, capped by the
+    session's shuffle partitions, so a local run does not commit 200 stores a batch.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return max(1, min(current, spark.sparkContext.defaultParallelism))
+    except Exception:  # pragma: no cover - no SparkContext (Spark Connect)
+        return current
+
+
+def start_with_partitions(writer, spark, partitions: int | None = None) -> StreamingQuery:
+    """``writer.start()`` with the shuffle/state partition count set for this query.
+
+    A streaming query copies the session conf when it starts, so the setting is
+    applied around ``start()`` only and the session is left as it was.
+    """
+    n = partitions or state_partitions(spark)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_foreach_batch(df: DataFrame, fn, name: str, output_mode: str = "append",
                         available_now: bool = False, interval: str = BATCH_INTERVAL,
-                        checkpoint: str | None = None) -> StreamingQuery:
+                        checkpoint: str | None = None,
+                        partitions: int | None = None) -> StreamingQuery:
     """Run ``fn(batch_df, batch_id)`` on every micro-batch."""
     cp = checkpoint or shared_dir(df.sparkSession, f"checkpoint-{name}")
     # names must be unique among active queries: two jobs of one kind can run side by side
     w = (df.writeStream.queryName(f"{name}-{uuid.uuid4().hex[:8]}").outputMode(output_mode)
            .option("checkpointLocation", cp).foreachBatch(fn))
-    return _trigger(w, available_now, interval).start()
+    return start_with_partitions(_trigger(w, available_now, interval), df.sparkSession, partitions)
 
 
 def sql_each_batch(sql: str = BATCH_SQL, view: str = BATCH_VIEW, sink=None):
