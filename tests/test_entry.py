@@ -16,7 +16,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     missing = set(se.queries()) - set(se.oracle_sql())
-    assert missing <= {"kmeans_stream", "linreg_sgd_stream"}
+    assert missing <= {"kmeans_stream"}
 
 
 @pytest.fixture(scope="module")

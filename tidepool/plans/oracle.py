@@ -334,6 +334,45 @@ select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
 ORACLE["stream_session_first10"] = ORACLE["session_first10"]
 ORACLE["stream_kmeans_step"] = ORACLE["kmeans_step"]
+# Streaming SGD replayed in SQL: per-batch moments, then 50 gradient steps per
+# batch (step 0.1/sqrt(i), stop when the change is below 0.001 of the weights'
+# norm), weights carried from batch to batch.
+ORACLE["linreg_sgd_stream"] = """with recursive
+reg as (
+  select l_extendedprice / 1000 as y, l_quantity as x,
+    cast(floor(epoch(l_shipdate) / 31536000) as bigint) as batch_id from lineitem),
+st as (select avg(x) as mu, stddev_pop(x) as sd from reg),
+z as (select batch_id, y, (x - (select mu from st)) / (select sd from st) as xs from reg),
+m as (
+  select batch_id, count(*) as n, sum(xs * xs) as g00, sum(xs * 1.0) as g01,
+    sum(1.0 * 1.0) as g11, sum(xs * y) as h0, sum(1.0 * y) as h1,
+    row_number() over (order by batch_id) as r
+  from z group by batch_id),
+s(r, i, w, b, fin) as (
+  select 1, 0, cast(0.0 as double), cast(0.0 as double), false
+  union all
+  select m.r,
+    case when s.fin then 0 else s.i + 1 end,
+    case when s.fin then s.w
+         else s.w - (0.1 / sqrt(s.i + 1)) * ((m.g00 * s.w + m.g01 * s.b - m.h0) / m.n) end,
+    case when s.fin then s.b
+         else s.b - (0.1 / sqrt(s.i + 1)) * ((m.g01 * s.w + m.g11 * s.b - m.h1) / m.n) end,
+    case when s.fin then false
+         else (s.i + 1 = 50) or (s.i + 1 >= 2 and
+           sqrt((s.w - (s.w - (0.1 / sqrt(s.i + 1)) * ((m.g00 * s.w + m.g01 * s.b - m.h0) / m.n)))
+              * (s.w - (s.w - (0.1 / sqrt(s.i + 1)) * ((m.g00 * s.w + m.g01 * s.b - m.h0) / m.n)))
+              + (s.b - (s.b - (0.1 / sqrt(s.i + 1)) * ((m.g01 * s.w + m.g11 * s.b - m.h1) / m.n)))
+              * (s.b - (s.b - (0.1 / sqrt(s.i + 1)) * ((m.g01 * s.w + m.g11 * s.b - m.h1) / m.n))))
+           < 0.001 * greatest(sqrt(
+               (s.w - (0.1 / sqrt(s.i + 1)) * ((m.g00 * s.w + m.g01 * s.b - m.h0) / m.n))
+             * (s.w - (0.1 / sqrt(s.i + 1)) * ((m.g00 * s.w + m.g01 * s.b - m.h0) / m.n))
+             + (s.b - (0.1 / sqrt(s.i + 1)) * ((m.g01 * s.w + m.g11 * s.b - m.h1) / m.n))
+             * (s.b - (0.1 / sqrt(s.i + 1)) * ((m.g01 * s.w + m.g11 * s.b - m.h1) / m.n))), 1.0))
+    end
+  from s join m on m.r = s.r + case when s.fin then 1 else 0 end)
+select m.batch_id, m.n, round(s.w, 6) as weight, round(s.b, 6) as intercept
+from s join m on m.r = s.r
+where s.fin"""
 ORACLE["stream_kmeans_predict"] = ORACLE["kmeans_predict"]
 ORACLE["stream_url_sliding_counts"] = ORACLE["url_sliding_counts"]
 ORACLE["stream_error_rate_alarm_ticks"] = ORACLE["error_rate_alarm_ticks"]

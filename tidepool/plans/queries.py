@@ -274,7 +274,9 @@ def linreg_sgd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = r.agg(F.avg("x").alias("mu"), F.stddev_pop("x").alias("sd")).first()
     r = r.withColumn("xs", (F.col("x") - F.lit(stats["mu"])) / F.lit(stats["sd"] or 1.0))
     r = batches.with_batch(r, "l_shipdate", "365 days")
-    return linreg_replay(r, "y", ["xs"], "batch_id", linreg.StreamingLinearModel.zeros(1))
+    out = linreg_replay(r, "y", ["xs"], "batch_id", linreg.StreamingLinearModel.zeros(1))
+    return out.select("batch_id", "n", F.round(F.col("weights")[0], REG_DIGITS).alias("weight"),
+                      F.round("intercept", REG_DIGITS).alias("intercept"))
 
 
 QUERIES = {
