@@ -25,7 +25,7 @@ from tidepool.operators.kmeans import StreamingKMeansModel
 from tidepool.operators.linreg import StreamingLinearModel
 from tidepool.streaming import runners, sinks
 from tidepool.streaming.ml import kmeans_foreach_batch, linreg_foreach_batch
-from tidepool.streaming.sessions import session_state, snapshot_sql
+from tidepool.streaming.sessions import SNAPSHOT_SQL, SNAPSHOT_VIEW, session_state, snapshot_sql
 
 WINDOW_S = 300
 TOP_K = 10
@@ -151,9 +151,11 @@ def start_sessions(lines: DataFrame, base: str, on_result=_print, available_now:
     table = sinks.UpsertTable(f"{base}/sessions", ["ip"], ["_batch"])
 
     def run(batch_df, batch_id):
+        spark = batch_df.sparkSession
         table.merge(batch_df.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id)
-        snap = table.read(batch_df.sparkSession)
-        on_result(batch_id, [tuple(r) for r in snap.orderBy(F.desc("session_length")).limit(20).collect()])
+        table.read(spark).drop("_batch").createOrReplaceTempView(SNAPSHOT_VIEW)
+        shown = spark.sql(SNAPSHOT_SQL).orderBy("ip").limit(20).collect()  # what show() prints
+        on_result(batch_id, [tuple(r) for r in shown])
 
     return _run(session_state(visits, "ip"), run, "sessions", base, mode="update",
                 available_now=available_now)
