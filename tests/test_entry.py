@@ -14,9 +14,8 @@ def test_entry_smoke(spark):
     assert df.columns == ["window_start", "window_end", "tag", "n", "rank"]
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    missing = set(se.queries()) - set(se.oracle_sql())
-    assert missing <= {"kmeans_stream"}
+def test_every_query_has_an_oracle():
+    assert set(se.queries()) == set(se.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -151,7 +151,7 @@ def test_kmeans_stream_query_brute_force(spark):
     for i, (b, c, w) in enumerate(expect):
         rows = got[i * kmeans.K:(i + 1) * kmeans.K]
         assert all(r["batch_id"] == b for r in rows)
-        np.testing.assert_allclose([r["centre"] for r in rows], c, rtol=1e-9, atol=1e-9)
+        np.testing.assert_allclose([[r["c_0"], r["c_1"]] for r in rows], np.round(c, 6), atol=2e-6)
         np.testing.assert_allclose([r["weight"] for r in rows], w)
 
 

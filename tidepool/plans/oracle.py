@@ -334,6 +334,71 @@ select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
 ORACLE["stream_session_first10"] = ORACLE["session_first10"]
 ORACLE["stream_kmeans_step"] = ORACLE["kmeans_step"]
+# Streaming k-means replayed in SQL: the centre and weight lists are carried from
+# daily batch to daily batch; each step assigns the batch's points, applies the
+# weighted update and splits the largest cluster when one is dying.
+ORACLE["kmeans_stream"] = """with recursive
+pts as (
+  select cast(floor(epoch(ts) / 86400) as bigint) as batch_id, value as v0,
+    cast(user_id as double) as v1 from events),
+bid as (select batch_id, row_number() over (order by batch_id) as r from (select distinct batch_id from pts)),
+p as (select bid.r, pts.v0, pts.v1 from pts join bid using (batch_id)),
+c0 as (
+  select list([value, cast(user_id as double)] order by event_id) as cs
+  from (select event_id, value, user_id from events order by event_id limit 5)),
+s(r, cs, ws) as (
+  select 0, cs, cast([0.0, 0.0, 0.0, 0.0, 0.0] as double[]) from c0
+  union all
+  select s.r + 1, u.cs, u.ws
+  from s, lateral (
+    select
+      case when list_min(ws1) < 1e-8 * list_max(ws1) then
+        list_transform(range(5), lambda j:
+          case when j + 1 = list_position(ws1, list_max(ws1))
+                 then list_transform(cs1[j + 1], lambda x: x + 1e-14 * greatest(abs(x), 1.0))
+               when j + 1 = list_position(ws1, list_min(ws1))
+                 then list_transform(cs1[list_position(ws1, list_max(ws1))],
+                                     lambda x: x - 1e-14 * greatest(abs(x), 1.0))
+               else cs1[j + 1] end)
+      else cs1 end as cs,
+      case when list_min(ws1) < 1e-8 * list_max(ws1) then
+        list_transform(range(5), lambda j:
+          case when j + 1 = list_position(ws1, list_max(ws1)) or j + 1 = list_position(ws1, list_min(ws1))
+               then (list_max(ws1) + list_min(ws1)) / 2.0 else ws1[j + 1] end)
+      else ws1 end as ws
+    from (
+      select
+        list_transform(range(5), lambda j:
+          case when len(list_filter(agg, lambda a: a.k = j)) = 0 then s.cs[j + 1]
+               else [ (1.0 - list_filter(agg, lambda a: a.k = j)[1].m
+                             / greatest(s.ws[j + 1] + list_filter(agg, lambda a: a.k = j)[1].m, 1e-16))
+                        * s.cs[j + 1][1]
+                      + (list_filter(agg, lambda a: a.k = j)[1].m
+                             / greatest(s.ws[j + 1] + list_filter(agg, lambda a: a.k = j)[1].m, 1e-16)
+                         / list_filter(agg, lambda a: a.k = j)[1].m) * list_filter(agg, lambda a: a.k = j)[1].s0,
+                      (1.0 - list_filter(agg, lambda a: a.k = j)[1].m
+                             / greatest(s.ws[j + 1] + list_filter(agg, lambda a: a.k = j)[1].m, 1e-16))
+                        * s.cs[j + 1][2]
+                      + (list_filter(agg, lambda a: a.k = j)[1].m
+                             / greatest(s.ws[j + 1] + list_filter(agg, lambda a: a.k = j)[1].m, 1e-16)
+                         / list_filter(agg, lambda a: a.k = j)[1].m) * list_filter(agg, lambda a: a.k = j)[1].s1 ]
+          end) as cs1,
+        list_transform(range(5), lambda j:
+          s.ws[j + 1] + coalesce(list_sum(list_transform(list_filter(agg, lambda a: a.k = j), lambda a: a.m)), 0.0)) as ws1
+      from (
+        select list({'k': k, 'm': cast(m as double), 's0': s0, 's1': s1}) as agg from (
+          select k, count(*) as m, sum(v0) as s0, sum(v1) as s1 from (
+            select cast(list_position(dd, list_min(dd)) - 1 as integer) as k, v0, v1 from (
+              select v0, v1, list_transform(s.cs, lambda c: (c[1] - v0) * (c[1] - v0) + (c[2] - v1) * (c[2] - v1)) as dd
+              from p where p.r = s.r + 1))
+          group by k))
+    )
+  ) u
+  where s.r < (select max(r) from bid))
+select bid.batch_id, cast(j - 1 as integer) as cluster, s.ws[j] as weight,
+  round(s.cs[j][1], 6) as c_0, round(s.cs[j][2], 6) as c_1
+from s join bid on bid.r = s.r, (select unnest(range(1, 6)) as j)
+"""
 # Streaming SGD replayed in SQL: per-batch moments, then 50 gradient steps per
 # batch (step 0.1/sqrt(i), stop when the change is below 0.001 of the weights'
 # norm), weights carried from batch to batch.

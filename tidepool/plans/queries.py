@@ -228,7 +228,10 @@ def kmeans_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidepool.streaming.ml import kmeans_replay
     df = batches.with_batch(_kmeans_input(spark, sf_dir), "ts", BATCH_EVERY)
     model = kmeans.StreamingKMeansModel.given(_first_centres(df, kmeans.K))
-    return kmeans_replay(df, "features", "batch_id", model)
+    out = kmeans_replay(df, "features", "batch_id", model)
+    return out.select("batch_id", "cluster", "weight",
+                      *[F.round(F.col("centre")[i], KMEANS_DIGITS).alias(f"c_{i}")
+                        for i in range(kmeans.DIM)])
 
 
 # ---------------------------------------------------------------- regression
