@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, wordpiece
+from tidepool.llm import bpe, quality, urlfilter, wordpiece
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "byte_bpe_50k.tiktoken"
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
                                 public_tokenizers.PATTERN)
@@ -23,9 +27,18 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filters": op2_url_filters,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_token_counts": op9_token_counts,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_url_filters": urlfilter.ORACLE_SQL,
+    "op10_quality_rules": quality.ORACLE_SQL,
+}
