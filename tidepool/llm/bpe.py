@@ -29,7 +29,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tidepool.llm.common import id_text, ship
+from tidepool.llm.common import blocks, id_text, ship
 
 #: A task merges the pieces of documents together up to this many characters of text.
 BLOCK_CHARS = 16_000_000
@@ -247,25 +247,24 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         lines = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
 
         gc.disable()  # many small lists, no cycles
         coder = _loaded(lines.value, pattern)
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:4 + with_ids]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())][:4 + with_ids]
         for batch in batches:
-            size = batch["text"].str.len().cumsum() // BLOCK_CHARS
-            for _, block in batch.groupby(size, sort=False):
+            for ids, texts in blocks(batch, BLOCK_CHARS):
+                found = coder.numbered(texts)
                 rows = []
-                found = coder.numbered(block["text"].tolist())
-                for doc_id, codes in zip(block["doc_id"], found, strict=True):
-                    ids = [coder.ids[c] for c in codes]
+                for codes in found:
+                    pieces = [coder.ids[c] for c in codes]
                     joined = ",".join([coder.joined_ids[c] for c in codes])
                     decoded = b"".join([coder.decoded[c] for c in codes])
-                    row = [doc_id, sum(map(len, ids)), hashlib.sha256(joined.encode()).hexdigest(),
+                    row = [sum(map(len, pieces)), hashlib.sha256(joined.encode()).hexdigest(),
                            hashlib.sha256(decoded).hexdigest()]
-                    rows.append([*row, list(chain.from_iterable(ids))] if with_ids else row)
-                out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256",
-                                                  *["ids"] * with_ids])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                    rows.append([*row, list(chain.from_iterable(pieces))] if with_ids else row)
+                columns = [ids, *map(list, zip(*rows, strict=True))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return id_text(docs, id_col, text_col).mapInPandas(run, SCHEMA + ", ids array<int>" * with_ids)
+    return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA + ", ids array<int>" * with_ids)

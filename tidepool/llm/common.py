@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +49,17 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Only the id (long) and the text (null: empty), whatever else the table holds."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def blocks(batch, most: int) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of an Arrow batch of ``id_text``, cut to about ``most`` characters; a text stays whole."""
+    ids, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        ids.append(doc_id)
+        texts.append(text)
+        size += len(text)
+        if size >= most:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts

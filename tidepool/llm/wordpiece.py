@@ -24,11 +24,14 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from tidepool.llm.common import WORD, id_text, ship
+from tidepool.llm.common import WORD, blocks, id_text, ship
 
 #: Most words that a worker remembers the count of.
 MEMO_WORDS = 1_000_000
 
+#: A task takes texts of about this many characters at a time.
+BLOCK_CHARS = 16_000_000
+
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 _ROOT = 0
 
@@ -122,16 +125,14 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
         lines = spark.sparkContext.broadcast(f.read())  # a fixed vocabulary, under 1 MB
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
 
         counter, words_of = _loaded(lines.value), re.compile(WORD).findall
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                words = words_of(text)
-                rows.append((doc_id, len(words), counter.count_text(words)))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_tokens"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return id_text(docs, id_col, text_col).mapInPandas(run, SCHEMA)
+            for ids, texts in blocks(batch, BLOCK_CHARS):
+                words = list(map(words_of, texts))
+                columns = [ids, list(map(len, words)), list(map(counter.count_text, words))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                                 ["doc_id", "n_words", "n_tokens"])
+
+    return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
