@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, html_extract, quality, urlfilter, warc, wordpiece
+from tidepool.llm import bpe, html_extract, pii, quality, urlfilter, warc, wordpiece
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": op2_url_filters,
+    "op3_pii": op3_pii,
     "op4_warc": op4_warc,
     "op5_html_text": op5_html_text,
     "op6_byte_bpe": op6_byte_bpe,
