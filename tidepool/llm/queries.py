@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, html_extract, pii, quality, urlfilter, warc, wordpiece
+from tidepool.llm import bpe, decontaminate, html_extract, pii, quality, urlfilter, warc, wordpiece
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "byte_bpe_50k.tiktoken"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_pages(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_url_filters": op2_url_filters,
     "op3_pii": op3_pii,
     "op4_warc": op4_warc,
