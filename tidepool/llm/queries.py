@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, decontaminate, html_extract, pii, quality, urlfilter, warc, wordpiece
+from tidepool.llm import bpe, decontaminate, html_extract, ngram_join, pii, quality, urlfilter, warc, wordpiece
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_html_text": op5_html_text,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_ngram_join": op7_ngram_join,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
