@@ -187,8 +187,11 @@ def keep(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     cutoffs = written(calibrate(figures, labels), "quality-cutoffs")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
     rows = with_figures(whole, F.col(f"_doc.`{text_col}`"))
-    rows = rows.select("_doc", F.coalesce(F.col(f"_doc.`{stratum_col}`").cast("string"), F.lit("?")).alias("stratum"), "_q.*")
-    return _judged(rows, cutoffs).where("kept").select("_doc.*")
+    # a condition on the row number keeps Spark from moving the filter, and with it a copy of
+    # every count's expression for each use of it, below the counts
+    rows = rows.select("_doc", F.coalesce(F.col(f"_doc.`{stratum_col}`").cast("string"), F.lit("?")).alias("stratum"),
+                       "_q", F.monotonically_increasing_id().alias("_row")).select("_doc", "stratum", "_q.*", "_row")
+    return _judged(rows, cutoffs).where("kept AND _row >= 0").select("_doc.*")
 
 
 def _steps_sql() -> str:
