@@ -41,12 +41,12 @@ ERROR = 0.05
 LEAST_BAD = 0.8
 
 #: The rules: figure and cutoffs from lenient to strict; a text is rejected above the cutoff.
-RULES: dict[str, tuple[Column, list[float]]] = {
-    "symbols_per_100_words": (F.lit(100.0) * F.col("n_symbols") / F.col("n_words"), [300, 200, 100, 50, 25, 10]),
-    "repeated_per_100_words": (F.lit(100.0) * F.col("n_repeat_words") / F.col("n_words"), [45, 40, 35, 30, 25, 20]),
-    "dup_lines_per_100_words": (F.lit(100.0) * F.col("n_dup_lines") / F.col("n_words"), [20, 15, 10, 8, 6, 4]),
-    "chars_per_word": (1.0 * F.col("word_chars") / F.col("n_words"), [40, 30, 25, 20, 17, 15]),
-    "words_per_100_chars": (F.lit(100.0) * F.col("n_words") / F.col("word_chars"), [70, 60, 50, 45, 40, 35]),
+RULES: dict[str, tuple[str, list[float]]] = {
+    "symbols_per_100_words": ("100D * n_symbols / n_words", [300, 200, 100, 50, 25, 10]),
+    "repeated_per_100_words": ("100D * n_repeat_words / n_words", [45, 40, 35, 30, 25, 20]),
+    "dup_lines_per_100_words": ("100D * n_dup_lines / n_words", [20, 15, 10, 8, 6, 4]),
+    "chars_per_word": ("1D * word_chars / n_words", [40, 30, 25, 20, 17, 15]),
+    "words_per_100_chars": ("100D * n_words / word_chars", [70, 60, 50, 45, 40, 35]),
 }
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -123,7 +123,7 @@ def calibrate(figures: DataFrame, labels: DataFrame, loss: float = LOSS_LIMIT, e
     rows = figures.where(~_base_failed()).join(known, "doc_id")
     held = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < "8"
     tests = F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"),
-                               (figure > c).alias("rejected"))
+                               (F.expr(figure) > c).alias("rejected"))
                       for name, (figure, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)])
     one = lambda x: F.sum(F.when(x, 1).otherwise(0))
     good = F.col("good") == 1
@@ -154,7 +154,7 @@ def _judged(df: DataFrame, cutoffs: DataFrame) -> DataFrame:
     by_rule = (cutoffs.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
                .withColumnsRenamed({name: f"_cut_{name}" for name in RULES}))
     df = df.join(by_rule, "stratum", "left")
-    failed = F.coalesce(*[F.when(figure > F.col(f"_cut_{name}"), F.lit(name)) for name, (figure, _) in RULES.items()])
+    failed = F.coalesce(*[F.when(F.expr(figure) > F.col(f"_cut_{name}"), F.lit(name)) for name, (figure, _) in RULES.items()])
     df = df.withColumn("base_failed", _base_failed())
     df = df.withColumn("failed_rule", F.when(~F.col("base_failed"), failed))
     return df.withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull()) \
@@ -195,16 +195,11 @@ def keep(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
 
 
 def _steps_sql() -> str:
-    exprs = {"symbols_per_100_words": "100.0::DOUBLE * n_symbols / n_words",
-             "repeated_per_100_words": "100.0::DOUBLE * n_repeat_words / n_words",
-             "dup_lines_per_100_words": "100.0::DOUBLE * n_dup_lines / n_words",
-             "chars_per_word": "word_chars::DOUBLE / n_words",
-             "words_per_100_chars": "100.0::DOUBLE * n_words / word_chars"}
     return " UNION ALL ".join(
-        f"SELECT rn, '{name}' AS rule, {r} AS ord, s.step, s.cutoff, {exprs[name]} AS figure FROM q, "
+        f"SELECT rn, '{name}' AS rule, {r} AS ord, s.step, s.cutoff, {figure.replace('D ', '::DOUBLE ')} AS figure FROM q, "
         f"(VALUES {', '.join(f'({i}, {float(c)}::DOUBLE)' for i, c in enumerate(cutoffs))}) s(step, cutoff) "
         "WHERE NOT base_failed"
-        for r, (name, (_, cutoffs)) in enumerate(RULES.items()))
+        for r, (name, (figure, cutoffs)) in enumerate(RULES.items()))
 
 
 #: The common table expressions that judge all rows of ``documents``; the pipeline's SQL uses them, too.
