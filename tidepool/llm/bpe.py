@@ -23,7 +23,7 @@ import base64
 import gc
 import hashlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import regex
@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from tidepool.llm.common import blocks, id_text, ship
 
 #: A task merges the pieces of documents together up to this many characters of text.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
+#: Different new pieces in one linked list and queue.
+MERGED_AT_ONCE = 100_000
 #: A worker forgets the pieces it has met once it knows more than this many.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 300_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -117,8 +119,12 @@ class ByteBpe:
         entry = {r: b for b, r in ranks.items()}
         self.early = {r for k, r in pairs
                       if ranks.get(entry[r] + entry[k // self.size], r) < r}
-        self.known = _Numbered()  # pieces met so far, by number
-        self.ids: list[list[int]] = []
+        self._forget()
+
+    def _forget(self) -> None:
+        """The pieces met so far by number, and for each how many ids, the ids as text, and their bytes."""
+        self.known = _Numbered()
+        self.counts: list[int] = []
         self.joined_ids: list[str] = []
         self.decoded: list[bytes] = []
 
@@ -129,7 +135,7 @@ class ByteBpe:
 
     def _joins(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair; -1 where the two don't join."""
-        key = left * self.size + right
+        key = left.astype(np.int64) * self.size + right
         at = np.searchsorted(self.keys, key)
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == key, self.joined[at], -1)
@@ -147,15 +153,15 @@ class ByteBpe:
         if not open_:
             return out
         lengths = np.array([len(pieces[i]) for i in open_], dtype=np.int64)
-        ids = self.byte_ids[np.frombuffer(b"".join([pieces[i] for i in open_]), dtype=np.uint8)]
+        ids = self.byte_ids[np.frombuffer(b"".join([pieces[i] for i in open_]), dtype=np.uint8)].astype(np.int32)
         n = len(ids)
         ends = np.cumsum(lengths)
-        after = np.arange(1, n + 2, dtype=np.int64)  # n: no next one
-        before = np.arange(-1, n, dtype=np.int64)
+        after = np.arange(1, n + 2, dtype=np.int32)  # n: no next one
+        before = np.arange(-1, n, dtype=np.int32)
         after[ends - 1] = n
         before[(ends - lengths)] = n
         live = np.ones(n, dtype=bool)
-        waiting = np.full(n + 1, -1, dtype=np.int64)  # rank of the pair that starts here
+        waiting = np.full(n + 1, -1, dtype=np.int32)  # rank of the pair that starts here
         at = np.flatnonzero(after[:n] < n)
         waiting[at] = self._joins(ids[at], ids[at + 1])
         at = at[waiting[at] >= 0]
@@ -202,21 +208,21 @@ class ByteBpe:
         return out
 
     def numbered(self, texts: list[str]) -> list[list[int]]:
-        """The pieces of each text as numbers into ``ids``, ``joined_ids`` and ``decoded``."""
+        """The pieces of each text as numbers into ``counts``, ``joined_ids`` and ``decoded``."""
         if len(self.known) > MEMO_PIECES:
-            self.known.clear()
-            self.ids, self.joined_ids, self.decoded = [], [], []
+            self._forget()
         number = self.known.__getitem__
         found = [list(map(number, self.find(t))) for t in texts]
-        new = list(islice(reversed(self.known), len(self.known) - len(self.ids)))[::-1]
-        ids = self.merge([s.encode() for s in new])
-        self.ids += ids
-        self.joined_ids += [",".join(map(str, x)) for x in ids]
-        self.decoded += [self.decode(x) for x in ids]
+        new = list(islice(reversed(self.known), len(self.known) - len(self.counts)))[::-1]
+        for start in range(0, len(new), MERGED_AT_ONCE):
+            for ids in self.merge([s.encode() for s in new[start:start + MERGED_AT_ONCE]]):
+                self.counts.append(len(ids))
+                self.joined_ids.append(",".join(map(str, ids)))
+                self.decoded.append(self.decode(ids))
         return found
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable([self.ids[c] for c in self.numbered([text])[0]]))
+        return [int(i) for c in self.numbered([text])[0] for i in self.joined_ids[c].split(",")]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -258,12 +264,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 found = coder.numbered(texts)
                 rows = []
                 for codes in found:
-                    pieces = [coder.ids[c] for c in codes]
                     joined = ",".join([coder.joined_ids[c] for c in codes])
                     decoded = b"".join([coder.decoded[c] for c in codes])
-                    row = [sum(map(len, pieces)), hashlib.sha256(joined.encode()).hexdigest(),
+                    row = [sum([coder.counts[c] for c in codes]), hashlib.sha256(joined.encode()).hexdigest(),
                            hashlib.sha256(decoded).hexdigest()]
-                    rows.append([*row, list(chain.from_iterable(pieces))] if with_ids else row)
+                    rows.append([*row, [int(i) for i in joined.split(",") if i]] if with_ids else row)
                 columns = [ids, *map(list, zip(*rows, strict=True))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
