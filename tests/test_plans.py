@@ -15,6 +15,13 @@ def _plan(df) -> str:
     return buf.getvalue().split("\n\n")[0]
 
 
+def _whole(spark, name) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        se.queries()[name](spark, SF_SMALL).explain("extended")
+    return buf.getvalue()
+
+
 def _tree(spark, name):
     return _plan(se.queries()[name](spark, SF_SMALL))
 
@@ -24,6 +31,8 @@ def test_sliding_two_shuffles_no_join(spark):
         t = _tree(spark, name)
         assert t.count("Exchange") == 2, (name, t)
         assert "Join" not in t and "BroadcastExchange" not in t, (name, t)
+        detail = _whole(spark, name)
+        assert "RangeFrame" not in detail and "RowFrame" in detail, (name, detail)
 
 
 def test_topk_limits_before_shuffle(spark):
@@ -35,13 +44,21 @@ def test_topk_limits_before_shuffle(spark):
 
 
 def test_gap_sessions_merge_twice(spark):
-    t = _tree(spark, "session_gap30")
-    assert t.count("MergingSessions") == 2 and t.count("Exchange") == 2
+    """Seconds are combined below the first shuffle; sessions merge per hour, then per client."""
+    for name in ("session_gap30", "session_gap_first10"):
+        t = _tree(spark, name)
+        assert t.count("MergingSessions") == 2 and t.count("Exchange") == 3 and t.count("Scan parquet") == 1, t
 
 
-def test_first_clicks_union_needs_no_extra_shuffle(spark):
+def test_first_clicks_read_the_table_once(spark):
     t = _tree(spark, "session_first10")
-    assert t.count("Exchange") == 2 and "WindowGroupLimit" in t
+    assert t.count("Scan parquet") == 1 and t.count("Exchange") == 3, t
+
+
+def test_running_totals_have_no_single_task(spark):
+    for name in ("saved_rows_running_total", "text_length_by_batch"):
+        t = _whole(spark, name).split("== Physical Plan ==")[1]
+        assert "Window" in t and "SinglePartition" not in t, t
 
 
 def test_scans_read_only_needed_columns(spark):

@@ -227,15 +227,20 @@ def test_linreg_train_then_score_in_one_batch(spark):
     assert abs(got["prediction"] - (m.weights[0] * 0.5 + m.intercept)) < 1e-12
 
 
+def test_running_figures_over_blocks(spark):
+    """Small blocks, so that all three levels hold several, gaps and negative numbers included."""
+    from tidepool.operators.batches import running
+    rows = [(b, (b * 37) % 11, (b * 13) % 101) for b in range(-20, 70) if b % 5]
+    df = spark.createDataFrame(rows, "batch_id long, n long, longest long")
+    got = running(df, "batch_id", {"total": ("n", "sum"), "top": ("longest", "max")}, block=3).orderBy("batch_id").collect()
+    total = top = 0
+    for (b, n, m), r in zip(rows, got, strict=True):
+        total, top = total + n, max(top, m)
+        assert (r["batch_id"], r["total"], r["top"]) == (b, total, top)
+
+
 def test_small_helpers(spark):
     from tidepool.functions.timecols import epoch_seconds, from_epoch_seconds
-    from tidepool.operators.batches import group_counts_per_batch, running_totals
-    df = spark.createDataFrame([(0, "a"), (0, "a"), (1, "b"), (2, "a")], "batch_id long, agent string")
-    per = group_counts_per_batch(df, "agent").orderBy("batch_id", "agent").collect()
-    assert [(r["batch_id"], r["agent"], r["total"]) for r in per] == [(0, "a", 2), (1, "b", 1), (2, "a", 1)]
-    counts = df.groupBy("batch_id").count()
-    run = running_totals(counts, "batch_id", {"count": None}).orderBy("batch_id").collect()
-    assert [r["running_count"] for r in run] == [2, 3, 4]
     t = spark.createDataFrame([(1704067207,)], "s long").select(from_epoch_seconds("s").alias("t"))
     assert t.select(epoch_seconds("t")).first()[0] == 1704067207
     p = spark.createDataFrame([([2.0, 3.0],)], "f array<double>").select(
@@ -243,6 +248,72 @@ def test_small_helpers(spark):
     assert p == 0.25 + 1.0 - 3.0
 
 
+def test_trainers_go_on_after_a_restart(spark):
+    """A second trainer on the same folder, an empty batch between, a non-zero initial weight."""
+    from tidepool.session import shared_dir
+    from tidepool.streaming.ml import kmeans_foreach_batch, linreg_foreach_batch
+    points = [spark.createDataFrame([(x,) for x in b], "features array<double>")
+              for b in ([[1.0, 1.0], [9.0, 9.0]], [], [[2.0, 2.0], [8.0, 8.0]])]
+    start = lambda: kmeans.StreamingKMeansModel.given([[0.0, 0.0], [10.0, 10.0]], 3.0)
+    whole = kmeans_foreach_batch(start(), "features", shared_dir(spark, "km-whole"))
+    for i, b in enumerate(points):
+        whole(b, i)
+    folder = shared_dir(spark, "km-restart")
+    kmeans_foreach_batch(start(), "features", folder)(points[0], 0)
+    kmeans_foreach_batch(start(), "features", folder)(points[1], 1)
+    last = kmeans_foreach_batch(start(), "features", folder)
+    last(points[2], 2)
+    np.testing.assert_allclose(last.state["model"].centres, whole.state["model"].centres)
+    np.testing.assert_allclose(last.state["model"].weights, whole.state["model"].weights)
+    last(points[0], 0)  # a replay of the first batch starts from the initial weight again
+    once = kmeans_foreach_batch(start(), "features", shared_dir(spark, "km-first"))
+    once(points[0], 0)
+    np.testing.assert_allclose(last.state["model"].weights, once.state["model"].weights)
+
+    rows = [spark.createDataFrame(b, "x double, y double") for b in ([(1.0, 2.1), (2.0, 3.9)], [], [(3.0, 6.2), (4.0, 7.8)])]
+    whole = linreg_foreach_batch(linreg.StreamingLinearModel(np.array([0.5])), "y", ["x"], shared_dir(spark, "lr-whole"))
+    for i, b in enumerate(rows):
+        whole(b, i)
+    folder = shared_dir(spark, "lr-restart")
+    for i, b in enumerate(rows):
+        last = linreg_foreach_batch(linreg.StreamingLinearModel(np.array([0.5])), "y", ["x"], folder)
+        last(b, i)
+    np.testing.assert_allclose(last.state["model"].weights, whole.state["model"].weights)
+    assert last.state["model"].intercept == whole.state["model"].intercept
+
+
+def test_sparse_and_malformed_vectors(spark):
+    from tidepool.functions.vectors import parse_labeled_point, parse_vector
+    lines = ["[1,2] junk", "(3,[0,2],[1.5,-2])", "[]", "(2,[5],[1])", "[1,,2]", "(0,[],[])", "[NaN, 1e3]"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [r[0] for r in df.select(parse_vector("line")).collect()]
+    assert got[:6] == [None, [1.5, 0.0, -2.0], [], None, None, []] and np.isnan(got[6][0]) and got[6][1] == 1000.0
+    points = ["(1,(2,[1],[4]))", "1,2 3,9", "(1,[2]) x", "(1,[2,3]"]
+    df = spark.createDataFrame([(x,) for x in points], "line string")
+    got = [tuple(r[0]) for r in df.select(parse_labeled_point("line")).collect()]
+    assert got[0] == (1.0, [0.0, 4.0], True) and got[1] == (1.0, [2.0, 3.0], True)
+    assert not got[2][2] and not got[3][2]
+
+
+def test_sessions_split_at_idle_gaps(spark):
+    """Five hours apart is two sessions, in batch form and in a stream whose batches come in any order."""
+    from tidepool.session import shared_dir
+    from tidepool.streaming.sessions import SessionPartsSink
+    rows = [("a", 1, "2024-01-01 10:00:00", "/1"), ("a", 2, "2024-01-01 15:00:00", "/2"),
+            ("a", 3, "2024-01-01 15:10:00", "/3"), ("b", 4, "2024-01-01 15:20:00", "/4")]
+    df = spark.createDataFrame(rows, "ip string, event_id long, t string, url string")
+    df = df.select("ip", "event_id", F.col("t").cast("timestamp_ntz").alias("ts"), "url")
+    want = [("a", 1, ["/1"]), ("a", 2, ["/2", "/3"]), ("b", 1, ["/4"])]
+    show = lambda d: sorted((r["ip"], r["requests"], r["clickstream"]) for r in d.collect())
+    assert show(sessions.gap_first_clicks(sessions.second_parts(df))) == want
+    sink = SessionPartsSink(shared_dir(spark, "gap-sessions"))
+    for i, ids in enumerate(([3, 4], [1], [2], [2])):
+        sink(df.where(F.col("event_id").isin(ids)), min(i, 2))  # the last one is a replay of batch 2
+    assert show(sink.gap_sessions(spark)) == want
+    snap = sorted((r["ip"], r["session_length"], r["clickstream"]) for r in sink.snapshot_sql(spark).collect())
+    assert snap == want[1:]  # the session of 10:00 has timed out
+
+
 def test_kmeans_scaling(spark):
     df = spark.createDataFrame([([100000.0 * i, 20.0 + i],) for i in range(10)], "features array<double>")
     mu, sd = kmeans.scaling_stats(df, "features", 2)

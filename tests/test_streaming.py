@@ -1,5 +1,7 @@
 """Stream twins equal batch twins; sinks are idempotent under batch replay."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidepool.session import shared_dir
@@ -43,11 +45,98 @@ def test_upsert_replay_is_idempotent(spark):
     assert got == [("", 5), ("a", 2), ("b", 7)]
 
 
-def test_capped_capture_stops_after_limit(spark):
-    cap = sinks.CappedTextCapture(shared_dir(spark, "capture-test"), limit=100)
-    for i, n in enumerate([60, 0, 50, 30]):
-        cap(spark.range(n).select(F.col("id").cast("string").alias("text")), i)
-    assert cap.counts == {0: 60, 2: 50} and cap.done
+def test_capture_limit(spark):
+    """A batch past the limit is refused, not swallowed; a new process goes on counting."""
+    base = shared_dir(spark, "capture-test")
+    texts = lambda n: spark.range(n).select(F.col("id").cast("string").alias("text"))
+    cap = sinks.TextCapture(base, limit=100)
+    cap(texts(60), 0)
+    cap(texts(0), 1)
+    again = sinks.TextCapture(base, limit=100)
+    again(texts(50), 2)
+    assert again.counts == {0: 60, 2: 50} and again.done
+    with pytest.raises(sinks.CaptureFull):
+        again(texts(30), 3)
+    with pytest.raises(sinks.CaptureFull):
+        sinks.TextCapture(base, limit=100)(texts(30), 3)
+    assert spark.read.text(f"{base}/batch_id=*").count() == 110
+
+
+def _layout(spark, name, order):
+    """The small events as four files in the given order of quarters; other tables as they are."""
+    base = shared_dir(spark, name)
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for q in order:
+        (events.withColumn("_q", F.ntile(4).over(Window.partitionBy().orderBy("ts", "event_id"))).where(F.col("_q") == q)
+               .drop("_q").coalesce(1).write.mode("append").parquet(f"{base}/events.parquet"))
+    return base
+
+
+@pytest.mark.parametrize("order", [(1, 2, 3, 4), (4, 1, 2, 3)], ids=["in-order", "newest-first"])
+def test_stream_queries_for_any_file_layout(spark, order):
+    """Every stream and sink query equals its SQL twin however the events are cut into files."""
+    import duckdb
+    from tidepool.plans.oracle import ORACLE
+    from tidepool.plans.streams import STREAM_QUERIES
+    base = _layout(spark, f"layout-{order[0]}", order)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{SF_SMALL}/events.parquet'")
+
+    def rows(columns, data):
+        picked = [columns.index(c) for c in sorted(columns)]
+        return sorted((tuple(round(r[i], 5) if isinstance(r[i], float) else r[i] for i in picked) for r in data), key=str)
+
+    for name, query in STREAM_QUERIES.items():
+        got = query(spark, base)
+        want = con.sql(ORACLE[name])
+        assert rows(got.columns, map(tuple, got.collect())) == rows(want.columns, want.fetchall()), name
+
+
+def test_drain_raises_on_timeout(spark):
+    import time
+    from tidepool.streaming import runners
+    path = shared_dir(spark, "slow-src")
+    spark.range(10).write.parquet(path)
+    stream = spark.readStream.schema("id long").parquet(path)
+    q = runners.start_foreach_batch(stream, lambda df, i: time.sleep(30), "slow", available_now=True)
+    with pytest.raises(TimeoutError):
+        runners.drain(q, 2)
+    assert not q.isActive
+
+
+def test_shared_dir_needs_a_folder_on_a_cluster():
+    from tidepool import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Cluster:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+        class sparkContext:  # noqa: N801
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster, "x")
+    Cluster.conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert session.shared_dir(Cluster, "x", unique=False) == "hdfs://shared/tidepool/x"
+
+
+def test_gauges_go_on_after_a_restart(spark):
+    """Figures of earlier batches are read again; other queries' progress is not counted."""
+    from types import SimpleNamespace as N
+    folder, got = shared_dir(spark, "gauge-totals"), []
+    event = lambda q, b, n, c: N(progress=N(id=q, batchId=b, observedMetrics={"text_metrics": {"tweets": n, "chars": c, "longest": 9}}))
+    for batch, (n, c) in enumerate([(2, 10), (3, 20)]):
+        listener = sinks.MetricsListener(lambda name, b, m: got.append(m), spark=spark, totals_dir=folder)
+        listener.watch(N(id="q1"))
+        listener.onQueryProgress(event("q2", 7, 100, 100))
+        listener.onQueryProgress(event("q1", batch, n, c))
+        listener.onQueryProgress(event("q1", batch, n, c))  # reported twice
+    assert [m["counter"] for m in got] == [2, 2, 5, 5] and got[-1]["avg_length"] == 6
 
 
 def test_source_options_without_ports():
@@ -64,49 +153,26 @@ def test_observed_metrics(spark):
     assert obs.get == {"tweets": 2, "chars": 6, "longest": 4}
 
 
-def _window_run(spark, src_dir, table, checkpoint):
+def test_restart_from_checkpoint_gives_same_table(spark):
+    """Stop after the first file, restart on the same checkpoint with the rest:
+    the parts equal one uninterrupted run."""
     from tidepool.functions import accesslog as al
-    from tidepool.operators import windows
-    from tidepool.plans.streams import _upsert_by_batch, ntz_to_instant
+    from tidepool.plans.streams import ntz_to_instant
     from tidepool.sources import fixtures as fx
     from tidepool.streaming import runners
-    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
-    ev = sources.table_stream(spark, src_dir, schema, max_files_per_trigger=1)
-    logs = ev.select("event_id", ntz_to_instant("ts").alias("ts"), fx.log_line().alias("line"))
-    urls = al.to_strict_urls(logs, "line", keep=("ts",))
-    counts = windows.stream_window_counts(urls, "url", "ts", "1 day", "1 hour", "1 day")
-    q = runners.start_foreach_batch(counts, _upsert_by_batch(table), "restart_test",
-                                    output_mode="update", available_now=True, checkpoint=checkpoint)
-    runners.drain(q, 600)
-
-
-def test_restart_from_checkpoint_gives_same_table(spark):
-    """Stop after the first file, restart on the same checkpoint with the rest:
-    the final table equals one uninterrupted run (windows that span the restart
-    need the state store recovered from the checkpoint)."""
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    day = F.dayofmonth("ts")
-    parts = [events.where(day < 11), events.where((day >= 11) & (day < 21)), events.where(day >= 21)]
-    whole_dir, split_dir = shared_dir(spark, "src-whole"), shared_dir(spark, "src-split")
-    for p in parts:  # written one after another: file order = time order
-        p.coalesce(1).write.mode("append").parquet(whole_dir)
-    parts[0].coalesce(1).write.mode("append").parquet(split_dir)
-
-    keys = ["window_start", "window_end", "url"]
-    t_whole = sinks.UpsertTable(shared_dir(spark, "t-whole"), keys, ["_batch"])
-    _window_run(spark, whole_dir, t_whole, shared_dir(spark, "cp-whole"))
-
-    t_split = sinks.UpsertTable(shared_dir(spark, "t-split"), keys, ["_batch"])
-    cp = shared_dir(spark, "cp-split")
-    _window_run(spark, split_dir, t_split, cp)
-    for p in parts[1:]:
-        p.coalesce(1).write.mode("append").parquet(split_dir)
-    _window_run(spark, split_dir, t_split, cp)  # restart: only the new files are read
-
-    a, b = t_whole.read(spark).select(*keys, "n"), t_split.read(spark).select(*keys, "n")
-    spanning = a.where("window_start < unix_timestamp(timestamp'2024-01-11 00:00:00') "
-                       "and window_end > unix_timestamp(timestamp'2024-01-11 00:00:00')")
-    assert spanning.count() > 0 and _same(a, b)
+    day, src, cp = F.dayofmonth("ts"), shared_dir(spark, "src-split"), shared_dir(spark, "cp-split")
+    sink = sinks.TickCountsSink(shared_dir(spark, "restart-ticks"), "url", "ts", 3600)
+    for cond in (day < 11, (day >= 11) & (day < 21), day >= 21):
+        events.where(cond).coalesce(1).write.mode("append").parquet(src)
+        ev = sources.table_stream(spark, src, events.schema, max_files_per_trigger=1)
+        logs = ev.select("event_id", ntz_to_instant("ts").alias("ts"), fx.log_line().alias("line"))
+        urls = al.to_strict_urls(logs, "line", keep=("ts",))
+        runners.drain(runners.start_foreach_batch(urls, sink, "restart_test", available_now=True, checkpoint=cp), 600)
+    got = sink.read(spark).groupBy("url", "tick").agg(F.sum("n").alias("n"))
+    want = al.to_strict_urls(fx.logs(spark, SF_SMALL), "line", keep=("ts",)).groupBy(
+        "url", (F.floor(F.unix_timestamp("ts") / 3600) * 3600).alias("tick")).agg(F.count("*").alias("n"))
+    assert _same(got, want)
 
 
 def test_crlf_text_files_parse(spark):
@@ -195,7 +261,9 @@ def test_upsert_auto_compaction(spark):
     t = sinks.UpsertTable(shared_dir(spark, "upsert-compact"), ["k"], ["v"], compact_every=2)
     for b, (k, v) in enumerate([("a", 1), ("b", 2), ("a", 3), ("c", 4), ("b", 0)]):
         t.merge(spark.createDataFrame([(k, v)], "k string, v int"), b)
-    marker = spark.read.parquet(f"{t.path}/_base_marker").first()["covered"]
-    assert marker == 4
+    assert t._version(spark) == 4
+    t.merge(spark.createDataFrame([("d", 5)], "k string, v int"), 5)
+    files = {x.split("/upsert-compact", 1)[1].split("/", 1)[1].split("/part")[0] for x in t.read(spark).inputFiles()}
+    assert files == {"base/v=4", "delta/after=4/batch_id=5"}  # nothing older is listed
     got = sorted((r["k"], r["v"]) for r in t.read(spark).collect())
-    assert got == [("a", 3), ("b", 2), ("c", 4)]  # order column decides, not arrival
+    assert got == [("a", 3), ("b", 2), ("c", 4), ("d", 5)]  # order column decides, not arrival

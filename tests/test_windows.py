@@ -85,8 +85,29 @@ def test_sliding_halo_at_every_boundary(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_window_copy_guard(spark):
-    import pytest
-    ev = _events(spark)
-    with pytest.raises(ValueError, match="max_copies"):
-        windows.window_counts(ev, "key", "ts", "1 day", "1 second")
+def test_fine_slides_are_not_refused(spark):
+    """20,000 windows per row are legal; every one of them holds the row."""
+    df = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' as ts, 'a' as key")
+    out = windows.window_counts(df, "key", "ts", "20000 seconds", "1 second")
+    assert out.agg(F.count("*"), F.sum("n")).first() == (20000, 20000)
+
+
+def test_dense_sliding_costs_the_same_for_any_window(spark):
+    """A day with every second filled: a 3600 s window takes about as long as a 300 s one."""
+    import time
+    day = spark.range(86400).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("ts"),
+                                    F.explode(F.array(*[F.lit(k) for k in "abcd"])).alias("key")).persist()
+    day.count()
+
+    def seconds(window):
+        t = time.perf_counter()
+        out = windows.sliding_counts(day, "key", "ts", f"{window} seconds")
+        top, rows = out.agg(F.max("n"), F.count("*")).first()
+        # the count rises for a window's length, then falls for one
+        assert top == window and rows == 4 * 2 * window
+        return time.perf_counter() - t
+
+    seconds(300)
+    short = min(seconds(300) for _ in range(2))
+    assert min(seconds(3600) for _ in range(2)) < 3 * short + 1
+    day.unpersist()

@@ -2,9 +2,8 @@
 
 In a stream the batch is the micro-batch; replayed in batch mode it is a
 tumbling bucket of event time, so the same operator gives the same rows.
-Running totals are windows over the per-batch aggregate, whose size is the
-number of batches (not the number of rows), so a single ordered partition
-is safe there.
+Running figures over batches are summed in blocks of batches and in blocks of
+blocks (:func:`running`), so no task holds all batches of a long-lived stream.
 """
 
 from __future__ import annotations
@@ -46,18 +45,36 @@ def sql_per_batch(df: DataFrame, sql: str = BATCH_SQL_REPLAY, view: str = BATCH_
     return df.sparkSession.sql(sql)
 
 
-def group_counts_per_batch(df: DataFrame, key: str, batch_col: str = "batch_id",
-                           out: str = "total") -> DataFrame:
-    """``select batch, key, count(*) ... group by batch, key`` as DataFrame ops."""
-    return df.groupBy(batch_col, key).agg(F.count(F.lit(1)).alias(out))
+BLOCK = 4096  # batches in a block, and blocks in a block of blocks
 
 
-def running_totals(per_batch: DataFrame, batch_col: str, measures: dict,
-                   running_prefix: str = "running_") -> DataFrame:
-    """AGG7: cumulative sums over batches (input has one row per batch)."""
-    w = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, 0)
-    cols = [F.sum(c).over(w).alias(f"{running_prefix}{c}") for c in measures]
-    return per_batch.select("*", *cols)
+def running(per_batch: DataFrame, batch_col: str, figures: dict, block: int = BLOCK) -> DataFrame:
+    """AGG7: adds running figures in batch order to a table of one row per batch.
+
+    ``figures``: output name -> (column, "sum" or "max"). Each level aggregates
+    blocks of ``block`` consecutive numbers of the level below; what lies before
+    a batch is then the blocks before its own at each level. A window holds at
+    most ``block`` rows, or one for each ``block`` ** 2 batches at the top.
+    """
+    of = {"sum": F.sum, "max": F.max}
+    plus = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": F.greatest}
+    blocks_of = [F.floor(F.col(batch_col) / block**i).cast("bigint") for i in (1, 2)]
+    levels = [*blocks_of, F.pmod(blocks_of[1], F.lit(1))]  # all blocks of blocks are one group
+    out = per_batch.withColumns({f"_l{i}": c for i, c in enumerate(levels)})
+    inside = Window.partitionBy("_l0").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumns({name: of[kind](c).over(inside) for name, (c, kind) in figures.items()})
+    sums = per_batch.withColumns({f"_l{i}": c for i, c in enumerate(levels)})
+    blocks = {name: of[kind](c).alias(name) for name, (c, kind) in figures.items()}
+    for i in (0, 1):
+        keys = [f"_l{j}" for j in range(i, 3)]
+        sums = sums.groupBy(*keys).agg(*blocks.values())
+        earlier = Window.partitionBy(f"_l{i + 1}").orderBy(f"_l{i}").rowsBetween(Window.unboundedPreceding, -1)
+        before = sums.select(f"_l{i}", *[of[kind](name).over(earlier).alias(f"_b_{name}") for name, (_, kind) in figures.items()])
+        out = out.join(before, f"_l{i}").withColumns(
+            {name: plus[kind](F.col(name), F.col(f"_b_{name}")) for name, (_, kind) in figures.items()}
+        ).drop(*[f"_b_{name}" for name in figures])
+        blocks = {name: of[kind](name).alias(name) for name, (_, kind) in figures.items()}
+    return out.drop("_l0", "_l1", "_l2")
 
 
 def saved_rows_running_total(df: DataFrame, batch_col: str = "batch_id",
@@ -69,6 +86,5 @@ def saved_rows_running_total(df: DataFrame, batch_col: str = "batch_id",
     the output so the cut point stays visible.
     """
     per = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("rows"))
-    w = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, 0)
-    run = per.select(batch_col, "rows", F.sum("rows").over(w).alias("total_rows"))
+    run = running(per, batch_col, {"total_rows": ("rows", "sum")})
     return run.withColumn("saved", (F.col("total_rows") - F.col("rows")) <= limit)

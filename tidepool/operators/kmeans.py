@@ -1,7 +1,7 @@
 """Streaming k-means (ML1, ML2) on DataFrames.
 
 Assignment is a column expression: the k centres travel as one literal
-``array<array<double>>`` (size k*d, checked) and each row picks the nearest by
+``array<array<double>>`` constant and each row picks the nearest by
 squared distance, ties to the lowest index. A batch update is then one
 aggregate per cluster with map-side combine; only k rows of sums reach the
 driver, which applies the forgetful update
@@ -14,6 +14,7 @@ as Spark's streaming k-means does.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,6 @@ DECAY = 1.0
 DIM = 2
 INITIAL_WEIGHT = 0.0
 # -----------------------------------------------------------------------------
-MAX_CENTRE_VALUES = 1_000_000  # k * d bound for shipping centres inside the plan
 
 
 def _col(c) -> Column:
@@ -34,10 +34,9 @@ def _col(c) -> Column:
 
 
 def centres_literal(centres) -> Column:
-    arr = np.asarray(centres, dtype=float)
-    if arr.size > MAX_CENTRE_VALUES:
-        raise ValueError(f"{arr.size} centre values exceed the in-plan bound {MAX_CENTRE_VALUES}")
-    return F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in arr])
+    """All centres as one constant, however many there are."""
+    text = json.dumps(np.asarray(centres, dtype=float).tolist())
+    return F.from_json(F.lit(text), "array<array<double>>")
 
 
 def squared_distances(features, centres) -> Column:
@@ -50,8 +49,9 @@ def squared_distances(features, centres) -> Column:
 
 def nearest_centre(features, centres) -> Column:
     """Index of the closest centre (0-based, ties to the lowest index)."""
-    d = squared_distances(features, centres)
-    return (F.array_position(d, F.array_min(d)) - 1).cast("int")
+    distances = F.array(squared_distances(features, centres))  # computed once, used twice
+    at = F.element_at(F.transform(distances, lambda d: F.array_position(d, F.array_min(d))), 1)
+    return (at - 1).cast("int")
 
 
 def cluster_sums(df: DataFrame, features: str, centres) -> DataFrame:

@@ -1,73 +1,112 @@
-"""Per-client sessions in batch form (STS1-STS4; streaming twin in
-:mod:`tidepool.streaming.sessions`).
-
-``session_first_clicks``: request count and the first ``n`` items per key in
-arrival order. The count is a plain aggregate (map-side combine); the first
-items come from ``row_number() <= n``, planned with a partial WindowGroupLimit
-so every map task forwards at most ``n`` rows per key. No key's full history
-is ever gathered, so a client holding a third of all requests costs the same
-as any other.
-
-``gap_sessions``: idle-gap sessions through ``session_window`` in two passes
-(per key and hour, then across hours), so no key's rows meet in one task.
+"""Per-client sessions (STS1-STS4), batch and stream on the same mergeable parts.
+
+``second_parts`` counts each client's requests per second and keeps the first
+``n`` of that second. Everything else merges such parts: first per client and
+hour, then per client, so a client with a third of all requests is spread over
+as many tasks as it has hours, and what meets in its last task is a bounded
+list per hour. The input is read once. Parts of one second may come in several
+rows (one per micro-batch of a stream); merging them in any order gives the
+same result, so late and unordered files do not matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.timecols import epoch_seconds
+from tidepool.functions.timecols import epoch_micros, epoch_seconds
 
 # --- fixed values (the reference's session rules) ----------------------------
 CLICKSTREAM_LENGTH = 10        # keep the first 10 urls per client
 SESSION_GAP = "30 minutes"     # idle timeout
 # -----------------------------------------------------------------------------
+HOUR = 3600
+
+
+def second_parts(visits: DataFrame, key: str = "ip", item: str = "url", order=("ts", "event_id"),
+                 time_col: str = "ts", n: int = CLICKSTREAM_LENGTH) -> DataFrame:
+    """``(key, second, requests, first_us, last_us, clicks)``; a row without a time has a NULL second.
+
+    ``clicks``: the first ``n`` as (order..., item) structs. A group is what one
+    client requests in one second.
+    """
+    ntz = dict(visits.dtypes)[time_col] == "timestamp_ntz"
+    click = F.struct(*[F.col(c) for c in order], F.col(item).alias("item"))
+    micros = epoch_micros(time_col, ntz)
+    return (visits.groupBy(F.col(key).alias("key"), epoch_seconds(time_col).alias("second"))
+                  .agg(F.count(F.lit(1)).alias("requests"), F.min(micros).alias("first_us"),
+                       F.max(micros).alias("last_us"),
+                       F.slice(F.array_sort(F.collect_list(click)), 1, n).alias("clicks")))
+
+
+def _merged(n: int) -> list:
+    first = F.slice(F.array_sort(F.flatten(F.collect_list("clicks"))), 1, n)
+    return [F.sum("requests").alias("requests"), first.alias("clicks")]
+
+
+def merge_first_clicks(parts: DataFrame, key: str = "ip", n: int = CLICKSTREAM_LENGTH) -> DataFrame:
+    """``(key, session_length, clickstream)`` over all time."""
+    hours = parts.groupBy("key", F.floor(F.col("second") / HOUR).alias("hour")).agg(*_merged(n))
+    return (hours.groupBy("key").agg(*_merged(n))
+                 .select(F.col("key").alias(key), F.col("requests").alias("session_length"),
+                         F.col("clicks.item").alias("clickstream")))
+
+
+def merge_gap_sessions(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
+                       n: int = CLICKSTREAM_LENGTH) -> DataFrame:
+    """``(key, start_us, end_us, requests, clicks)``: a session ends ``gap`` after its last request.
+
+    Two passes of ``session_window``, per (key, hour) and per key, each part
+    carrying its own length plus the gap, so touching or overlapping parts join.
+    Interval union is associative: the result equals one pass over all rows.
+    """
+    from tidepool.operators.windows import parse_seconds
+
+    gap_us = parse_seconds(gap) * 1_000_000
+
+    def sessions(rows: DataFrame, keys: list, start: str, length) -> DataFrame:
+        secs = (length / 1_000_000).cast("decimal(18,6)")
+        w = F.session_window(F.timestamp_micros(start), F.make_interval(secs=secs))
+        return (rows.groupBy(*keys, w.alias("s")).agg(*_merged(n))
+                    .select("key", F.unix_micros("s.start").alias("start_us"),
+                            F.unix_micros("s.end").alias("end_us"), "requests", "clicks"))
+
+    timed = parts.where("second IS NOT NULL").withColumn("hour", F.floor(F.col("second") / HOUR))
+    hourly = sessions(timed, ["key", "hour"], "first_us", F.col("last_us") - F.col("first_us") + gap_us)
+    whole = sessions(hourly, ["key"], "start_us", F.col("end_us") - F.col("start_us"))
+    return whole.withColumnRenamed("key", key)
 
 
 def session_first_clicks(visits: DataFrame, key: str = "ip", item: str = "url",
                          order=("ts", "event_id"), n: int = CLICKSTREAM_LENGTH) -> DataFrame:
     """``(key, session_length, clickstream array)`` for every key (NULL key included)."""
-    order_cols = [F.col(c).asc() for c in order]
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    firsts = (visits.select(key, item, *order)
-                    .withColumn("_rn", F.row_number().over(w))
-                    .where(F.col("_rn") <= n)
-                    .select(key, F.lit(0).cast("bigint").alias("_len"),
-                            F.struct(F.col("_rn"), F.col(item).alias("v")).alias("_click")))
-    counts = (visits.groupBy(key).agg(F.count(F.lit(1)).alias("_len"))
-                    .select(key, "_len", F.lit(None).cast(firsts.schema["_click"].dataType)
-                            .alias("_click")))
-    both = counts.unionByName(firsts)
-    return (both.groupBy(key)
-                .agg(F.sum("_len").alias("session_length"),
-                     F.array_sort(F.collect_list("_click")).alias("_clicks"))
-                .select(key, "session_length",
-                        F.transform("_clicks", lambda c: c["v"]).alias("clickstream")))
+    return merge_first_clicks(second_parts(visits, key, item, order, order[0], n), key, n)
+
+
+def _in_seconds(sessions: DataFrame, *more: str) -> DataFrame:
+    seconds = lambda c: F.floor(F.col(c) / 1_000_000).cast("bigint")
+    return sessions.select(sessions.columns[0], seconds("start_us").alias("session_start"),
+                           seconds("end_us").alias("session_end"), "requests", *more)
+
+
+def gap_first_clicks(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
+                     n: int = CLICKSTREAM_LENGTH) -> DataFrame:
+    """``(key, session_start, session_end, requests, clickstream)``; times in epoch seconds."""
+    merged = merge_gap_sessions(parts, key, gap, n)
+    return _in_seconds(merged.withColumn("clickstream", F.col("clicks.item")), "clickstream")
 
 
 def gap_sessions(visits: DataFrame, key: str = "ip", time_col: str = "ts",
-                 gap: str = SESSION_GAP, bucket: str = "1 hour") -> DataFrame:
-    """``(key, session_start, session_end, requests)``; times in epoch seconds.
-
-    A session ends ``gap`` after its last request (``session_window``'s end).
-    Two passes keep a hot key from landing in one task: sessions are first
-    built per (key, time bucket), then the partial sessions are merged per key
-    with ``session_window`` again, each one carrying its own length as the gap
-    so touching or overlapping pieces join. Interval union is associative, so
-    the result equals one pass over all rows; pass two only sees the partial
-    sessions, at most one or two per key and bucket.
-    """
-    from tidepool.functions.timecols import epoch_micros
-    from tidepool.operators.windows import parse_seconds
+                 gap: str = SESSION_GAP) -> DataFrame:
+    """``(key, session_start, session_end, requests)``; times in epoch seconds."""
+    parts = second_parts(visits.withColumn("_none", F.lit(None).cast("string")), key, "_none", (time_col,), time_col, 0)
+    return _in_seconds(merge_gap_sessions(parts, key, gap, 0))
 
-    ntz = dict(visits.dtypes)[time_col] == "timestamp_ntz"
-    b = F.floor(epoch_seconds(time_col) / parse_seconds(bucket))
-    parts = (visits.groupBy(key, b.alias("_b"), F.session_window(time_col, gap).alias("s"))
-                   .agg(F.count(F.lit(1)).alias("_n"))
-                   .select(key, F.col("s.start").alias("_s"), F.col("s.end").alias("_e"), "_n"))
-    dur = ((epoch_micros("_e", ntz) - epoch_micros("_s", ntz)) / 1_000_000).cast("decimal(18,6)")
-    merged = (parts.groupBy(key, F.session_window("_s", F.make_interval(secs=dur)).alias("s"))
-                   .agg(F.sum("_n").alias("requests")))
-    return merged.select(key, epoch_seconds("s.start").alias("session_start"),
-                         epoch_seconds("s.end").alias("session_end"), "requests")
+
+def open_sessions(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
+                  n: int = CLICKSTREAM_LENGTH) -> DataFrame:
+    """STS3: ``(key, session_length, clickstream)`` of the sessions still open at the last request of all."""
+    merged = merge_gap_sessions(parts, key, gap, n).withColumn("_one", F.lit(1))
+    now = parts.groupBy(F.lit(1).alias("_one")).agg(F.max("last_us").alias("_now"))
+    return (merged.join(now, "_one").where(F.col("end_us") > F.col("_now"))
+                  .select(key, F.col("requests").alias("session_length"), F.col("clicks.item").alias("clickstream")))

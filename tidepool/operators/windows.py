@@ -4,8 +4,8 @@ Two batch forms, both exact:
 
 ``sliding_sums`` (the step-function form): the relational image of an
 invertible window reduce. The value changes only where a row arrives (its
-tick) or leaves (one window later); the windowed value at each such tick is a
-RANGE-frame sum over per-(key, tick) counts. Output size is bounded by twice
+tick) or leaves (one window later); the windowed value at each such tick is the
+running sum of what arrived less what left. Output size is bounded by twice
 the number of distinct (key, tick) pairs, however long the window is.
 
 ``window_counts``: one row per (window, key), equal to Spark's
@@ -63,11 +63,12 @@ def sliding_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = No
     rows are dropped.
 
     Plan: (1) one aggregate per (key, tick) with map-side combine, fed with each
-    row's measures at its tick and a zero "probe" at tick + window, where the
-    value drops; (2) one shuffle by (key, period) -- counts from the last
-    ``window`` of a period are copied into the next period as halo rows -- and
-    a RANGE-frame sum over the window. A key with a third of all rows is split
-    into one task per period; no join, no per-key ordering.
+    row's measures at its tick and their negatives at tick + window; (2) one
+    shuffle by (key, period) and a running sum of these changes in tick order.
+    What the last ``window`` of a period added also opens the next period (halo
+    rows), so a period needs no other one. The cost is a few rows per (key, tick)
+    whatever the window's length; a key with a third of all rows is split into
+    one task per period; no join, no per-key ordering.
     """
     keys = _keys(keys)
     measures = dict(measures or {"n": F.lit(1)})
@@ -78,35 +79,36 @@ def sliding_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = No
 
     names = list(measures)
     tick_col = F.floor(epoch_seconds(time_col) / t_s) * t_s
+    given = [m.cast("bigint") for m in measures.values()]
+    nothing = F.lit(0).cast("bigint")
     rows = F.explode(F.array(
-        F.struct(tick_col.alias("tick"), *[m.cast("bigint").alias(k) for k, m in measures.items()]),
-        F.struct((tick_col + w_s).alias("tick"), *[F.lit(0).cast("bigint").alias(k) for k in names]),
+        F.struct(tick_col.alias("tick"), *[m.alias(k) for k, m in zip(names, given)],
+                 *[m.alias(f"_in_{k}") for k, m in zip(names, given)]),
+        F.struct((tick_col + w_s).alias("tick"), *[(-m).alias(k) for k, m in zip(names, given)],
+                 *[nothing.alias(f"_in_{k}") for k in names]),
     )).alias("d")
-    counts = (df.select(*keys, rows)
-                .select(*keys, "d.*")
-                .groupBy(*keys, "tick").agg(*[F.sum(k).alias(k) for k in names]))
+    sums = [*names, *[f"_in_{k}" for k in names]]
+    changes = (df.select(*keys, rows)
+                 .select(*keys, "d.*")
+                 .groupBy(*keys, "tick").agg(*[F.sum(k).alias(k) for k in sums]))
 
     home = F.floor(F.col("tick") / p_s)
     reach = F.floor((F.col("tick") + w_s) / p_s)
-    any_value = F.greatest(*[F.col(k) != 0 for k in names]) if len(names) > 1 else F.col(names[0]) != 0
-    seg = F.explode(F.when(any_value & (reach != home),
-                           F.array(F.struct(home.alias("p"), F.lit(True).alias("own")),
-                                   F.struct(reach.alias("p"), F.lit(False).alias("own"))))
-                     .otherwise(F.array(F.struct(home.alias("p"), F.lit(True).alias("own")))))
-    placed = (counts.select(*keys, "tick", *names, seg.alias("_s"))
-                    .select(F.struct(*[F.col(k) for k in keys], F.col("_s.p").alias("_period")).alias("_seg"),
-                            "tick", *names, F.col("_s.own").alias("_own")))
-
-    w = Window.partitionBy("_seg").orderBy("tick")
-    inside = w.rangeBetween(-(w_s - t_s), 0)
-    leaving = w.rangeBetween(-w_s, -w_s)
-    valued = placed.select(
-        "_seg", "tick", "_own",
-        *[F.sum(k).over(inside).alias(k) for k in names],
-        *[(F.col(k) - F.coalesce(F.sum(k).over(leaving), F.lit(0))).alias(f"_d_{k}") for k in names])
-    changed = (F.greatest(*[F.col(f"_d_{k}") != 0 for k in names]) if len(names) > 1
-               else F.col(f"_d_{names[0]}") != 0)
-    out = (valued.where(F.col("_own") & changed)
+    some = lambda cs: F.greatest(*[c != 0 for c in cs]) if len(cs) > 1 else cs[0] != 0
+    own = F.struct(home.alias("p"), F.col("tick").alias("at"), F.lit(True).alias("own"),
+                   *[F.col(k) for k in names])
+    opening = F.struct(reach.alias("p"), (reach * p_s - 1).alias("at"), F.lit(False).alias("own"),
+                       *[F.col(f"_in_{k}").alias(k) for k in names])
+    entered = some([F.col(f"_in_{k}") for k in names])
+    seg = F.explode(F.when(entered & (reach != home), F.array(own, opening)).otherwise(F.array(own)))
+    placed = (changes.select(*keys, seg.alias("_s"))
+                     .select(F.struct(*[F.col(k) for k in keys], F.col("_s.p").alias("_period")).alias("_seg"),
+                             F.col("_s.at").alias("tick"), F.col("_s.own").alias("_own"),
+                             *[F.col(f"_s.{k}").alias(f"_d_{k}") for k in names]))
+    w = Window.partitionBy("_seg").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
+    valued = placed.select("_seg", "tick", "_own", *[f"_d_{k}" for k in names],
+                           *[F.sum(f"_d_{k}").over(w).alias(k) for k in names])
+    out = (valued.where(F.col("_own") & some([F.col(f"_d_{k}") for k in names]))
                  .select(*[F.col("_seg")[k].alias(k) for k in keys], "tick", *names))
     if not keep_zero:
         out = out.where(F.greatest(*[F.col(k) != 0 for k in names]) if len(names) > 1
@@ -120,19 +122,15 @@ def sliding_counts(df: DataFrame, key, time_col: str = "ts", window="300 seconds
     return sliding_sums(df, key, {out: F.lit(1)}, time_col, window, tick, keep_zero=keep_zero)
 
 
-MAX_WINDOW_COPIES = 10_000
-
-
 def window_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = None,
-                time_col: str = "ts", window="300 seconds", slide="1 second",
-                max_copies: int = MAX_WINDOW_COPIES) -> DataFrame:
+                time_col: str = "ts", window="300 seconds", slide="1 second") -> DataFrame:
     """Sums per ``(window_start, window_end, *keys)`` equal to ``window(ts, W, S)``.
 
     Windows are ``[start, start + W)`` with ``start`` a multiple of ``S`` (epoch
     aligned, no offset); only windows holding at least one row appear. Times are
-    epoch seconds. The output has up to ``W/S`` rows per (bucket, key), so a
-    very fine slide is refused above ``max_copies``: :func:`sliding_sums` gives
-    the same values as a step function without the copies.
+    epoch seconds. The output has up to ``W/S`` rows per (bucket, key); for a
+    very fine slide :func:`sliding_sums` gives the same values as a step function
+    without the copies.
     """
     keys = _keys(keys)
     measures = dict(measures or {"n": F.lit(1)})
@@ -140,9 +138,6 @@ def window_sums(df: DataFrame, keys, measures: Mapping[str, Column] | None = Non
     if w_s % s_s:
         raise ValueError("window must be a multiple of slide")
     copies = w_s // s_s
-    if copies > max_copies:
-        raise ValueError(f"{copies} windows per bucket exceed max_copies={max_copies}; "
-                         "use sliding_sums for the step function instead")
     bucket = (F.floor(epoch_seconds(time_col) / s_s) * s_s).alias("_bucket")
     names = list(measures)
     # tumbling pre-aggregate: map-side combine before the first shuffle

@@ -141,6 +141,30 @@ def _alarm_state(s: str, f: str) -> str:
             f"else 'ok' end")
 
 
+SESSIONS = """v as (
+  select event_id, ts, ip_row as ip, url_loose as url from r),
+g as (
+  select *,
+    case when lag(ts) over (partition by ip order by ts, event_id) is null
+           or ts - lag(ts) over (partition by ip order by ts, event_id) > interval 30 minutes
+         then 1 else 0 end as brk
+  from v),
+s as (
+  select *, sum(brk) over (partition by ip order by ts, event_id
+                           rows between unbounded preceding and current row) as sid
+  from g),
+t as (
+  select *, row_number() over (partition by ip, sid order by ts, event_id) as rn from s),
+u as (
+  select ip, min(ts) as first_ts, max(ts) as last_ts, count(*) as requests,
+    cast(count(*) filter (where rn <= 10) as integer) as clicks,
+    string_agg(url, ' ' order by rn) filter (where rn <= 10) as clickstream
+  from t group by ip, sid)"""
+
+GAP_COLUMNS = """cast(floor(epoch(first_ts)) as bigint) as session_start,
+  cast(floor(epoch(last_ts + interval 30 minutes)) as bigint) as session_end, requests"""
+
+
 ORACLE = {
     "log_parse_records": _with(LOGS, PARSED) + """
 select event_id, m as matched, ip_row as ip, url_loose as url, status_code as status,
@@ -214,13 +238,13 @@ from r group by 1, 2""",
 
     "text_length_stats": f"""
 select role, count(*) as n, cast(sum({U16}) as bigint) as total_chars,
-  cast(floor(sum({U16}) / count(*)) as bigint) as avg_length,
+  cast(sum({U16}) // count(*) as bigint) as avg_length,
   round(sum({U16}) / count(*), 6) as exact_avg_length, cast(max({U16}) as bigint) as longest
 from conversations group by role""",
 
     "text_length_by_batch": _with(STATUSES) + f"""
 select batch_id, n, chars, longest, total_n, total_chars, longest_all_time,
-  cast(floor(total_chars / total_n) as bigint) as avg_length,
+  total_chars // total_n as avg_length,
   round(total_chars / total_n, 6) as exact_avg_length
 from (select batch_id, n, chars, longest,
         cast(sum(n) over (order by batch_id rows between unbounded preceding and current row) as bigint) as total_n,
@@ -245,22 +269,27 @@ select ip, count(*) as session_length, cast(count(*) filter (where rn <= 10) as
   string_agg(url, ' ' order by rn) filter (where rn <= 10) as clickstream
 from v group by ip""",
 
-    "session_gap30": _with(LOGS, PARSED, """v as (
-  select event_id, ts, ip_row as ip from r),
-g as (
-  select ip, ts, event_id,
-    case when lag(ts) over (partition by ip order by ts, event_id) is null
-           or ts - lag(ts) over (partition by ip order by ts, event_id) > interval 30 minutes
-         then 1 else 0 end as brk
-  from v),
-s as (
-  select ip, ts, sum(brk) over (partition by ip order by ts, event_id
-                                rows between unbounded preceding and current row) as sid
-  from g)""") + """
-select ip, cast(floor(epoch(min(ts))) as bigint) as session_start,
-  cast(floor(epoch(max(ts) + interval 30 minutes)) as bigint) as session_end,
-  count(*) as requests
-from s group by ip, sid""",
+    "session_gap30": _with(LOGS, PARSED, SESSIONS) + f"""
+select ip, {GAP_COLUMNS} from u""",
+
+    "session_gap_first10": _with(LOGS, PARSED, SESSIONS) + f"""
+select ip, {GAP_COLUMNS}, clicks, clickstream from u""",
+
+    "stream_session_snapshot": _with(LOGS, PARSED, SESSIONS) + """
+select ip, requests as session_length, clicks, clickstream
+from u where last_ts + interval 30 minutes > (select max(ts) from r)""",
+
+    # the stop words, spelled out
+    "corpus_word_topk": """
+select word, count(*) as n from (
+  select unnest(string_split(rtrim(text, ' '), ' ')) as word
+  from (select text from documents union all select text from conversations) where text is not null)
+where regexp_replace(lower(word), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')
+  not in ('a', 'the', 'to', 'an', 'you', 'me', 'i', 'and', 'my', 'i''m', '')
+group by word order by n desc, word limit 100""",
+
+    "records_preview": _with(LOGS, PARSED) + """
+select event_id, url_loose as url, status_code as status, agent_row as agent from r order by event_id limit 20""",
 
     "vector_parse": """
 select event_id, 2 as dim, value as f0, cast(user_id as double) as f1 from events""",
@@ -317,9 +346,6 @@ from reg""",
 
     "stream_session_first10": None,  # filled below: same as the batch twin
 
-    "stream_agent_batch_counts": _with(LOGS, PARSED) + """
-select cast(0 as bigint) as batch_id, agent_row as agent, count(*) as total from r group by 2""",
-
     "sink_json_roundtrip": _with(LOGS, PARSED) + """
 select event_id, url_loose as url, status_code as status, agent_row as agent from r""",
 
@@ -333,7 +359,6 @@ select text as value from statuses""",
 select ip, url, status, user_agent, event_id from v where rn = 1""",
 }
 ORACLE["stream_session_first10"] = ORACLE["session_first10"]
-ORACLE["stream_kmeans_step"] = ORACLE["kmeans_step"]
 # Streaming k-means replayed in SQL: the centre and weight lists are carried from
 # daily batch to daily batch; each step assigns the batch's points, applies the
 # weighted update and splits the largest cluster when one is dying.
@@ -441,10 +466,20 @@ where s.fin"""
 ORACLE["stream_kmeans_predict"] = ORACLE["kmeans_predict"]
 ORACLE["stream_url_sliding_counts"] = ORACLE["url_sliding_counts"]
 ORACLE["stream_error_rate_alarm_ticks"] = ORACLE["error_rate_alarm_ticks"]
-ORACLE["stream_session_snapshot"] = ORACLE["session_first10"]
+ORACLE["stream_session_gap_first10"] = ORACLE["session_gap_first10"]
+ORACLE["stream_agent_batch_counts"] = ORACLE["agent_batch_counts"]
+ORACLE["stream_kmeans_step"] = ORACLE["kmeans_stream"]
 ORACLE["stream_hashtag_topk"] = ORACLE["hashtag_topk"]
 ORACLE["stream_error_rate_alarm"] = ORACLE["error_rate_alarm"]
-ORACLE["stream_text_metrics"] = _with(STATUSES) + f"""
-select cast(0 as bigint) as batch_id, count(*) as counter,
-  cast(floor(sum({U16}) / count(*)) as bigint) as avg_length, cast(max({U16}) as bigint) as longest_in_batch
-from statuses"""
+ORACLE["stream_text_metrics"] = f"""select batch_id, total_n as counter, avg_length, longest as longest_in_batch
+from ({ORACLE['text_length_by_batch']})"""
+ORACLE["stream_alarm_messages"] = f"""
+select window_start, concat('Total success: ', success, ' Total failure: ', failure) as totals_message,
+  case state when 'alarm' then 'Wake somebody up! Something is horribly wrong.'
+             when 'ok' then 'All systems go.' end as alarm_message
+from ({ORACLE['error_rate_alarm']})"""
+# The reference's rule: the intercept is 1 at the start of each batch.
+ORACLE["linreg_sgd_reference"] = ORACLE["linreg_sgd_stream"].replace(
+    "select 1, 0, cast(0.0 as double), cast(0.0 as double), false",
+    "select 1, 0, cast(0.0 as double), cast(1.0 as double), false").replace(
+    "case when s.fin then s.b\n", "case when s.fin then 1.0\n")

@@ -161,6 +161,28 @@ def session_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat_ws(" ", "clickstream").alias("clickstream"))
 
 
+def session_gap_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STS1 + STS2: count and first 10 urls of each 30-minute session."""
+    visits = al.to_visits(fx.logs(spark, sf_dir), "line", keep=("event_id", "ts"))
+    out = sessions.gap_first_clicks(sessions.second_parts(visits))
+    return out.select("ip", "session_start", "session_end", "requests", F.size("clickstream").alias("clicks"),
+                      F.concat_ws(" ", "clickstream").alias("clickstream"))
+
+
+def corpus_word_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ13 + SRT2 on real text: the 100 most frequent content words of documents and conversations."""
+    texts = fx.table(spark, sf_dir, "documents").select("text").union(
+        fx.table(spark, sf_dir, "conversations").select("text"))
+    counts = tx.content_words(texts, "text", "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return windows.latest_top_k(counts, 100, "n", "word")
+
+
+def records_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT3: the first 20 parsed records, as the console shows them."""
+    records = al.to_records(fx.logs(spark, sf_dir), "line", keep=("event_id",))
+    return windows.first_n(records, 20, ["event_id"])
+
+
 def session_gap30(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STS2: sessions per client ip split by 30 idle minutes."""
     visits = al.to_visits(fx.logs(spark, sf_dir), "line", keep=("event_id", "ts"))
@@ -267,8 +289,8 @@ def linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(pred, REG_DIGITS).alias("prediction"))
 
 
-def linreg_sgd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML3: streaming SGD over yearly batches of lineitem (ship date order).
+def _linreg_sgd(spark: SparkSession, sf_dir: str, carry_intercept: bool) -> DataFrame:
+    """Streaming SGD over yearly batches of lineitem (ship date order).
 
     The feature is standardized first (the step size assumes unit scale).
     """
@@ -277,12 +299,26 @@ def linreg_sgd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = r.agg(F.avg("x").alias("mu"), F.stddev_pop("x").alias("sd")).first()
     r = r.withColumn("xs", (F.col("x") - F.lit(stats["mu"])) / F.lit(stats["sd"] or 1.0))
     r = batches.with_batch(r, "l_shipdate", "365 days")
-    out = linreg_replay(r, "y", ["xs"], "batch_id", linreg.StreamingLinearModel.zeros(1))
+    out = linreg_replay(r, "y", ["xs"], "batch_id", linreg.StreamingLinearModel.zeros(1, carry_intercept=carry_intercept))
     return out.select("batch_id", "n", F.round(F.col("weights")[0], REG_DIGITS).alias("weight"),
                       F.round("intercept", REG_DIGITS).alias("intercept"))
 
 
+def linreg_sgd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML3: the intercept is carried from batch to batch like the weights."""
+    return _linreg_sgd(spark, sf_dir, True)
+
+
+def linreg_sgd_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML3 by the reference's rule: each batch starts again from intercept 1."""
+    return _linreg_sgd(spark, sf_dir, False)
+
+
 QUERIES = {
+    "session_gap_first10": session_gap_first10,
+    "corpus_word_topk": corpus_word_topk,
+    "records_preview": records_preview,
+    "linreg_sgd_reference": linreg_sgd_reference,
     "log_parse_records": log_parse_records,
     "log_url_strict_counts": log_url_strict_counts,
     "log_url_leak_counts": log_url_leak_counts,

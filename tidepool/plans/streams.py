@@ -1,10 +1,12 @@
-"""Stream twins and sink round trips (STS5, STS6, SRC5, SNK2-SNK5).
+"""Stream twins and sink round trips (STS5, STS6, SRC5, SNK2-SNK6).
 
 Each query runs a real Structured Streaming query over the events table
-(``availableNow`` trigger, its own checkpoint in the shared folder), lets the
-sink write, and returns what a reader of that sink sees. Results equal the
-batch twins: the projections are the same code on both paths, and the stream
-aggregations are checked against the batch operators.
+(``availableNow`` trigger, one file a micro-batch, its own checkpoint in the
+shared folder), lets the sink write, and returns what a reader of that sink
+sees. Sinks keep mergeable parts per micro-batch (counts per tick, session
+parts, figures per day), so the results are those of the batch twins however
+the table is cut into files and in whatever order they come. Batches are days
+of event time, as in the batch queries.
 """
 
 from __future__ import annotations
@@ -13,16 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import accesslog as al
-from tidepool.operators import windows
+from tidepool.functions import text as tx
+from tidepool.operators import alarm, batches, kmeans, textstats, windows
 from tidepool.session import shared_dir
 from tidepool.sources import fixtures as fx
 from tidepool.streaming import runners, sinks
-from tidepool.streaming.sessions import session_state
+from tidepool.streaming.ml import kmeans_replay
+from tidepool.streaming.sessions import SessionPartsSink
 from tidepool.streaming.sources import table_stream
 
 STREAM_WINDOW, STREAM_SLIDE = "1 day", "1 hour"
-WATERMARK = "1 day"
-TIMEOUT_S = 1800
+ALARM_WINDOW = "12 hours"
+BATCH_EVERY = "1 day"
 
 
 def ntz_to_instant(c):
@@ -44,197 +48,168 @@ def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", ntz_to_instant("ts").alias("ts"), fx.log_line().alias("line"))
 
 
-def _run(df: DataFrame, fn, name: str, mode: str = "append") -> None:
-    q = runners.start_foreach_batch(df, fn, name, output_mode=mode, available_now=True)
-    runners.drain(q, TIMEOUT_S)
+def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events_stream(spark, sf_dir)
+    return ev.select("event_id", ntz_to_instant("ts").alias("ts"), fx.status_text().alias("text"))
+
 
+def _run(df: DataFrame, fn, name: str) -> None:
+    runners.drain(runners.start_foreach_batch(df, fn, name, available_now=True))
 
-def _upsert_by_batch(table: sinks.UpsertTable):
-    """Tag each update with its batch id, then merge (later batches win)."""
-    def run(batch_df: DataFrame, batch_id: int) -> None:
-        table.merge(batch_df.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id)
-    return run
+
+def _window_counts(spark: SparkSession, df: DataFrame, keys: list, name: str, window: str, slide: str,
+                   measures: dict | None = None) -> DataFrame:
+    """Sums per slide bucket and key stored by the stream, copied into windows when read."""
+    sink = sinks.TickCountsSink(shared_dir(spark, name), keys, "ts", windows.parse_seconds(slide), measures)
+    _run(df, sink, name)
+    sums = sink.read(spark).withColumn("_t", F.timestamp_seconds("tick"))
+    return windows.window_sums(sums, keys, {k: F.col(k) for k in sink.measures}, "_t", window, slide)
 
 
 def stream_url_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming ``window()`` counts in update mode, upserted per (window, url)."""
-    logs = al.to_strict_urls(_log_stream(spark, sf_dir), "line", keep=("ts",))
-    counts = windows.stream_window_counts(logs, "url", "ts", STREAM_WINDOW, STREAM_SLIDE, WATERMARK)
-    table = sinks.UpsertTable(shared_dir(spark, "stream-url-window"),
-                              ["window_start", "window_end", "url"], ["_batch"])
-    _run(counts, _upsert_by_batch(table), "url_window_counts", mode="update")
-    return table.read(spark).select("window_start", "window_end", "url", "n")
+    """Url counts per sliding window."""
+    urls = al.to_strict_urls(_log_stream(spark, sf_dir), "line", keep=("ts",))
+    return _window_counts(spark, urls, ["url"], "stream-url-windows", STREAM_WINDOW, STREAM_SLIDE)
 
 
-def stream_session_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session state per ip through ``applyInPandasWithState``; snapshot upserted per ip."""
+def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's main job as a stream: top 10 hashtags per window."""
+    tags = tx.hashtags(_statuses(spark, sf_dir), "text", "tag", keep=("ts",))
+    counts = _window_counts(spark, tags, ["tag"], "stream-hashtags", STREAM_WINDOW, STREAM_SLIDE)
+    return windows.top_k(counts, 10, ["window_start", "window_end"], "n", "tag")
+
+
+def _outcomes() -> dict:
+    return {"success": (F.col("status_class") == "Success").cast("int"),
+            "failure": (F.col("status_class") == "Failure").cast("int")}
+
+
+def stream_error_rate_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG4 on a stream: success/failure per 12-hour window (1-hour slide)."""
+    cls = al.to_status_classes(_log_stream(spark, sf_dir), "line", keep=("ts",))
+    sums = _window_counts(spark, cls, [], "stream-alarm", ALARM_WINDOW, STREAM_SLIDE, _outcomes())
+    return sums.withColumn("state", alarm.alarm_state(F.col("success"), F.col("failure")))
+
+
+def stream_alarm_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK7: the alarm's messages for each window of the stream."""
+    return alarm.alarm_messages(stream_error_rate_alarm(spark, sf_dir)).select(
+        "window_start", "totals_message", "alarm_message")
+
+
+def _session_sink(spark: SparkSession, sf_dir: str, name: str) -> SessionPartsSink:
     visits = al.to_visits(_log_stream(spark, sf_dir), "line", keep=("event_id", "ts"))
-    updates = session_state(visits, "ip")
-    table = sinks.UpsertTable(shared_dir(spark, "stream-sessions"), ["ip"], ["_batch"])
-    _run(updates, _upsert_by_batch(table), "session_state", mode="update")
-    s = table.read(spark)
-    return s.select("ip", "session_length", F.size("clickstream").alias("clicks"),
-                    F.concat_ws(" ", "clickstream").alias("clickstream"))
+    sink = SessionPartsSink(shared_dir(spark, name))
+    _run(visits, sink, name)
+    return sink
+
+
+def _clicks(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*cols, F.size("clickstream").alias("clicks"), F.concat_ws(" ", "clickstream").alias("clickstream"))
+
+
+def stream_session_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and first 10 urls per ip, from session parts stored by the stream."""
+    return _clicks(_session_sink(spark, sf_dir, "stream-sessions").first_clicks(spark), "ip", "session_length")
+
+
+def stream_session_gap_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STS2: sessions split at 30 idle minutes, count and first 10 urls each."""
+    out = _session_sink(spark, sf_dir, "stream-gap-sessions").gap_sessions(spark)
+    return _clicks(out, "ip", "session_start", "session_end", "requests")
+
+
+def stream_session_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STS3 + STS4: the sessions still open at the last request, through the reference's SQL."""
+    return _clicks(_session_sink(spark, sf_dir, "stream-snapshot").snapshot_sql(spark), "ip", "session_length")
+
+
+DAY_SQL = "select day, agent, count(*) as total from requests group by day, agent"
 
 
 def stream_agent_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's SQL run on every micro-batch (AGG3 through foreachBatch)."""
-    records = al.to_records(_log_stream(spark, sf_dir), "line")
+    """The reference's SQL run on every micro-batch (AGG3 through foreachBatch), by day of event time."""
+    records = al.to_records(_log_stream(spark, sf_dir), "line", keep=("ts",))
     out = shared_dir(spark, "stream-agent-sql")
-    _run(records, runners.sql_each_batch(sink=runners.append_parquet(out)), "agent_sql")
-    return (spark.read.parquet(out)
-                 .select(F.col("batch_id").cast("bigint").alias("batch_id"), "agent", "total"))
+    _run(records.withColumn("day", batches.batch_id("ts", BATCH_EVERY)),
+         runners.sql_each_batch(DAY_SQL, sink=runners.append_parquet(out)), "agent_sql")
+    return (spark.read.parquet(out).groupBy(F.col("day").alias("batch_id"), "agent")
+                 .agg(F.sum("total").alias("total")))
+
+
+def stream_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: counter and gauges of status texts after each day.
+
+    Each micro-batch's figures per day are stored and merged; the live job
+    (``jobs.start_length_gauges``) observes the same figures inside its batches.
+    """
+    out = shared_dir(spark, "stream-text-metrics")
+
+    def figures(batch_df: DataFrame, batch_id: int) -> None:
+        (batch_df.groupBy(batches.batch_id("ts", BATCH_EVERY).alias("day")).agg(*sinks.text_metric_columns("text"))
+                 .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+
+    _run(_statuses(spark, sf_dir), figures, "text_metrics")
+    per_day = (spark.read.parquet(out).groupBy(F.col("day").alias("batch_id"))
+                    .agg(F.sum("tweets").alias("n"), F.sum("chars").alias("chars"), F.max("longest").alias("longest")))
+    return textstats.running_text_length(per_day).select(
+        "batch_id", F.col("total_n").alias("counter"), "avg_length", F.col("longest").alias("longest_in_batch"))
 
 
 def sink_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK2: records written as JSON per non-empty batch, read back."""
+    """SNK2: records written as JSON per non-empty batch, all read back."""
     records = al.to_records(_log_stream(spark, sf_dir), "line", keep=("event_id",))
     path = shared_dir(spark, "requests-json")
-    _run(records, sinks.json_overwrite_nonempty(path), "json_sink")
-    return spark.read.schema("event_id bigint, url string, status int, agent string").json(path)
+    _run(records, sinks.json_nonempty(path), "json_sink")
+    return (spark.read.schema("event_id bigint, url string, status int, agent string, batch_id bigint").json(path)
+                 .drop("batch_id"))
 
 
 def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK3 + SNK4: status texts saved per batch until more than 100 are saved."""
-    ev = _events_stream(spark, sf_dir)
-    st = ev.select(fx.status_text().alias("text"))
-    capture = sinks.CappedTextCapture(shared_dir(spark, "tweets-text"), limit=100)
-    _run(st, capture, "text_sink")
+    """SNK3: status texts saved per batch, all read back."""
+    capture = sinks.TextCapture(shared_dir(spark, "tweets-text"))
+    _run(_statuses(spark, sf_dir), capture, "text_sink")
     return spark.read.text(f"{capture.base}/batch_id=*").select("value")
 
 
 def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK5: row projection upserted in two batches (first half, second half of
-    the month), last request per (ip, url) wins."""
-    logs = fx.logs(spark, sf_dir)
-    rows = al.to_rows(logs, "line", keep=("event_id", "ts"))
+    """SNK5: row projection upserted by the stream, last request per (ip, url) wins."""
+    rows = al.to_rows(_log_stream(spark, sf_dir), "line", keep=("event_id", "ts"))
     table = sinks.UpsertTable(shared_dir(spark, "row-store"), ["ip", "url"], ["ts", "event_id"])
-    first = F.dayofmonth("ts") < 15
-    table.merge(rows.where(first), 0)
-    table.merge(rows.where(~first), 1)
+    _run(rows, table, "row_store")
     return table.read(spark).select("ip", "url", "status", "user_agent", "event_id")
 
 
-def stream_kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML1 through a live stream: the foreachBatch trainer, model read back.
-
-    Starts from the same fixed centres as ``kmeans_step`` with zero weight, so
-    after the replay's batch the model holds each cluster's mean and size.
-    """
-    from tidepool.operators import kmeans
-    from tidepool.plans.queries import KMEANS_DIGITS, _first_centres, _kmeans_input
-    from tidepool.streaming.ml import kmeans_foreach_batch
-    centres = _first_centres(_kmeans_input(spark, sf_dir), kmeans.K)
-    ev = _events_stream(spark, sf_dir)
-    feats = ev.select(F.array(F.col("value").cast("double"),
-                              F.col("user_id").cast("double")).alias("features"))
-    model_dir = shared_dir(spark, "stream-kmeans")
-    trainer = kmeans_foreach_batch(kmeans.StreamingKMeansModel.given(centres), "features", model_dir)
-    _run(feats, trainer, "kmeans_train")
-    last = trainer.state["last"]
-    model = spark.read.parquet(f"{model_dir}/batch_id={last}")
-    return model.where(F.col("weight") > 0).select(
-        "cluster", F.col("weight").cast("bigint").alias("n"),
-        *[F.round(F.col("centre")[i], KMEANS_DIGITS).alias(f"c_{i}") for i in range(kmeans.DIM)])
-
-
-def _window_table(spark, counts: DataFrame, keys: list, name: str) -> DataFrame:
-    """Run windowed counts in update mode into an upsert table; return its rows."""
-    table = sinks.UpsertTable(shared_dir(spark, name), ["window_start", "window_end", *keys],
-                              ["_batch"])
-    _run(counts, _upsert_by_batch(table), name, mode="update")
-    return table.read(spark).drop("_batch")
-
-
-def stream_kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML1 + ML2 as one stream: training rows and rows to score share the
-    micro-batch (a role column); scoring uses the model after that batch."""
-    from tidepool.operators import kmeans
-    from tidepool.plans.queries import _first_centres, _kmeans_input
-    from tidepool.streaming.ml import kmeans_foreach_batch
-    centres = _first_centres(_kmeans_input(spark, sf_dir), kmeans.K)
-    def rows(role):
-        ev = _events_stream(spark, sf_dir)
-        return ev.select("event_id", (F.col("event_id") % 5).cast("int").alias("label"),
-                         F.array(F.col("value").cast("double"),
-                                 F.col("user_id").cast("double")).alias("features"),
-                         F.lit(role).alias("role"))
-    out = shared_dir(spark, "stream-kmeans-predict")
-    trainer = kmeans_foreach_batch(kmeans.StreamingKMeansModel.given(centres), "features",
-                                   shared_dir(spark, "stream-kmeans-model"), role_col="role",
-                                   predict_dir=out, keep=("event_id", "label"))
-    _run(rows("train").unionByName(rows("test")), trainer, "kmeans_train_predict")
-    return spark.read.parquet(out).select("event_id", "label", "cluster")
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """All rows of a stream, stored per micro-batch."""
+    out = shared_dir(spark, name)
+    _run(df, lambda batch_df, batch_id: batch_df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"), name)
+    return spark.read.parquet(out).drop("batch_id")
 
 
-def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's main job as a stream: hashtag window counts kept in
-    a keyed table by the stream, top 10 per window read from it."""
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events_stream(spark, sf_dir)
-    st = ev.select(ntz_to_instant("ts").alias("ts"), fx.status_text().alias("text"))
-    from tidepool.functions import text as tx
-    tags = tx.hashtags(st, "text", "tag", keep=("ts",))
-    counts = windows.stream_window_counts(tags, "tag", "ts", STREAM_WINDOW, STREAM_SLIDE, WATERMARK)
-    table = _window_table(spark, counts, ["tag"], "stream-hashtags")
-    return windows.top_k(table, 10, ["window_start", "window_end"], "n", "tag")
-
-
-def stream_error_rate_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG4 on a stream: success/failure per 12-hour window (1-hour slide)."""
-    from tidepool.operators.alarm import alarm_state
-    cls = al.to_status_classes(_log_stream(spark, sf_dir), "line", keep=("ts",))
-    w = F.window(F.col("ts"), "12 hours", "1 hour")
-    counts = (cls.withWatermark("ts", "12 hours")
-                 .groupBy(w.alias("w"))
-                 .agg(F.sum((F.col("status_class") == "Success").cast("bigint")).alias("success"),
-                      F.sum((F.col("status_class") == "Failure").cast("bigint")).alias("failure"))
-                 .select(F.unix_timestamp("w.start").alias("window_start"),
-                         F.unix_timestamp("w.end").alias("window_end"), "success", "failure"))
-    table = _window_table(spark, counts, [], "stream-alarm")
-    return table.select("window_start", "window_end", "success", "failure",
-                        alarm_state(F.col("success"), F.col("failure")).alias("state"))
-
+    return ev.select("event_id", ntz_to_instant("ts").alias("ts"), (F.col("event_id") % 5).cast("int").alias("label"),
+                     F.array(F.col("value").cast("double"), F.col("user_id").cast("double")).alias("features"))
 
-def stream_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK6: counter and gauges observed on each micro-batch of status texts.
 
-    ``observe`` computes them inside the batch's own job; they are read from the
-    query progress (a live deployment registers ``sinks.MetricsListener``).
-    """
-    ev = _events_stream(spark, sf_dir)
-    st = ev.select(fx.status_text().alias("text"))
-    observed, _ = sinks.observe_text_metrics(st, "text", "text_metrics")
-    q = (observed.writeStream.format("noop").queryName("text_metrics")
-                 .option("checkpointLocation", shared_dir(spark, "checkpoint-text-metrics"))
-                 .trigger(availableNow=True).start())
-    runners.drain(q, TIMEOUT_S)
-    rows, total_n, total_chars = [], 0, 0
-    for p in q.recentProgress:
-        m = p.observedMetrics.get("text_metrics")
-        if m is None or not m["tweets"]:
-            continue
-        total_n += m["tweets"]
-        total_chars += m["chars"]
-        rows.append((int(p.batchId), int(total_n), int(total_chars // total_n), int(m["longest"])))
-    return spark.createDataFrame(
-        rows, "batch_id bigint, counter bigint, avg_length bigint, longest_in_batch bigint")
+def stream_kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1 on a stream: points stored per micro-batch, the model trained day after day."""
+    from tidepool.plans.queries import KMEANS_DIGITS, _first_centres
+    points = batches.with_batch(_staged(spark, _points(spark, sf_dir), "stream-kmeans"), "ts", BATCH_EVERY)
+    model = kmeans.StreamingKMeansModel.given(_first_centres(points, kmeans.K))
+    out = kmeans_replay(points, "features", "batch_id", model)
+    return out.select("batch_id", "cluster", "weight",
+                      *[F.round(F.col("centre")[i], KMEANS_DIGITS).alias(f"c_{i}") for i in range(kmeans.DIM)])
 
 
-def stream_session_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STS3 + STS4: the session state read back from the checkpoint as of the
-    last batch with input, queried with the reference's snapshot SQL."""
-    from tidepool.streaming.sessions import snapshot_sql
-    visits = al.to_visits(_log_stream(spark, sf_dir), "line", keep=("event_id", "ts"))
-    cp = shared_dir(spark, "checkpoint-session-snapshot")
-    q = runners.start_with_partitions(
-        session_state(visits, "ip").writeStream.format("noop").outputMode("update")
-        .queryName("session_snapshot").option("checkpointLocation", cp)
-        .trigger(availableNow=True), spark)
-    runners.drain(q, TIMEOUT_S)
-    last_data = max(p.batchId for p in q.recentProgress if p.numInputRows > 0)
-    snap = snapshot_sql(spark, cp, last_data)
-    return snap.select("ip", "session_length", F.size("clickstream").alias("clicks"),
-                       F.concat_ws(" ", "clickstream").alias("clickstream"))
+def stream_kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1 + ML2 on a stream: one update over all stored training points, every point scored with it."""
+    from tidepool.plans.queries import _first_centres
+    points = _staged(spark, _points(spark, sf_dir), "stream-kmeans-predict")
+    model = kmeans.StreamingKMeansModel.given(_first_centres(points, kmeans.K))
+    model.train_batch(points, "features")
+    return model.predict(points, "features").select("event_id", "label", "cluster")
 
 
 def stream_url_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,15 +224,12 @@ def stream_url_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_error_rate_alarm_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's alarm on a stream at 300 s / 1 s: per-second success and
     failure sums per micro-batch, the alarm rule over the step function."""
-    from tidepool.operators.alarm import alarm_state
     cls = al.to_status_classes(_log_stream(spark, sf_dir), "line", keep=("ts",))
-    measures = {"success": (F.col("status_class") == "Success").cast("int"),
-                "failure": (F.col("status_class") == "Failure").cast("int")}
-    sink = sinks.TickCountsSink(shared_dir(spark, "stream-alarm-ticks"), None, "ts", 1, measures)
+    sink = sinks.TickCountsSink(shared_dir(spark, "stream-alarm-ticks"), None, "ts", 1, _outcomes())
     _run(cls, sink, "alarm_ticks")
     s = sink.sliding(spark, "300 seconds", keep_zero=True)
     return s.select("tick", "success", "failure",
-                    alarm_state(F.col("success"), F.col("failure")).alias("state"))
+                    alarm.alarm_state(F.col("success"), F.col("failure")).alias("state"))
 
 
 STREAM_QUERIES = {
@@ -275,4 +247,6 @@ STREAM_QUERIES = {
     "stream_session_snapshot": stream_session_snapshot,
     "stream_url_sliding_counts": stream_url_sliding_counts,
     "stream_error_rate_alarm_ticks": stream_error_rate_alarm_ticks,
+    "stream_session_gap_first10": stream_session_gap_first10,
+    "stream_alarm_messages": stream_alarm_messages,
 }

@@ -51,12 +51,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[N]``), not a cluster."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def _checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``), or a local one.
 
-    A local temporary folder is only made when the setting is absent, which is
-    the case in tests and local runs; on a cluster the setting names shared
-    storage that every executor can reach.
+    A local temporary folder is only made when the setting is absent and the
+    master is local; on a cluster the setting must name shared storage that
+    every executor can reach, and its absence is an error.
     """
     global _LOCAL_DIR
     base = None
@@ -70,6 +76,8 @@ def _checkpoint_base(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no SparkContext
             base = None
     if not base:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="tidepool-")
         base = _LOCAL_DIR

@@ -6,13 +6,17 @@ returns the started ``StreamingQuery``. Per-tick views ("top 10 in the last 300
 "totals in the last 300 s") are computed in ``foreachBatch`` from per-second
 counts: only the stored batches whose ticks reach into the current window are
 read, so no job keeps 300 copies of each row in window state and the per-batch
-cost does not grow with the stream's history.
+cost does not grow with the stream's history. The window's end never moves back.
+A live job also gets a heartbeat row a second, so results go on while no traffic
+comes: counts fall, an alarm clears, an emptied window is reported.
 Results go to a callback ``on_result(batch_id, rows)`` (default: print), rows
 being a short list (top k, one alarm line).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +29,7 @@ from tidepool.operators.kmeans import StreamingKMeansModel
 from tidepool.operators.linreg import StreamingLinearModel
 from tidepool.streaming import runners, sinks
 from tidepool.streaming.ml import kmeans_foreach_batch, linreg_foreach_batch
-from tidepool.streaming.sessions import SNAPSHOT_SQL, SNAPSHOT_VIEW, session_state, snapshot_sql
+from tidepool.streaming.sessions import SessionPartsSink
 
 WINDOW_S = 300
 TOP_K = 10
@@ -45,38 +49,58 @@ def _run(df, fn, name, base, mode="append", available_now=False, interval=runner
 def _window_view(sink: sinks.TickCountsSink, spark, until_tick: int, window_s: int,
                  batch_ids=None) -> DataFrame:
     """Sums per key over ticks (until - window, until]: the current window."""
-    c = sink.read(spark, batch_ids)
+    c = sink.read(spark) if batch_ids is None else sink.read(spark, batch_ids) if batch_ids else sink.read(spark).limit(0)
     c = c.where((F.col("tick") > until_tick - window_s) & (F.col("tick") <= until_tick))
     return c.groupBy(*sink.keys).agg(*[F.sum(k).alias(k) for k in sink.measures])
 
 
+BEAT = "_beat"
+
+
+def _with_beats(df: DataFrame, live: bool) -> DataFrame:
+    """``df`` and, in a live job, a row a second that holds only the time."""
+    df = df.withColumn(BEAT, F.lit(False))
+    if not live:
+        return df
+    beats = df.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("ts", BEAT)
+             else (F.col("timestamp").alias("ts") if f.name == "ts" else F.lit(True).alias(BEAT)) for f in df.schema]
+    return df.unionByName(beats.select(*empty))
+
+
 def _ticking(sink: sinks.TickCountsSink, view, window_s: int):
-    """foreachBatch: store this batch's per-second sums, then show the view at its
-    last tick. The tick range of every stored batch is remembered (one small
-    tuple per batch), so the view reads only the batches that reach into the
-    window, not the whole history; after a restart it reads everything once.
+    """foreachBatch: store this batch's per-second sums, then show the view at the last tick.
+
+    The tick range of the stored batches that reach into the window is remembered,
+    so the view reads only those; after a restart it reads everything once.
     """
     ranges: dict[int, tuple[int, int]] = {}
-    state = {"restarted": True}
+    state = {"restarted": True, "last": None}
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
         try:
-            secs = F.unix_timestamp(sink.time_col)
-            lo, hi = batch_df.agg(F.min(secs), F.max(secs)).first()
-            sink(batch_df, batch_id)
+            secs, real = F.unix_timestamp(sink.time_col), ~F.col(BEAT)
+            lo, hi, end = batch_df.agg(F.min(F.when(real, secs)), F.max(F.when(real, secs)), F.max(secs)).first()
+            sink(batch_df.where(real).drop(BEAT), batch_id)
         finally:
             batch_df.unpersist()
-        if hi is None:
-            return
-        ranges[batch_id] = (int(lo), int(hi))
-        last = int(hi)
+        spark = batch_df.sparkSession
         if state["restarted"]:
-            ids = None
-            state["restarted"] = False
-        else:
-            ids = [b for b, (a, z) in ranges.items() if z > last - window_s and a <= last]
-        view(batch_df.sparkSession, batch_id, last, ids)
+            stored = sink.read(spark).agg(F.max("tick")).first()[0]
+            state["last"] = stored if stored is not None else end
+        if end is not None:
+            state["last"] = max(state["last"], int(end))
+        if hi is not None:
+            ranges[batch_id] = (int(lo), int(hi))
+        last = state["last"]
+        if last is None:
+            return
+        for b in [b for b, (_, z) in ranges.items() if z <= last - window_s]:
+            del ranges[b]  # the window has left it for good
+        ids = None if state["restarted"] else list(ranges)
+        state["restarted"] = False
+        view(spark, batch_id, last, ids)
     return run
 
 
@@ -89,7 +113,7 @@ def _top_counts_job(keyed: DataFrame, key: str, base: str, name: str, on_result,
                .orderBy(F.desc("n"), F.asc(key)).limit(k).collect())
         on_result(batch_id, [(r[key], r["n"]) for r in top])
 
-    return _run(keyed.select(key, "ts"), _ticking(sink, view, window_s), name, base,
+    return _run(_with_beats(keyed.select(key, "ts"), not available_now), _ticking(sink, view, window_s), name, base,
                 available_now=available_now)
 
 
@@ -118,7 +142,8 @@ def start_alarm(lines: DataFrame, base: str, on_result=_print, window_s: int = W
             out.append(ALARM_MESSAGE if f > ratio * s else ALL_CLEAR_MESSAGE)
         on_result(batch_id, out)
 
-    return _run(cls, _ticking(sink, view, window_s), "alarm", base, available_now=available_now)
+    return _run(_with_beats(cls, not available_now), _ticking(sink, view, window_s), "alarm", base,
+                available_now=available_now)
 
 
 def start_batch_sql(lines: DataFrame, base: str, sql: str = BATCH_SQL, available_now: bool = False):
@@ -128,42 +153,47 @@ def start_batch_sql(lines: DataFrame, base: str, sql: str = BATCH_SQL, available
                 "batch_sql", base, available_now=available_now)
 
 
-def start_json_requests(lines: DataFrame, base: str, available_now: bool = False):
-    """Records of each non-empty batch as JSON under ``base/requests`` (last batch wins)."""
-    return _run(al.to_records(lines, "line"), sinks.json_overwrite_nonempty(f"{base}/requests"),
+def start_json_requests(lines: DataFrame, base: str, overwrite: bool = False, available_now: bool = False):
+    """Records of each non-empty batch as JSON under ``base/requests/batch_id=N``
+    (``overwrite``: only the last batch, at ``base/requests``, as in the reference)."""
+    return _run(al.to_records(lines, "line"), sinks.json_nonempty(f"{base}/requests", overwrite),
                 "json_requests", base, available_now=available_now)
 
 
-def start_row_store(lines: DataFrame, base: str, keys=("ip", "url"), available_now: bool = False):
-    """Rows ``(ip, url, status, user_agent)`` upserted every 10 s into ``base/table``."""
-    rows = al.to_rows(lines, "line", keep=("ts",))
-    table = sinks.UpsertTable(f"{base}/table", list(keys), ["ts"])
+def _with_event_id(lines: DataFrame) -> DataFrame:
+    """Line sources carry no event id: lines of one time are ordered by a hash."""
+    return lines if "event_id" in lines.columns else lines.withColumn("event_id", F.xxhash64("line"))
+
+
+def start_row_store(lines: DataFrame, base: str, keys=("ip", "url"), format: str = "parquet",
+                    compact_every: int = 360, available_now: bool = False):
+    """Rows ``(ip, url, status, user_agent)`` upserted every 10 s into ``base/table``.
+
+    Returned with the table, whose ``rows_written`` counts; the deltas are folded
+    into a new base once an hour."""
+    rows = al.to_rows(_with_event_id(lines), "line", keep=("ts", "event_id"))
+    table = sinks.UpsertTable(f"{base}/table", list(keys), ["ts", "event_id"], compact_every, format)
     return _run(rows, table, "row_store", base, available_now=available_now,
-                interval=runners.ROW_STORE_INTERVAL)
+                interval=runners.ROW_STORE_INTERVAL), table
 
 
 def start_sessions(lines: DataFrame, base: str, on_result=_print, available_now: bool = False):
     """Per-ip sessions (count + first 10 urls, 30-minute idle timeout); each batch
-    the current snapshot is queried with the reference's SQL."""
-    if "event_id" not in lines.columns:  # order lines sharing a timestamp deterministically
-        lines = lines.withColumn("event_id", F.xxhash64("line"))
-    visits = al.to_visits(lines, "line", keep=("event_id", "ts"))
-    table = sinks.UpsertTable(f"{base}/sessions", ["ip"], ["_batch"])
+    the open sessions are queried with the reference's SQL."""
+    visits = al.to_visits(_with_event_id(lines), "line", keep=("event_id", "ts"))
+    sink = SessionPartsSink(f"{base}/sessions")
 
     def run(batch_df, batch_id):
-        spark = batch_df.sparkSession
-        table.merge(batch_df.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id)
-        table.read(spark).drop("_batch").createOrReplaceTempView(SNAPSHOT_VIEW)
-        shown = spark.sql(SNAPSHOT_SQL).orderBy("ip").limit(20).collect()  # what show() prints
+        sink(batch_df, batch_id)
+        shown = sink.snapshot_sql(batch_df.sparkSession).orderBy("ip").limit(20).collect()  # what show() prints
         on_result(batch_id, [tuple(r) for r in shown])
 
-    return _run(session_state(visits, "ip"), run, "sessions", base, mode="update",
-                available_now=available_now)
+    return _run(visits, run, "sessions", base, available_now=available_now)
 
 
-def session_snapshot(spark, base: str, batch_id: int | None = None) -> DataFrame:
-    """The sessions job's state store as a table (``select * from sessionData``)."""
-    return snapshot_sql(spark, f"{base}/checkpoint", batch_id)
+def session_snapshot(spark, base: str) -> DataFrame:
+    """The sessions job's open sessions as a table (``select * from sessionData``)."""
+    return SessionPartsSink(f"{base}/sessions").snapshot_sql(spark)
 
 
 # --------------------------------------------------------------- status jobs
@@ -181,9 +211,9 @@ def start_top_words(statuses: DataFrame, base: str, on_result=_print, window_s:
 
 def start_save_statuses(statuses: DataFrame, base: str, limit: int = CAPTURE_LIMIT,
                         available_now: bool = False):
-    """Save texts per batch until more than ``limit`` are saved; the caller stops
-    the query when ``capture.done`` (returned alongside)."""
-    capture = sinks.CappedTextCapture(f"{base}/texts", limit=limit)
+    """Save texts per batch until more than ``limit`` are saved; the caller stops the
+    query when ``capture.done`` (returned alongside), e.g. by ``runners.drain_capture``."""
+    capture = sinks.TextCapture(f"{base}/texts", limit=limit)
     q = _run(statuses.select("text"), capture, "save_statuses", base, available_now=available_now)
     return q, capture
 
@@ -192,12 +222,16 @@ def start_length_gauges(statuses: DataFrame, base: str, on_result=_print, availa
     """Counter, average length (integer division) and longest length per batch,
     observed inside each batch's own job; a listener forwards them."""
     spark = statuses.sparkSession
-    listener = sinks.MetricsListener(lambda name, batch_id, m: on_result(batch_id, [m]))
+    listener = sinks.MetricsListener(lambda name, batch_id, m: on_result(batch_id, [m]), spark=spark,
+                                     totals_dir=f"{base}/totals")
     spark.streams.addListener(listener)
     observed, _ = sinks.observe_text_metrics(statuses.select("text"), "text")
-    q = (observed.writeStream.format("noop").option("checkpointLocation", f"{base}/checkpoint"))
+    q = (observed.writeStream.format("noop").queryName(f"text_metrics-{uuid.uuid4().hex[:8]}")
+                 .option("checkpointLocation", f"{base}/checkpoint"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime=runners.BATCH_INTERVAL)
-    return q.start(), listener
+    query = q.start()
+    listener.watch(query)
+    return query, listener
 
 
 # ---------------------------------------------------------------- model jobs
@@ -216,11 +250,12 @@ def start_kmeans(train: DataFrame, test: DataFrame, base: str, model: StreamingK
 
 def start_linreg(train: DataFrame, test: DataFrame, base: str,
                  model: StreamingLinearModel | None = None, available_now: bool = False):
-    """Same for the regression: ``label`` and a one-element ``features`` array."""
+    """Same for the regression: ``label`` and a ``features`` array with a value for each weight."""
     model = model or StreamingLinearModel.zeros(1)
-    rows = (train.select("label", F.col("features")[0].alias("x"), F.lit("train").alias("role"))
-                 .unionByName(test.select("label", F.col("features")[0].alias("x"),
-                                          F.lit("test").alias("role"))))
-    fn = linreg_foreach_batch(model, "label", ["x"], f"{base}/model", role_col="role",
+    names = [f"x{i}" for i in range(len(model.weights))]
+    parts = lambda df, role: df.select(
+        "label", *[F.col("features")[i].alias(n) for i, n in enumerate(names)], F.lit(role).alias("role"))
+    fn = linreg_foreach_batch(model, "label", names, f"{base}/model", role_col="role",
                               predict_dir=f"{base}/predictions")
-    return _run(rows, fn, "linreg", base, available_now=available_now), fn.state
+    return _run(parts(train, "train").unionByName(parts(test, "test")), fn, "linreg", base,
+                available_now=available_now), fn.state

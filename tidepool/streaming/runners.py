@@ -30,30 +30,20 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(processingTime=interval)
 
 
-def state_partitions(spark) -> int:
-    """Default state-store partition count for a new stateful query.
-
-    It is fixed for the life of a checkpoint at the first micro-batch. The
-    cluster's parallelism (one state task per core) is used, capped by the
-    session's shuffle partitions, so a local run does not commit 200 stores a batch.
-    """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        return max(1, min(current, spark.sparkContext.defaultParallelism))
-    except Exception:  # pragma: no cover - no SparkContext (Spark Connect)
-        return current
-
-
 def start_with_partitions(writer, spark, partitions: int | None = None) -> StreamingQuery:
-    """``writer.start()`` with the shuffle/state partition count set for this query.
+    """``writer.start()``, with ``partitions`` shuffle and state partitions if given.
 
-    A streaming query copies the session conf when it starts, so the setting is
-    applied around ``start()`` only and the session is left as it was.
+    The count is fixed for the life of a checkpoint at the first micro-batch.
+    Without the argument the session's ``spark.sql.shuffle.partitions`` holds and
+    nothing is changed; with it the setting is applied around ``start()`` only
+    (a query copies the session's settings when it starts), so give it before
+    other queries are planned in the same session.
     """
-    n = partitions or state_partitions(spark)
+    if partitions is None:
+        return writer.start()
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    spark.conf.set(key, str(partitions))
     try:
         return writer.start()
     finally:
@@ -97,7 +87,25 @@ def append_parquet(path: str):
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an ``availableNow`` query to finish; re-raise its failure."""
-    query.awaitTermination(timeout_s)
+    """Wait for an ``availableNow`` query to finish; re-raise its failure.
+
+    Without ``timeout_s`` it waits as long as the query runs. Past a timeout the
+    query is stopped and ``TimeoutError`` raised: its sink is not complete.
+    """
+    if query.awaitTermination(timeout_s) is False:
+        query.stop()
+        raise TimeoutError(f"the query has not finished within {timeout_s} s; its sink is not complete")
     if query.exception():
         raise query.exception()
+
+
+def drain_capture(query: StreamingQuery, capture, poll_s: float = 0.2) -> None:
+    """Wait until the query ends or ``capture`` has its rows, then stop it.
+
+    A batch that came after the limit is not saved and not acknowledged."""
+    while not query.awaitTermination(poll_s):
+        if capture.done:
+            query.stop()
+            return
+    if query.exception() and "CaptureFull" not in str(query.exception()):
+        raise query.exception()

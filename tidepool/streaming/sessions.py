@@ -1,111 +1,53 @@
-"""Streaming per-client session state (STS1-STS4) with ``applyInPandasWithState``.
+"""Streaming per-client sessions (STS1-STS4) on mergeable parts.
 
-State per key: request count and the first ``n`` urls in arrival order. Each
-micro-batch hands a key's new rows to the function as an iterator of Arrow
-batches; only a running best-``n`` is kept while iterating, so memory per key
-is bounded however many rows it has. A key idle for the timeout emits its
-closed session and drops its state (the reference would have failed there).
-Idle time is event time: the timeout fires once the watermark passes the
-key's last request plus the gap.
+The stream stores each micro-batch's per-second parts under ``batch_id=N``
+(:func:`tidepool.operators.sessions.second_parts`); nothing is kept in a state
+store, no row is ever too late, and a replayed batch replaces its own parts.
+Readers merge the parts: sessions split at idle gaps, clicks over all time, and
+the snapshot of open sessions that the reference queries with SQL.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
 
+from tidepool.operators import sessions
 from tidepool.operators.sessions import CLICKSTREAM_LENGTH, SESSION_GAP
 
-OUTPUT_SCHEMA = "ip string, session_length long, clickstream array<string>, closed boolean"
-STATE_SCHEMA = "session_length long, clickstream array<string>, last_ms long"
-
-
-def _gap_ms(gap: str) -> int:
-    from tidepool.operators.windows import parse_seconds
-    return parse_seconds(gap) * 1000
-
-
-def session_state_fn(n: int = CLICKSTREAM_LENGTH, gap: str = SESSION_GAP,
-                     order=("ts", "event_id"), item: str = "url", key_name: str = "ip"):
-    """State function: event-time idle timeout (``last event + gap``)."""
-    gap_ms = _gap_ms(gap)
-    order = list(order)
-
-    def out(key, length, clicks, closed):
-        return pd.DataFrame({key_name: [key], "session_length": [int(length)],
-                             "clickstream": [list(clicks)], "closed": [closed]})
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k = key[0]
-        if state.hasTimedOut:
-            length, clicks, _ = state.get
-            state.remove()
-            yield out(k, length, clicks, True)
-            return
-        length, clicks, last_ms = (state.get if state.exists else (0, [], None))
-        length, clicks = int(length), list(clicks)
-        room = n - len(clicks)
-        best = None
-        for pdf in pdfs:
-            length += len(pdf)
-            m = int(pdf["_ms"].max())
-            last_ms = m if last_ms is None else max(int(last_ms), m)
-            if room > 0:
-                part = pdf[order + [item]]
-                best = part if best is None else pd.concat([best, part])
-                best = best.sort_values(order, kind="stable").head(room)
-        if best is not None:
-            clicks += best[item].tolist()
-        state.update((length, clicks, last_ms))
-        state.setTimeoutTimestamp(int(last_ms) + gap_ms)
-        yield out(k, length, clicks, False)
-
-    return fn
-
-
-def session_state(visits: DataFrame, key: str = "ip", n: int = CLICKSTREAM_LENGTH,
-                  gap: str = SESSION_GAP, order=("ts", "event_id"), item: str = "url",
-                  time_col: str = "ts", watermark: str = SESSION_GAP) -> DataFrame:
-    """``(key, session_length, clickstream, closed)`` updates, one per key per batch.
-
-    ``time_col`` must be a TIMESTAMP; the watermark drives the idle timeout, so
-    replays close sessions by event time, live streams as events arrive.
-    """
-    v = (visits.withWatermark(time_col, watermark)
-               .withColumn("_ms", (F.unix_micros(F.col(time_col)) / 1000).cast("bigint")))
-    schema = OUTPUT_SCHEMA.replace("ip string", f"{key} string", 1)
-    return v.groupBy(key).applyInPandasWithState(
-        session_state_fn(n, gap, order, item, key), schema, STATE_SCHEMA, "update",
-        GroupStateTimeout.EventTimeTimeout)
-
-
 # --- fixed values (the reference's snapshot view and query) -----------------
 SNAPSHOT_VIEW = "sessionData"
 SNAPSHOT_SQL = "select * from sessionData"
 # -----------------------------------------------------------------------------
 
 
-def state_snapshot(spark, checkpoint: str, batch_id: int | None = None) -> DataFrame:
-    """STS3: the full session state as a table, read from the query checkpoint.
+class SessionPartsSink:
+    """``foreachBatch`` sink of visits (key, item, order columns) as per-second parts."""
+
+    def __init__(self, path: str, key: str = "ip", item: str = "url", order=("ts", "event_id"),
+                 time_col: str = "ts", n: int = CLICKSTREAM_LENGTH, gap: str = SESSION_GAP):
+        self.path = path.rstrip("/")
+        self.key, self.item, self.order, self.time_col, self.n, self.gap = key, item, order, time_col, n, gap
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        parts = sessions.second_parts(batch_df, self.key, self.item, self.order, self.time_col, self.n)
+        parts.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path).drop("batch_id")
+
+    def first_clicks(self, spark: SparkSession) -> DataFrame:
+        """STS1: count and first clicks of each client over all time."""
+        return sessions.merge_first_clicks(self.read(spark), self.key, self.n)
 
-    ``(key columns..., session_length, clickstream, last_ms, timeout_ms)`` as of
-    ``batch_id`` (latest when omitted); a distributed read of the state store,
-    one task per state partition.
-    """
-    r = spark.read.format("statestore")
-    if batch_id is not None:
-        r = r.option("batchId", int(batch_id))
-    st = r.load(checkpoint)
-    return st.select("key.*", "value.groupState.*",
-                     F.col("value.timeoutTimestamp").alias("timeout_ms"))
+    def gap_sessions(self, spark: SparkSession) -> DataFrame:
+        """STS2: sessions split at the idle timeout, with their first clicks."""
+        return sessions.gap_first_clicks(self.read(spark), self.key, self.gap, self.n)
 
+    def snapshot(self, spark: SparkSession) -> DataFrame:
+        """STS3: the open sessions; one that timed out is no longer in it."""
+        return sessions.open_sessions(self.read(spark), self.key, self.gap, self.n)
 
-def snapshot_sql(spark, checkpoint: str, batch_id: int | None = None,
-                 sql: str = SNAPSHOT_SQL, view: str = SNAPSHOT_VIEW) -> DataFrame:
-    """STS4: SQL over the state snapshot registered as ``sessionData``."""
-    state_snapshot(spark, checkpoint, batch_id).createOrReplaceTempView(view)
-    return spark.sql(sql)
+    def snapshot_sql(self, spark: SparkSession, sql: str = SNAPSHOT_SQL, view: str = SNAPSHOT_VIEW) -> DataFrame:
+        """STS4: SQL over the snapshot registered as ``sessionData``."""
+        self.snapshot(spark).createOrReplaceTempView(view)
+        return spark.sql(sql)

@@ -7,7 +7,7 @@ batch overwrites what the failed attempt may have left.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQueryListener
@@ -23,46 +23,65 @@ def console(df: DataFrame, num_rows: int = 20, truncate: bool = False):
 
 
 # ------------------------------------------------------------------ SNK2
-def json_overwrite_nonempty(path: str):
-    """SNK2: write each non-empty batch as JSON over the previous one.
+def json_nonempty(path: str, overwrite: bool = False):
+    """SNK2: write each non-empty batch as JSON under ``batch_id=N``.
 
-    Only the last non-empty batch survives, as in the reference.
+    With ``overwrite`` each batch replaces the one before at ``path`` itself, and
+    only the last non-empty batch survives, as in the reference.
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        if not batch_df.isEmpty():
-            batch_df.write.mode("overwrite").json(path)
+        batch_df = batch_df.persist()
+        try:
+            if not batch_df.isEmpty():
+                to = path if overwrite else f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+                batch_df.write.mode("overwrite").json(to)
+        finally:
+            batch_df.unpersist()
     return run
 
 
 # ------------------------------------------------------------- SNK3 + SNK4
-class CappedTextCapture:
-    """SNK3 + SNK4: save each non-empty batch as text under ``batch_id=N``
-    until the running total passes ``limit``; then ``done`` turns true and
-    the caller stops the query (the reference exits the process instead).
+class CaptureFull(Exception):
+    """Raised by a capture whose limit was passed by an earlier batch: the query
+    ends, and its checkpoint stays before the batch that was not saved."""
+
 
-    Batches are written with their natural partitioning, not squeezed through
-    one task; ``max_records_per_file`` bounds file sizes.
+class TextCapture:
+    """SNK3 + SNK4: save each non-empty batch as text under ``batch_id=N``.
+
+    With a ``limit``, ``done`` turns true once more rows are saved; the caller
+    then stops the query (:func:`tidepool.streaming.runners.drain_capture`; the
+    reference exits the process instead). A batch that comes nevertheless raises
+    ``CaptureFull`` and stays unread. The counts are kept in ``<base>-counts``
+    by batch id, so a restarted query goes on counting. Batches are written with
+    their natural partitioning; ``max_records_per_file`` bounds file sizes.
     """
 
-    def __init__(self, base: str, limit: int = 100, text_col: str = "text",
+    def __init__(self, base: str, limit: int | None = None, text_col: str = "text",
                  max_records_per_file: int | None = None):
         self.base, self.limit, self.text_col = base.rstrip("/"), limit, text_col
         self.max_records_per_file = max_records_per_file
-        self.counts: dict[int, int] = {}
+        self.counts: dict[int, int] | None = None
 
     @property
     def total(self) -> int:
-        return sum(self.counts.values())
+        return sum((self.counts or {}).values())
 
     @property
     def done(self) -> bool:
-        return self.total > self.limit
+        return self.limit is not None and self.total > self.limit
+
+    def _load(self, spark: SparkSession) -> None:
+        if self.counts is None:
+            kept = read_or_none(spark, f"{self.base}-counts")
+            self.counts = {} if kept is None else {r["batch_id"]: r["n"] for r in kept.collect()}
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        if batch_id in self.counts:          # replayed batch: forget the old attempt
-            self.counts.pop(batch_id)
+        spark = batch_df.sparkSession
+        self._load(spark)
+        self.counts.pop(batch_id, None)      # replayed batch: forget the old attempt
         if self.done:
-            return
+            raise CaptureFull(f"{self.total} rows are saved")
         out = batch_df.select(F.col(self.text_col).cast("string").alias("value")).persist()
         try:
             n = out.count()
@@ -72,66 +91,76 @@ class CappedTextCapture:
             if self.max_records_per_file:
                 w = w.option("maxRecordsPerFile", str(self.max_records_per_file))
             w.text(f"{self.base}/batch_id={batch_id}")
+            if self.limit is not None:
+                spark.createDataFrame([(n,)], "n bigint").coalesce(1).write.mode("overwrite").parquet(
+                    f"{self.base}-counts/batch_id={batch_id}")
             self.counts[batch_id] = n
         finally:
             out.unpersist()
 
 
+def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame | None:
+    """The table at ``path``, or None where nothing was written yet."""
+    try:
+        return spark.read.format(fmt).options(**options).load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
+                or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
 # ------------------------------------------------------------------ SNK5
 class UpsertTable:
-    """SNK5: keyed row store on parquet, last row per key wins (merge on read).
+    """SNK5: keyed row store, last row per key wins (merge on read).
 
     A merge writes only the batch -- de-duplicated per key -- under
-    ``delta/batch_id=N`` (overwrite: replaying a batch replaces its own
-    output, nothing else). Reading takes the last row per key over the base and
-    the newer deltas with ``max_by`` on ``(order..., batch_id)``: an aggregate
-    with map-side combine, so a hot key costs one row per task. Writes cost
-    O(batch), not O(table); ``compact`` folds the deltas into a new base.
+    ``delta/after=V/batch_id=N`` (overwrite: replaying a batch replaces its own
+    output, nothing else), V being the newest base. Reading takes the last row
+    per key, by the order columns and then the batch id, over that base and its
+    deltas alone. ``row_number() = 1`` is planned with a limit below the shuffle,
+    so a hot key sends one row per task. ``compact`` writes a new base; older
+    bases and deltas are never listed again and may be deleted at any time.
+
+    ``order`` should be total per key; ``format`` is any file format that Spark
+    writes; ``rows_written`` counts the rows that merges of this object wrote.
     """
 
-    def __init__(self, path: str, keys, order, compact_every: int | None = None):
+    def __init__(self, path: str, keys, order, compact_every: int | None = None, format: str = "parquet"):
         self.path = path.rstrip("/")
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.order = [order] if isinstance(order, str) else list(order)
-        self.compact_every = compact_every
+        self.compact_every, self.format, self.rows_written = compact_every, format, 0
 
     @staticmethod
     def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
-        values = [c for c in df.columns if c not in keys]
-        best = F.max_by(F.struct(*[F.col(c) for c in values]), F.struct(*[F.col(c) for c in order]))
-        return df.groupBy(*keys).agg(best.alias("_v")).select(*keys, "_v.*")
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
-    @staticmethod
-    def _read_or_none(spark: SparkSession, path: str):
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException as e:  # nothing written yet
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
-                    or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return None
-            raise
+    def _version(self, spark: SparkSession) -> int:
+        """The newest complete base (its marker is written after it); -1 without one."""
+        marks = read_or_none(spark, f"{self.path}/versions")
+        return -1 if marks is None else marks.agg(F.max("covered")).first()[0]
 
     def merge(self, batch_df: DataFrame, batch_id: int) -> None:
-        delta = self.latest_per_key(batch_df, self.keys, self.order)
-        delta.write.mode("overwrite").parquet(f"{self.path}/delta/batch_id={int(batch_id)}")
+        spark, seen = batch_df.sparkSession, Observation()
+        # a replayed batch that the base already covers writes where no reader looks, or the same again
+        to = f"{self.path}/delta/after={self._version(spark)}/batch_id={int(batch_id)}"
+        delta = self.latest_per_key(batch_df, self.keys, self.order).observe(seen, F.count(F.lit(1)).alias("n"))
+        delta.write.mode("overwrite").format(self.format).save(to)
+        self.rows_written += seen.get["n"]
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact(batch_df.sparkSession, batch_id)
+            self.compact(spark, batch_id)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         self.merge(batch_df, batch_id)
 
-    def _rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
-        marker = self._read_or_none(spark, f"{self.path}/_base_marker")
-        covered = marker.first()["covered"] if marker is not None else -1
-        deltas = self._read_or_none(spark, f"{self.path}/delta")
-        parts = []
-        if covered >= 0:
-            parts.append(spark.read.parquet(f"{self.path}/base/v={covered}"))
+    def read_with_batch(self, spark: SparkSession) -> DataFrame | None:
+        version = self._version(spark)
+        deltas = read_or_none(spark, f"{self.path}/delta/after={version}", self.format)
+        parts = [] if version < 0 else [spark.read.format(self.format).load(f"{self.path}/base/v={version}")]
         if deltas is not None:
-            d = deltas.where(F.col("batch_id") > covered)
-            if upto is not None:
-                d = d.where(F.col("batch_id") <= upto)
-            parts.append(d.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+            parts.append(deltas.withColumn("batch_id", F.col("batch_id").cast("bigint")))
         if not parts:
             return None
         rows = parts[0]
@@ -140,17 +169,17 @@ class UpsertTable:
         return self.latest_per_key(rows, self.keys, [*self.order, "batch_id"])
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        rows = self._rows(spark)
+        rows = self.read_with_batch(spark)
         return None if rows is None else rows.drop("batch_id")
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold every delta up to ``upto`` into base version ``upto``."""
-        rows = self._rows(spark, upto)
-        if rows is None:
+        """Fold the base and its deltas into base version ``upto`` (the last merged batch)."""
+        rows = self.read_with_batch(spark)
+        if rows is None or self._version(spark) >= upto:
             return
-        rows.write.mode("overwrite").parquet(f"{self.path}/base/v={int(upto)}")
+        rows.write.mode("overwrite").format(self.format).save(f"{self.path}/base/v={int(upto)}")
         spark.createDataFrame([(int(upto),)], "covered bigint").coalesce(1) \
-             .write.mode("overwrite").parquet(f"{self.path}/_base_marker")
+             .write.mode("overwrite").parquet(f"{self.path}/versions/v={int(upto)}")
 
 
 # -------------------------------------------- per-tick counts for sliding sums
@@ -213,23 +242,50 @@ def observe_text_metrics(df: DataFrame, text: str = "text", name: str = "text_me
 
 
 class MetricsListener(StreamingQueryListener):
-    """Forwards observed metrics per batch to ``callback(name, batch_id, dict)``,
-    keeping the running counter and average like the reference's gauges."""
+    """Forwards observed metrics of ONE query to ``callback(name, batch_id, dict)``,
+    keeping the running counter and average like the reference's gauges.
 
-    def __init__(self, callback, name: str = "text_metrics"):
+    ``totals_dir`` keeps each batch's figures, so a restarted query goes on
+    counting. The listener removes itself when its query ends.
+    """
+
+    def __init__(self, callback, name: str = "text_metrics", spark: SparkSession | None = None,
+                 totals_dir: str | None = None):
         self.callback, self.name = callback, name
-        self.total_tweets, self.total_chars, self.longest = 0, 0, None
+        self.spark, self.totals_dir, self.query_id = spark, totals_dir, None
+        self.figures: dict[int, tuple[int, int]] = {}
+        kept = read_or_none(spark, totals_dir) if totals_dir else None
+        if kept is not None:
+            self.figures = {r["batch_id"]: (r["tweets"], r["chars"]) for r in kept.collect()}
+
+    def watch(self, query) -> None:
+        """Follow this query only."""
+        self.query_id = str(query.id)
+
+    @property
+    def total_tweets(self) -> int:
+        return sum(n for n, _ in self.figures.values())
+
+    @property
+    def total_chars(self) -> int:
+        return sum(c for _, c in self.figures.values())
 
     def onQueryStarted(self, event):  # noqa: N802 - Spark API
-        pass
+        if self.query_id is None and event.name and event.name.startswith(self.name):
+            self.query_id = str(event.id)
 
     def onQueryProgress(self, event):  # noqa: N802
+        if self.query_id is not None and str(event.progress.id) != self.query_id:
+            return
         row = event.progress.observedMetrics.get(self.name)
         if row is None or not row["tweets"]:
             return
-        self.total_tweets += row["tweets"]
-        self.total_chars += row["chars"] or 0
-        self.callback(self.name, event.progress.batchId, {
+        batch_id = event.progress.batchId
+        self.figures[batch_id] = (row["tweets"], row["chars"] or 0)
+        if self.totals_dir:
+            (self.spark.createDataFrame([self.figures[batch_id]], "tweets bigint, chars bigint").coalesce(1)
+                 .write.mode("overwrite").parquet(f"{self.totals_dir}/batch_id={batch_id}"))
+        self.callback(self.name, batch_id, {
             "counter": self.total_tweets,
             "avg_length": self.total_chars // self.total_tweets,
             "longest_in_batch": row["longest"],
@@ -239,4 +295,5 @@ class MetricsListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        pass
+        if self.spark is not None and str(event.id) == self.query_id:
+            self.spark.streams.removeListener(self)
