@@ -8,10 +8,8 @@ Spark result types (BIGINT counts, INTEGER ranks).
 
 from __future__ import annotations
 
-from tidepool.functions.accesslog import ACCESS_LOG_PATTERN
-from tidepool.functions.text import STOP_WORDS
-
-PAT = ACCESS_LOG_PATTERN
+# Spelled out here, not taken from the library: an error there must show.
+PAT = r'(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})? (\S+) (\S+) (\[.+?\]) "(.*?)" (\d{3}) (\S+) "(.*?)" "(.*?)"'
 FULL = r"\A" + PAT + r"\z"
 
 LOGS = """logs as (
@@ -71,7 +69,7 @@ WORDS = """words as (
   select ts, unnest(string_split(rtrim(text), ' ')) as word from statuses)"""
 
 SEC = "cast(floor(epoch(ts)) as bigint)"
-STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+STOP = "'a', 'the', 'to', 'an', 'you', 'me', 'i', 'and', 'my', 'i''m', ''"
 # UTF-16 length: code points plus one more for each astral character
 U16 = "(length(text) + length(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))"
 
@@ -279,13 +277,12 @@ select ip, {GAP_COLUMNS}, clicks, clickstream from u""",
 select ip, requests as session_length, clicks, clickstream
 from u where last_ts + interval 30 minutes > (select max(ts) from r)""",
 
-    # the stop words, spelled out
-    "corpus_word_topk": """
+    "corpus_word_topk": f"""
 select word, count(*) as n from (
   select unnest(string_split(rtrim(text, ' '), ' ')) as word
   from (select text from documents union all select text from conversations) where text is not null)
 where regexp_replace(lower(word), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')
-  not in ('a', 'the', 'to', 'an', 'you', 'me', 'i', 'and', 'my', 'i''m', '')
+  not in ({STOP})
 group by word order by n desc, word limit 100""",
 
     "records_preview": _with(LOGS, PARSED) + """
