@@ -303,3 +303,25 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     out = docs.join(seen.select(F.col("doc_id").alias("_seen")), id_ == F.col("_seen"), "left_anti")
     again = docs.join(seen.where("first").select(F.col("doc_id").alias("_seen")), id_ == F.col("_seen"), "left_semi")
     return out.union(again.dropDuplicates([id_col]))
+
+
+#: All pairs that share a shingle, counted; components by recursion.
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS rn, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + {WORDS - 1}], chr(0)) AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - {WORDS - 2}))) AS i FROM d
+        WHERE doc_id IS NOT NULL AND len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+p AS MATERIALIZED (
+  SELECT a, b, c = x.n AND c = y.n AS same FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE c >= {THRESHOLD} * (x.n + y.n - c) - 1e-9),
+r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON p.a = r.b),
+g AS (SELECT a, least(a, min(b)) AS group_id FROM r GROUP BY a),
+k AS (SELECT a, count(*) AS n_links, least(a, min(b) FILTER (WHERE same)) AS class_id FROM p GROUP BY a)
+SELECT doc_id, CASE WHEN doc_id IS NOT NULL THEN coalesce(class_id, doc_id) END AS class_id,
+  coalesce(n_links, 0)::BIGINT AS n_links, CASE WHEN doc_id IS NOT NULL THEN coalesce(group_id, doc_id) END AS group_id
+FROM d LEFT JOIN k ON k.a = doc_id LEFT JOIN g ON g.a = doc_id
+"""

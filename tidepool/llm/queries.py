@@ -71,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_url_filters": urlfilter.ORACLE_SQL,
     "op4_warc": warc.ORACLE_SQL,
+    "op7_ngram_join": ngram_join.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
 }
