@@ -480,3 +480,8 @@ ORACLE["linreg_sgd_reference"] = ORACLE["linreg_sgd_stream"].replace(
     "select 1, 0, cast(0.0 as double), cast(0.0 as double), false",
     "select 1, 0, cast(0.0 as double), cast(1.0 as double), false").replace(
     "case when s.fin then s.b\n", "case when s.fin then 1.0\n")
+ORACLE["stream_status_file_hashtags"] = _with(STATUSES, WORDS) + """
+select cast(floor(epoch(ts) / 86400) as bigint) as batch_id, word as tag, count(*) as n
+from words where starts_with(word, '#') group by 1, 2"""
+ORACLE["stream_text_line_points"] = """
+select cast(event_id % 5 as double) as label, value as f0, cast(user_id as double) as f1, true as parse_ok from events"""

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import accesslog as al
 from tidepool.functions import text as tx
+from tidepool.functions.vectors import parse_labeled_point
 from tidepool.operators import alarm, batches, kmeans, textstats, windows
 from tidepool.session import shared_dir
 from tidepool.sources import fixtures as fx
 from tidepool.streaming import runners, sinks
 from tidepool.streaming.ml import kmeans_replay
 from tidepool.streaming.sessions import SessionPartsSink
-from tidepool.streaming.sources import table_stream
+from tidepool.streaming.sources import status_files, table_stream, text_lines
 
 STREAM_WINDOW, STREAM_SLIDE = "1 day", "1 hour"
 ALARM_WINDOW = "12 hours"
@@ -79,6 +80,27 @@ def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.top_k(counts, 10, ["window_start", "window_end"], "n", "tag")
 
 
+def stream_status_file_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4: status records land as JSON files; their hashtags counted per day by a stream over them."""
+    path = shared_dir(spark, "status-files")
+    ev = fx.table(spark, sf_dir, "events")
+    ev.select(fx.status_text().alias("text"), ntz_to_instant("ts").alias("ts")).write.json(path)
+    tags = tx.hashtags(status_files(spark, path, max_files_per_trigger=1), "text", "tag", keep=("ts",))
+    sink = sinks.TickCountsSink(shared_dir(spark, "status-hashtags"), "tag", "ts", windows.parse_seconds(BATCH_EVERY))
+    _run(tags, sink, "status_hashtags")
+    return (sink.read(spark).groupBy((F.col("tick") / windows.parse_seconds(BATCH_EVERY)).cast("bigint").alias("batch_id"), "tag")
+                .agg(F.sum("n").alias("n")))
+
+
+def stream_text_line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6: labelled points in text files with CR LF line ends, read as a stream and parsed."""
+    path = shared_dir(spark, "point-lines")
+    fx.labeled_point_lines(spark, sf_dir).select(F.concat("line", F.lit("\r")).alias("value")).write.text(path)
+    lines = text_lines(spark, path, stream=True)
+    points = _staged(spark, lines.select(parse_labeled_point("line").alias("p")).select("p.*"), "stream-points")
+    return points.select("label", F.col("features")[0].alias("f0"), F.col("features")[1].alias("f1"), "parse_ok")
+
+
 def _outcomes() -> dict:
     return {"success": (F.col("status_class") == "Success").cast("int"),
             "failure": (F.col("status_class") == "Failure").cast("int")}
@@ -249,4 +271,6 @@ STREAM_QUERIES = {
     "stream_error_rate_alarm_ticks": stream_error_rate_alarm_ticks,
     "stream_session_gap_first10": stream_session_gap_first10,
     "stream_alarm_messages": stream_alarm_messages,
+    "stream_status_file_hashtags": stream_status_file_hashtags,
+    "stream_text_line_points": stream_text_line_points,
 }
