@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms for personal data by keyed Feistel networks.
 
 Values are found by one regular expression and checked (Luhn for cards, mod 97
-for IBANs, the calendar for dates, number plans for phones and social-security
-numbers). A checked value is replaced by its image under a keyed permutation of
+for IBANs, the calendar for dates, the issuing rules for social-security numbers,
+forms and number plan for phones). A checked value is replaced by its image under a keyed permutation of
 all values of its format: a Feistel network whose halves are strings, each
 position shifted within its own alphabet (digits stay digits, letters letters),
 check digits computed anew; addresses and dates are permuted as numbers. So the
@@ -16,7 +16,7 @@ Round functions are SHA-256 with the key; whoever holds the key can invert them.
 | card (13-19 digits, Luhn) | all digits but the last, which becomes the check digit | length, separators |
 | iban (mod 97) | account part; check digits anew | country, length, spaces |
 | ssn | nine digits, to one that may be issued | separators |
-| phone | digits after the country code, by the number plan for +1 | country code, separators |
+| phone | digits after the country code; +1 numbers within the number plan, or outside it | country code, separators |
 | ip | 32 bits | dotted form |
 | date (1900-2099) | day number | order of fields, separators |
 | key | letters and digits of access keys and long hex tokens | prefix, length |
@@ -45,20 +45,22 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Formats, in the order in which they are tried at a place.
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,24}",
-    "key": r"(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{16}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128})(?![A-Za-z0-9])",
+    "key": r"(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{16}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128}"
+           r"|(?=[A-F]*[0-9])(?=[0-9]*[A-F])[0-9A-F]{32,128})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:(?:\+?1[ .\-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}"
+    "phone": r"(?<![0-9A-Za-z])(?:(?:\+?1[ .\-]?)?\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}|\+1[ .\-]?[0-9]{3}[ .\-][0-9]{3}[ .\-][0-9]{4}"
+             r"|(?:1[ .\-])?[2-9][0-9]{2}[ .\-][2-9][0-9]{2}[ .\-][0-9]{4}"
              r"|\+[2-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,5})(?![0-9])",
 }
 ANY = "|".join(f"(?:{p})" for p in FORMATS.values()).replace(r"([-/.])[0-9]{2}\1", r"(?<s>[-/.])[0-9]{2}\k<s>") \
     .replace(r"([-/.])[0-9]{2}\2", r"(?<t>[-/.])[0-9]{2}\k<t>")
 
 _ALPHABETS = {"d": "0123456789", "D": "23456789", "l": "abcdefghijklmnopqrstuvwxyz",
-              "u": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef"}
+              "u": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef", "H": "0123456789ABCDEF"}
 _EPOCH, _DAYS = "1900-01-01", 73049  # to 2099-12-31
 
 
@@ -183,11 +185,15 @@ def _ssn(key: str, m: Column) -> Column:
 
 
 def _phone(key: str, m: Column) -> Column:
-    """+1 numbers by the plan; of others the first two digits stay."""
+    """+1 numbers that fit the plan (2-9 first in area and exchange) among those, the rest among the
+    rest; of other countries' numbers the first two digits stay."""
     def body(d: Column) -> Column:
         own = F.right(d, F.lit(10))
         code = F.substr(d, F.lit(1), F.length(d) - 10)
-        north = F.concat(code, permute_string(key, "phone1", own, F.lit("DddDdddddd")))
+        planned = lambda x: x.rlike("^[2-9]..[2-9]")
+        other_step = lambda x: permute_string(key, "phone0", x, F.lit("d" * 10))
+        north = F.concat(code, F.when(planned(own), permute_string(key, "phone1", own, F.lit("DddDdddddd"))).otherwise(
+            _walked(own, other_step, lambda x: ~planned(x))))
         rest = F.substr(d, F.lit(3))
         other = F.concat(F.substr(d, F.lit(1), F.lit(2)), permute_string(key, "phone", rest, F.repeat(F.lit("d"), F.length(rest))))
         is_north = ~m.rlike(r"^\+[2-9]")
@@ -225,7 +231,8 @@ def _email(key: str, m: Column) -> Column:
 def _key(key: str, m: Column) -> Column:
     rest = F.substr(m, F.lit(5))
     access = F.concat(F.substr(m, F.lit(1), F.lit(4)), permute_string(key, "access", rest, _classes(rest)))
-    return F.when(m.rlike("^A[KS]IA"), access).otherwise(permute_string(key, "hex", m, F.repeat(F.lit("h"), F.length(m))))
+    hexed = lambda c: permute_string(key, f"hex{c}", m, F.repeat(F.lit(c), F.length(m)))
+    return F.when(m.rlike("^A[KS]IA"), access).when(m.rlike("[a-f]"), hexed("h")).otherwise(hexed("H"))
 
 
 _MAKERS = {"email": _email, "key": _key, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
