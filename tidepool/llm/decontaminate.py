@@ -208,13 +208,14 @@ def find_in(strings, index: Index) -> Iterator[tuple[int, int, int, int]]:
         yield from near_windows(*map(np.concatenate, zip(*parts, strict=True)), index)
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, str]]]:
-    """The benchmark in blocks of bounded size; its words are counted before any text is fetched."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks of bounded size, one after the other; it is measured before any text is fetched."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = int(size // (4 * BLOCK_WORDS)) + 1
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[(r[0], r[1]) for r in items.where(part == b).orderBy("item_id", "text").collect()] for b in range(n)]
+    for b in range(n):
+        yield [(r[0], r[1]) for r in items.where(part == b).orderBy("item_id", "text").collect()]
 
 
 _INDEXES: dict[int, Index] = {}
