@@ -106,7 +106,6 @@ def gap_sessions(visits: DataFrame, key: str = "ip", time_col: str = "ts",
 def open_sessions(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
                   n: int = CLICKSTREAM_LENGTH) -> DataFrame:
     """STS3: ``(key, session_length, clickstream)`` of the sessions still open at the last request of all."""
-    merged = merge_gap_sessions(parts, key, gap, n).withColumn("_one", F.lit(1))
-    now = parts.groupBy(F.lit(1).alias("_one")).agg(F.max("last_us").alias("_now"))
-    return (merged.join(now, "_one").where(F.col("end_us") > F.col("_now"))
-                  .select(key, F.col("requests").alias("session_length"), F.col("clicks.item").alias("clickstream")))
+    now = parts.agg(F.max("last_us")).first()[0]  # one number
+    return (merge_gap_sessions(parts, key, gap, n).where(F.col("end_us") > F.lit(now).cast("bigint"))
+            .select(key, F.col("requests").alias("session_length"), F.col("clicks.item").alias("clickstream")))
