@@ -91,12 +91,12 @@ def permute_string(key: str, kind: str, value: Column, classes: Column) -> Colum
     def shifted(target: Column, kinds: Column, source: Column, i: Column) -> Column:
         def one(c: Column, j: Column) -> Column:
             k = F.substr(kinds, j + 1, F.lit(1))
-            out = c
-            for name, letters in _ALPHABETS.items():
-                at = F.instr(F.lit(letters), c) - 1 + _number(key, F.lit(kind), F.length(value), i, j, source)
-                out = F.when((k == name) & (c != ""), F.substr(F.lit(letters), F.pmod(at, F.lit(len(letters))).cast("int") + 1, F.lit(1))) \
-                    .otherwise(out)
-            return out
+            letters = F.lit("")
+            for name, alphabet in _ALPHABETS.items():
+                letters = F.when(k == name, F.lit(alphabet)).otherwise(letters)
+            add = _number(key, F.lit(kind), F.length(value), i, j, source)
+            at = F.pmod(F.instr(letters, c) - 1 + add, F.length(letters)).cast("int")
+            return F.when((letters != "") & (c != ""), F.substr(letters, at + 1, F.lit(1))).otherwise(c)
         return F.array_join(F.transform(F.split(target, ""), one), "")
 
     def turn(s: Column, i: Column) -> Column:
