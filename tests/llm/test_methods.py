@@ -262,3 +262,45 @@ def test_html_templates(spark):
     rows.append((99, "http://b.org/", "<body><div>Read more here</div>"))
     got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0] == "Own text 0 Rare 0" and got[7] == "Own text 7 None 3" and got[99] == "Read more here"
+
+
+def passages_of(a, b):
+    """(start, end, other start, other end, edits) of the passages that the seeds of two word lists reach."""
+    seeds, docs, places = [], [], []
+    words = [np.array(x, dtype=np.uint64) for x in (a, b)]
+    for i, own in enumerate(words):
+        runs = textvec.shingles(own, substring.SEED_WORDS)
+        at = substring.winnowed(runs)
+        seeds.append(runs[at])
+        docs.append(np.full(len(at), i))
+        places.append(at)
+    _, _, x, y = substring.meetings(*map(np.concatenate, (seeds, docs, places)))
+    found = []
+    for chain in substring.pair_chains(x.tolist(), y.tolist()) if len(x) else []:
+        for s, e, fs, fe, edits, *_ in substring.align(words[1], words[0], *map(list, zip(*chain, strict=True))):
+            if min(e - s, fe - fs) >= substring.PASSAGE_WORDS and 1 - edits / max(e - s, fe - fs) >= substring.SIMILARITY:
+                found.append((s, e, fs, fe, edits))
+    return found
+
+
+@pytest.mark.parametrize("kinds", ["s", "sid"])
+@pytest.mark.parametrize("rate, least", [(0, 1.0), (0.05, 0.98), (0.1, 0.98), (0.2, 0.95)])
+def test_passage_recall(rate, least, kinds):
+    """Passages of 50-100 words with substitutions, or insertions and deletions as well, between other words."""
+    rng = random.Random(9)
+    near = hits = 0
+    for _ in range(120):
+        own = [rng.getrandbits(63) for _ in range(rng.randrange(50, 101))]
+        copy = list(own)
+        for at in sorted(rng.sample(range(1, len(own) - 1), int(len(own) * rate)), reverse=True):
+            kind = rng.choice(kinds)
+            copy[at:at + (kind != "i")] = [rng.getrandbits(63)] * (kind != "d")
+        if min(len(own), len(copy)) < 50 or plain_distance(own, copy) > 0.2 * max(len(own), len(copy)):
+            continue
+        near += 1
+        a, b = ([rng.getrandbits(63) for _ in range(70)] + x + [rng.getrandbits(63) for _ in range(70)] for x in (own, copy))
+        found = passages_of(a, b)
+        hits += any(s < 70 + len(copy) and e > 70 for s, e, *_ in found)
+        for s, e, fs, fe, edits in found:
+            assert plain_distance(b[s:e], a[fs:fe]) <= edits <= 0.2 * max(e - s, fe - fs)
+    assert near > 50 and hits >= least * near
