@@ -154,3 +154,28 @@ def test_warc(spark, pages, tmp_path):
                           (3, 0, "response", None), (None, 0, "revisit", 3), (4, 200_003, "response", None),
                           (5, 23, "response", None)], key=str)
     assert warc.archive_round_trip(pages.where("false")).count() == 0
+
+
+def _words(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def test_substring_passages_from_earlier_documents(spark):
+    """Two documents that share a passage meet, also if others hold its parts before and between them."""
+    rows, n = [], 0
+    for parts in (2, 3):
+        for size in (60, 80, 96, 400):
+            passage = _words(f"p{n}x", size)
+            cuts = [size * k // parts for k in range(parts + 1)]
+            pieces = [passage[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            for k, own in enumerate([*pieces, passage, *pieces, passage]):
+                rows.append((n + k, " ".join(_words(f"a{n + k}x", 70) + own + _words(f"z{n + k}x", 70))))
+            n += 100
+    found = {(r.doc_id, r.other_id): r for r in substring.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = 0
+    for parts in (2, 3):
+        for size in (60, 80, 96, 400):
+            r = found[n + parts, n + 2 * parts + 1]
+            assert (r.word_start, r.word_end, r.other_start, r.other_end, r.edits) == (70, 70 + size, 70, 70 + size, 0)
+            n += 100
