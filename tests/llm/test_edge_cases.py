@@ -179,3 +179,16 @@ def test_substring_passages_from_earlier_documents(spark):
             r = found[n + parts, n + 2 * parts + 1]
             assert (r.word_start, r.word_end, r.other_start, r.other_end, r.edits) == (70, 70 + size, 70, 70 + size, 0)
             n += 100
+
+
+def test_substring_repeated_lines(spark):
+    """A line of 3-20 words repeated to 200 words in two documents, at different places."""
+    rows = []
+    for period in range(3, 21):
+        lines = (_words(f"l{period}x", period) * 80)[:200]
+        rows += [(period, " ".join(_words(f"a{period}x", 30) + lines + _words(f"b{period}x", 30))),
+                 (100 + period, " ".join(_words(f"c{period}x", 77) + lines + _words(f"d{period}x", 5)))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = {r.doc_id for r in found if (r.word_start, r.word_end, r.other_start, r.other_end, r.edits) == (30, 230, 77, 277, 0)}
+    assert whole >= set(range(3, 21))
+    assert len(found) <= 4 * 18
