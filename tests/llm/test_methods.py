@@ -304,3 +304,11 @@ def test_passage_recall(rate, least, kinds):
         for s, e, fs, fe, edits in found:
             assert plain_distance(b[s:e], a[fs:fe]) <= edits <= 0.2 * max(e - s, fe - fs)
     assert near > 50 and hits >= least * near
+
+
+def test_ibans_before_other_words(spark):
+    values = ["AT61 1904 3002 3457 3201", "AT611904300234573201", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    rows = [(f"pay {v} {w} now", v, w) for v in values for w in ("EUR", "BIC", "2024")]
+    for r in pii.pseudonymize(spark.createDataFrame(rows, "text string, value string, word string"), id_col="value").collect():
+        new = re.fullmatch("pay (.*) (?:EUR|BIC|2024) now", r.text)[1]
+        assert new != r.doc_id and len(new) == len(r.doc_id) and iban(new) and r.kinds == "iban"
