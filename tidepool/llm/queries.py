@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, decontaminate, html_extract, ngram_join, pii, quality, substring, urlfilter, warc, wordpiece
+from tidepool.llm import (bpe, decontaminate, html_extract, ngram_join, pii, quality, substring, topk, urlfilter, warc,
+                          wordpiece)
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -55,6 +56,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filters": op2_url_filters,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_exact_topk": op11_exact_topk,
 }
 
 ORACLE: dict[str, str] = {
@@ -73,4 +79,5 @@ ORACLE: dict[str, str] = {
     "op4_warc": warc.ORACLE_SQL,
     "op7_ngram_join": ngram_join.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
+    "op11_exact_topk": topk.oracle_sql(every=50, k=5),
 }
