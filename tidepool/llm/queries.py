@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import (bpe, decontaminate, html_extract, ngram_join, pii, quality, substring, topk, urlfilter, warc,
-                          wordpiece)
+from tidepool.llm import (bpe, decontaminate, html_extract, ngram_join, phrases, pii, quality, substring, topk, urlfilter,
+                          warc, wordpiece)
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -60,6 +60,10 @@ def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filters": op2_url_filters,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
     "op11_exact_topk": op11_exact_topk,
+    "op12_phrases": op12_phrases,
 }
 
 ORACLE: dict[str, str] = {
@@ -80,4 +85,5 @@ ORACLE: dict[str, str] = {
     "op7_ngram_join": ngram_join.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
     "op11_exact_topk": topk.oracle_sql(every=50, k=5),
+    "op12_phrases": phrases.oracle_sql(),
 }
