@@ -45,7 +45,7 @@ UNKNOWN = "und"
 SHARDS = 6
 FILTER_BITS = 28
 #: Bytes of text that a task works on at once.
-CHUNK = 6_000_000
+CHUNK = 2_500_000
 #: About so many hashes go into one bucket of step 2.
 BUCKET_HASHES = 2_000_000
 #: Bits of a hash that are counted in step 2.
@@ -68,16 +68,15 @@ class Chunk:
     def __init__(self, data: np.ndarray, breaks: np.ndarray):
         import pyarrow as pa
 
-        inside = ~_BETWEEN[data]
+        inside, narrow = ~_BETWEEN[data], np.int32 if len(data) < 2**31 else np.int64
         begins = inside.copy()
         begins[1:] &= ~inside[:-1] | breaks[1:]
         first = np.flatnonzero(begins)
         self.n = len(first)
-        piece = np.cumsum(breaks, dtype=np.int64)[first]
+        piece = np.cumsum(breaks, dtype=narrow)[first]
         self.joined = piece[1:] == piece[:-1]
-        letters = data[inside]
-        ends = np.cumsum(inside, dtype=np.int64)[first] - 1
-        offsets = np.append(ends, len(letters))
+        letters = _LOWER[data[inside]]
+        offsets = np.append(np.cumsum(inside, dtype=narrow)[first] - 1, len(letters)).astype(np.int64)
         words = pa.Array.from_buffers(pa.large_binary(), self.n, [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
         coded = words.dictionary_encode()
         self.words = coded.dictionary
@@ -132,7 +131,7 @@ def chunks(texts) -> Iterator[Chunk]:
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     if offsets[-1] == offsets[0]:
         return
-    data = _LOWER[np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]]
+    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
     breaks = _ENDS[data]
     starts = offsets[:-1] - offsets[0]
     breaks[starts[starts < len(data)]] = True
