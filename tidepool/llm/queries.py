@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import (bpe, decontaminate, html_extract, ngram_join, phrases, pii, quality, substring, topk, urlfilter,
-                          warc, wordpiece)
+from tidepool.llm import (bpe, decontaminate, html_extract, ngram_join, phrases, pii, quality, substring, token_align, topk,
+                          urlfilter, warc, wordpiece)
 from tidepool.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -64,6 +64,11 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filters": op2_url_filters,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_exact_topk": op11_exact_topk,
     "op12_phrases": op12_phrases,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
