@@ -46,6 +46,8 @@ SHARDS = 6
 FILTER_BITS = 28
 #: Bytes of text that a task works on at once.
 CHUNK = 2_500_000
+#: Bytes of a batch whose languages are told apart at once.
+SLICE = 8_000_000
 #: About so many hashes go into one bucket of step 2.
 BUCKET_HASHES = 2_000_000
 #: Bits of a hash that are counted in step 2.
@@ -153,11 +155,14 @@ def _by_language(batch) -> Iterator[tuple[str, Chunk]]:
     """The chunks of a batch of lang, text, language by language."""
     import pyarrow.compute as pc
 
-    lang, text = batch.column(0), batch.column(1)
-    for one in pc.unique(lang).to_pylist():
-        for chunk in chunks(text.filter(pc.equal(lang, one))):
-            if chunk.n:
-                yield one, chunk
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE)) + 1).tolist(), batch.num_rows]
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        lang, text = batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i)
+        for one in pc.unique(lang).to_pylist():
+            for chunk in chunks(text.filter(pc.equal(lang, one))):
+                if chunk.n:
+                    yield one, chunk
 
 
 def _seed(lang: str) -> np.uint64:
