@@ -127,3 +127,17 @@ def test_empty(spark):
     df = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert [tuple(r) for r in token_align.align_documents(df, A, B).collect()] == [(1, 0, 0, 0, 0, 0, 0, "")]
     assert token_align.align_documents(df.where("false"), A, B).count() == 0
+
+
+def test_quick_coder_equals_the_tokenizer():
+    import random
+
+    with open(A, encoding="utf-8") as f, open(B, "rb") as g:
+        pair = token_align.Pair(f.read(), g.read())
+    assert pair.quick is not None
+    rng = random.Random(2)
+    characters = "abcdeimnoprstuSTEA  '.,-0123é\n\tßü<|>  \x85²"
+    texts = [t for t in ODD if t] + ["".join(rng.choices(characters, k=rng.randint(1, 60))) for _ in range(5000)]
+    texts += [b.decode("utf-8", "ignore") for b in pair.bytes_a]
+    assert pair.encoded_a(texts) == [e.ids for e in pair.a.encode_batch(texts, add_special_tokens=False)]
+    assert any(token_align.UNSETTLED.search(t) for t in texts)

@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
 from operator import itemgetter
 
@@ -44,6 +46,8 @@ PARTS = 32
 RUN_LINKS, FAN_IN = 1_500_000, 128
 #: Characters of text that are encoded at once.
 BLOCK_CHARS = 500_000
+#: Characters beyond Latin letters and general punctuation.
+UNSETTLED = re.compile("[^\u0000-\u024f\u2000-\u206f\u20ac]")
 #: Bits of an id, and of a document's number in its run.
 ID_BITS, NO_BITS = 20, 23
 #: Entries of a run that the merge has at hand.
@@ -78,15 +82,38 @@ class Pair:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << ID_BITS:
             raise ValueError("vocabularies have at most 2^20 entries")
+        self.quick = self._quick(json.loads(a_json))
         self.length_a, self.length_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
         self.told = [f"{i}{end}".encode() for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for i in range(n) for end in ends]
 
+    def _quick(self, parts: dict):
+        """A coder of the same merges by rank; None if A is no plain byte-level BPE whose ids are in the order of its merges."""
+        import public_tokenizers
+        import tiktoken
+
+        model, before = parts["model"], parts.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges") or []]
+        plain = (model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                 and not before.get("add_prefix_space") and not parts.get("normalizer") and not model.get("dropout")
+                 and not model.get("ignore_merges"))
+        added = {t["content"] for t in parts["added_tokens"]}
+        if not plain or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+            return None
+        ranks = {self.bytes_a[i]: i for token, i in model["vocab"].items() if token not in added}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encoded_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids. Texts of long-settled characters, on whose classes all versions of Unicode agree, go through the quicker coder."""
+        slow = [i for i, t in enumerate(texts) if self.quick is None or UNSETTLED.search(t)]
+        found = dict(zip(slow, self.a.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False), strict=True)) if slow else {}
+        return [found[i].ids if i in found else self.quick.encode_ordinary(t) for i, t in enumerate(texts)]
+
     def encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Both lists of ids of each text; None if they don't give back its bytes."""
         spaced = [" " + t for t in texts]
         out: list = []
-        for text, a, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(texts, num_threads=1), strict=True):
-            whole, a = text.encode(), a.ids
+        for text, a, b in zip(spaced, self.encoded_a(spaced), self.b.encode(texts, num_threads=1), strict=True):
+            whole = text.encode()
             same = whole == b"".join(map(self.bytes_a.__getitem__, a)) == b"".join(map(self.bytes_b.__getitem__, b))
             out.append((a, b) if same and len(whole) > 1 else None)
         return out
