@@ -321,3 +321,28 @@ def test_kmeans_scaling(spark):
     x = np.array(scaled["features"].tolist())
     np.testing.assert_allclose(x.mean(axis=0), [0, 0], atol=1e-12)
     np.testing.assert_allclose(x.std(axis=0), [1, 1], atol=1e-12)
+
+
+def test_filters_do_not_split_sessions(spark):
+    """A filter on a session's times leaves its other requests alone, across hours as well."""
+    start = 1_700_000_000
+    seconds = {"a": range(0, 14_400, 600), "b": [0, 60, 5000, 5060, 20_000], "c": [3500, 3700, 7300]}
+    rows = [(ip, start + t, f"/{ip}{t}") for ip, ts in seconds.items() for t in ts]
+    visits = spark.createDataFrame(rows, "ip string, at long, url string").select(
+        "ip", "url", F.timestamp_seconds("at").alias("ts"), F.col("at").alias("event_id"))
+    want = []
+    for ip, ts in seconds.items():
+        own = [[t] for t in ts][:1]
+        for t in list(ts)[1:]:
+            if t - own[-1][-1] >= 1800:
+                own.append([])
+            own[-1].append(t)
+        want += [(ip, start + o[0], start + o[-1] + 1800, len(o), [f"/{ip}{t}" for t in o[:10]]) for o in own]
+    found = sessions.gap_first_clicks(sessions.second_parts(visits))
+    plain = sessions.gap_sessions(visits)
+    for at in (start + 1, start + 14_000, start + 5100, start + 9000, start + 21_000):
+        late = sorted(w for w in want if w[2] > at)
+        assert sorted(map(tuple, found.where(f"session_end > {at}").collect())) == late
+        assert sorted(map(tuple, plain.where(f"session_end > {at}").collect())) == [w[:4] for w in late]
+        early = sorted(w for w in want if w[1] < at)
+        assert sorted(map(tuple, found.where(f"session_start < {at}").collect())) == early

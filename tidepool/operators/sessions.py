@@ -52,29 +52,39 @@ def merge_first_clicks(parts: DataFrame, key: str = "ip", n: int = CLICKSTREAM_L
                          F.col("clicks.item").alias("clickstream")))
 
 
+def _united(rows: DataFrame, keys: list, start: str, length, n: int) -> DataFrame:
+    """Spans (start, length) of a key that touch are one; ``(key, start_us, end_us, requests, clicks)``.
+
+    The times are aggregates, not the window's fields: Spark would push a filter
+    on a field below the aggregate, where it drops parts before they merge.
+    """
+    w = F.session_window(F.timestamp_micros(start), F.make_interval(secs=(length / 1_000_000).cast("decimal(18,6)")))
+    times = [F.min(F.col(start)).alias("start_us"), F.max(F.col(start) + length).alias("end_us")]
+    return (rows.groupBy(*keys, w.alias("s")).agg(*times, *_merged(n))
+                .select("key", "start_us", "end_us", "requests", "clicks"))
+
+
+def merge_pieces(pieces: DataFrame, n: int = CLICKSTREAM_LENGTH) -> DataFrame:
+    """Pieces ``(key, start_us, end_us, requests, clicks)`` of sessions, each as long as its gap allows, as whole ones.
+
+    Interval union is associative: the result does not depend on how the requests were dealt into pieces.
+    """
+    return _united(pieces, ["key"], "start_us", F.col("end_us") - F.col("start_us"), n)
+
+
 def merge_gap_sessions(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
                        n: int = CLICKSTREAM_LENGTH) -> DataFrame:
     """``(key, start_us, end_us, requests, clicks)``: a session ends ``gap`` after its last request.
 
     Two passes of ``session_window``, per (key, hour) and per key, each part
     carrying its own length plus the gap, so touching or overlapping parts join.
-    Interval union is associative: the result equals one pass over all rows.
     """
     from tidepool.operators.windows import parse_seconds
 
     gap_us = parse_seconds(gap) * 1_000_000
-
-    def sessions(rows: DataFrame, keys: list, start: str, length) -> DataFrame:
-        secs = (length / 1_000_000).cast("decimal(18,6)")
-        w = F.session_window(F.timestamp_micros(start), F.make_interval(secs=secs))
-        return (rows.groupBy(*keys, w.alias("s")).agg(*_merged(n))
-                    .select("key", F.unix_micros("s.start").alias("start_us"),
-                            F.unix_micros("s.end").alias("end_us"), "requests", "clicks"))
-
     timed = parts.where("second IS NOT NULL").withColumn("hour", F.floor(F.col("second") / HOUR))
-    hourly = sessions(timed, ["key", "hour"], "first_us", F.col("last_us") - F.col("first_us") + gap_us)
-    whole = sessions(hourly, ["key"], "start_us", F.col("end_us") - F.col("start_us"))
-    return whole.withColumnRenamed("key", key)
+    hourly = _united(timed, ["key", "hour"], "first_us", F.col("last_us") - F.col("first_us") + gap_us, n)
+    return merge_pieces(hourly, n).withColumnRenamed("key", key)
 
 
 def session_first_clicks(visits: DataFrame, key: str = "ip", item: str = "url",
@@ -83,7 +93,8 @@ def session_first_clicks(visits: DataFrame, key: str = "ip", item: str = "url",
     return merge_first_clicks(second_parts(visits, key, item, order, order[0], n), key, n)
 
 
-def _in_seconds(sessions: DataFrame, *more: str) -> DataFrame:
+def in_seconds(sessions: DataFrame, *more: str) -> DataFrame:
+    """Times in epoch seconds; ``more`` columns behind them."""
     seconds = lambda c: F.floor(F.col(c) / 1_000_000).cast("bigint")
     return sessions.select(sessions.columns[0], seconds("start_us").alias("session_start"),
                            seconds("end_us").alias("session_end"), "requests", *more)
@@ -93,14 +104,14 @@ def gap_first_clicks(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
                      n: int = CLICKSTREAM_LENGTH) -> DataFrame:
     """``(key, session_start, session_end, requests, clickstream)``; times in epoch seconds."""
     merged = merge_gap_sessions(parts, key, gap, n)
-    return _in_seconds(merged.withColumn("clickstream", F.col("clicks.item")), "clickstream")
+    return in_seconds(merged.withColumn("clickstream", F.col("clicks.item")), "clickstream")
 
 
 def gap_sessions(visits: DataFrame, key: str = "ip", time_col: str = "ts",
                  gap: str = SESSION_GAP) -> DataFrame:
     """``(key, session_start, session_end, requests)``; times in epoch seconds."""
     parts = second_parts(visits.withColumn("_none", F.lit(None).cast("string")), key, "_none", (time_col,), time_col, 0)
-    return _in_seconds(merge_gap_sessions(parts, key, gap, 0))
+    return in_seconds(merge_gap_sessions(parts, key, gap, 0))
 
 
 def open_sessions(parts: DataFrame, key: str = "ip", gap: str = SESSION_GAP,
