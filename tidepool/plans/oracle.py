@@ -108,6 +108,24 @@ def _delta(src: str, key: str, window: int, keep_zero: bool) -> str:
         group by {key}, tick having sum(d) <> 0)) {where}"""
 
 
+def _topk_ticks(src: str, key: str, window: int) -> str:
+    """The top 10 over ticks (t - window, t] at each tick where that list changes; rank 0 for an empty list."""
+    return f"""select tick, rank, {key}, n from (
+  with step as ({_delta(src, key, window, True)}),
+  held as (select *, lead(tick) over (partition by {key} order by tick) as until from step),
+  ticks as (select distinct tick from step),
+  ranked as (
+    select t.tick, h.{key}, h.n, row_number() over (partition by t.tick order by h.n desc, h.{key}) as rank
+    from ticks t join held h on h.n > 0 and h.tick <= t.tick and t.tick < h.until),
+  lists as (
+    select t.tick, coalesce(list({{'r': rank, 'k': r.{key}, 'n': r.n}} order by rank) filter (rank <= 10), []) as l
+    from ticks t left join ranked r on r.tick = t.tick group by t.tick),
+  changed as (select tick, l from lists qualify l <> coalesce(lag(l) over (order by tick), []))
+  select tick, cast(e.r as integer) as rank, e.k as {key}, e.n from (select tick, unnest(l) as e from changed)
+  union all
+  select tick, 0, null, 0 from changed where len(l) = 0)"""
+
+
 def _topk(src: str, key: str, window: int, slide: int, k: int = 10) -> str:
     copies = window // slide
     return f"""select window_start, window_start + {window} as window_end, {key}, n, rank from (
@@ -230,6 +248,12 @@ from r group by 1, 2""",
                           "tags as (select ts, word as tag from words where starts_with(word, '#'))")
     + _topk("tags", "tag", 86400, 3600),
 
+    "hashtag_topk_ticks": _with(STATUSES, WORDS,
+                                "tags as (select ts, word as tag from words where starts_with(word, '#'))")
+    + _topk_ticks("tags", "tag", 300),
+
+    "url_topk_ticks": _with(LOGS, PARSED, "u as (select ts, url_strict as url from r)") + _topk_ticks("u", "url", 300),
+
     "word_topk": _with(STATUSES, WORDS,
                        f"cw as (select ts, word from words where lower(trim(word)) not in ({STOP}))")
     + _topk("cw", "word", 86400, 3600),
@@ -467,6 +491,7 @@ ORACLE["stream_session_gap_first10"] = ORACLE["session_gap_first10"]
 ORACLE["stream_agent_batch_counts"] = ORACLE["agent_batch_counts"]
 ORACLE["stream_kmeans_step"] = ORACLE["kmeans_stream"]
 ORACLE["stream_hashtag_topk"] = ORACLE["hashtag_topk"]
+ORACLE["stream_hashtag_topk_ticks"] = ORACLE["hashtag_topk_ticks"]
 ORACLE["stream_error_rate_alarm"] = ORACLE["error_rate_alarm"]
 ORACLE["stream_text_metrics"] = f"""select batch_id, total_n as counter, avg_length, longest as longest_in_batch
 from ({ORACLE['text_length_by_batch']})"""
@@ -485,3 +510,6 @@ select cast(floor(epoch(ts) / 86400) as bigint) as batch_id, word as tag, count(
 from words where starts_with(word, '#') group by 1, 2"""
 ORACLE["stream_text_line_points"] = """
 select cast(event_id % 5 as double) as label, value as f0, cast(user_id as double) as f1, true as parse_ok from events"""
+ORACLE["stream_session_state"] = ORACLE["session_gap_first10"]
+ORACLE["stream_session_state_snapshot"] = ORACLE["stream_session_snapshot"]
+ORACLE["stream_url_ring_counts"] = ORACLE["url_sliding_counts"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import accesslog as al
 from tidepool.functions import text as tx
 from tidepool.functions.vectors import parse_labeled_point, parse_vector
-from tidepool.operators import alarm, batches, kmeans, linreg, sessions, textstats, windows
+from tidepool.operators import alarm, batches, kmeans, linreg, sessions, textstats, topsteps, windows
 from tidepool.sources import fixtures as fx
 
 TOP_K = 10
@@ -127,6 +127,18 @@ def hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.top_k(counts, TOP_K, ["window_start", "window_end"], "n", "tag")
 
 
+def hashtag_topk_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main job at the reference's own setting: top 10 hashtags over 300 s, each second that the list changes."""
+    tags = tx.hashtags(fx.statuses(spark, sf_dir), "text", "tag", keep=("ts",))
+    return topsteps.top_k_steps(tags, "tag", TOP_K, "ts", REF_WINDOW, REF_TICK)
+
+
+def url_topk_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT1/SRT2 of the log jobs: top 10 urls over 300 s, each second that the list changes."""
+    urls = al.to_strict_urls(fx.logs(spark, sf_dir), "line", keep=("ts",))
+    return topsteps.top_k_steps(urls, "url", TOP_K, "ts", REF_WINDOW, REF_TICK)
+
+
 def word_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ13: top 10 non-stop words per sliding window (original case counted)."""
     words = tx.content_words(fx.statuses(spark, sf_dir), "text", "word", keep=("ts",))
@@ -332,6 +344,8 @@ QUERIES = {
     "agent_batch_counts": agent_batch_counts,
     "hashtag_sliding_counts": hashtag_sliding_counts,
     "hashtag_topk": hashtag_topk,
+    "hashtag_topk_ticks": hashtag_topk_ticks,
+    "url_topk_ticks": url_topk_ticks,
     "word_topk": word_topk,
     "text_length_stats": text_length_stats,
     "text_length_by_batch": text_length_by_batch,

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from tidepool.functions import accesslog as al
 from tidepool.functions import text as tx
 from tidepool.functions.vectors import parse_labeled_point
-from tidepool.operators import alarm, batches, kmeans, textstats, windows
+from tidepool.operators import alarm, batches, kmeans, textstats, topsteps, windows
 from tidepool.session import shared_dir
 from tidepool.sources import fixtures as fx
 from tidepool.streaming import runners, sinks
 from tidepool.streaming.ml import kmeans_replay
+from tidepool.streaming.session_state import SessionStateJob
 from tidepool.streaming.sessions import SessionPartsSink
+from tidepool.streaming.sliding_state import SlidingStateJob
 from tidepool.streaming.sources import status_files, table_stream, text_lines
 
 STREAM_WINDOW, STREAM_SLIDE = "1 day", "1 hour"
@@ -80,6 +82,15 @@ def stream_hashtag_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.top_k(counts, 10, ["window_start", "window_end"], "n", "tag")
 
 
+def stream_hashtag_topk_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main job at 300 s / 1 s as a stream: per-second counts stored by it, the top 10 wherever the list changes."""
+    tags = tx.hashtags(_statuses(spark, sf_dir), "text", "tag", keep=("ts",))
+    sink = sinks.TickCountsSink(shared_dir(spark, "stream-hashtag-ticks"), "tag", "ts")
+    _run(tags, sink, "hashtag_ticks")
+    counts = sink.read(spark).withColumn("at", F.timestamp_seconds("tick"))
+    return topsteps.top_k_steps(counts, "tag", 10, "at", "300 seconds", "1 second", amount=F.col("n"))
+
+
 def stream_status_file_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC4: status records land as JSON files; their hashtags counted per day by a stream over them."""
     path = shared_dir(spark, "status-files")
@@ -146,6 +157,29 @@ def stream_session_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clicks(_session_sink(spark, sf_dir, "stream-snapshot").snapshot_sql(spark), "ip", "session_length")
 
 
+def _session_state(spark: SparkSession, sf_dir: str, name: str) -> SessionStateJob:
+    job = SessionStateJob(shared_dir(spark, name))
+    runners.drain(job.start(al.to_visits(_log_stream(spark, sf_dir), "line", keep=("event_id", "ts")), available_now=True))
+    return job
+
+
+def stream_session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STS1 + STS2 as keyed state: closed by the watermark's timers, late pieces and open state merged."""
+    return _clicks(_session_state(spark, sf_dir, "state-sessions").sessions(spark), "ip", "session_start", "session_end", "requests")
+
+
+def stream_session_state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STS3: the open sessions, read from the state store."""
+    return _clicks(_session_state(spark, sf_dir, "state-snapshot").snapshot(spark), "ip", "session_length")
+
+
+def stream_url_ring_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1 as keyed state: a ring of 300 ticks a key, shifted by timers; what is ahead of the watermark from the state store."""
+    job = SlidingStateJob(shared_dir(spark, "ring-urls"), "url")
+    runners.drain(job.start(al.to_strict_urls(_log_stream(spark, sf_dir), "line", keep=("ts",)), available_now=True))
+    return job.steps(spark)
+
+
 DAY_SQL = "select day, agent, count(*) as total from requests group by day, agent"
 
 
@@ -273,4 +307,8 @@ STREAM_QUERIES = {
     "stream_alarm_messages": stream_alarm_messages,
     "stream_status_file_hashtags": stream_status_file_hashtags,
     "stream_text_line_points": stream_text_line_points,
+    "stream_session_state": stream_session_state,
+    "stream_session_state_snapshot": stream_session_state_snapshot,
+    "stream_hashtag_topk_ticks": stream_hashtag_topk_ticks,
+    "stream_url_ring_counts": stream_url_ring_counts,
 }

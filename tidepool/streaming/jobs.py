@@ -29,7 +29,8 @@ from tidepool.operators.kmeans import StreamingKMeansModel
 from tidepool.operators.linreg import StreamingLinearModel
 from tidepool.streaming import runners, sinks
 from tidepool.streaming.ml import kmeans_foreach_batch, linreg_foreach_batch
-from tidepool.streaming.sessions import SessionPartsSink
+from tidepool.streaming.session_state import SessionStateJob
+from tidepool.streaming.sessions import SNAPSHOT_SQL, SNAPSHOT_VIEW
 
 WINDOW_S = 300
 TOP_K = 10
@@ -82,7 +83,8 @@ def _ticking(sink: sinks.TickCountsSink, view, window_s: int):
         try:
             secs, real = F.unix_timestamp(sink.time_col), ~F.col(BEAT)
             lo, hi, end = batch_df.agg(F.min(F.when(real, secs)), F.max(F.when(real, secs)), F.max(secs)).first()
-            sink(batch_df.where(real).drop(BEAT), batch_id)
+            if hi is not None:  # a second without traffic leaves no folder
+                sink(batch_df.where(real).drop(BEAT), batch_id)
         finally:
             batch_df.unpersist()
         spark = batch_df.sparkSession
@@ -177,23 +179,29 @@ def start_row_store(lines: DataFrame, base: str, keys=("ip", "url"), format: str
                 interval=runners.ROW_STORE_INTERVAL), table
 
 
-def start_sessions(lines: DataFrame, base: str, on_result=_print, available_now: bool = False):
-    """Per-ip sessions (count + first 10 urls, 30-minute idle timeout); each batch
-    the open sessions are queried with the reference's SQL."""
+def _snapshot_sql(spark, snapshot: DataFrame) -> DataFrame:
+    """STS4: SQL over the snapshot registered as ``sessionData``."""
+    snapshot.createOrReplaceTempView(SNAPSHOT_VIEW)
+    return spark.sql(SNAPSHOT_SQL)
+
+
+def start_sessions(lines: DataFrame, base: str, on_result=_print, available_now: bool = False, salts: int = 1):
+    """Per-ip sessions (count + first 10 urls, 30-minute idle timeout) in keyed state; each batch
+    the open sessions are queried with the reference's SQL. Closed and late ones go to a table."""
     visits = al.to_visits(_with_event_id(lines), "line", keep=("event_id", "ts"))
-    sink = SessionPartsSink(f"{base}/sessions")
 
-    def run(batch_df, batch_id):
-        sink(batch_df, batch_id)
-        shown = sink.snapshot_sql(batch_df.sparkSession).orderBy("ip").limit(20).collect()  # what show() prints
+    def show(open_now: DataFrame, batch_id: int) -> None:
+        snapshot = open_now.select("ip", F.col("requests").alias("session_length"), F.col("clicks.item").alias("clickstream"))
+        shown = _snapshot_sql(open_now.sparkSession, snapshot).orderBy("ip").limit(20).collect()  # what show() prints
         on_result(batch_id, [tuple(r) for r in shown])
 
-    return _run(visits, run, "sessions", base, available_now=available_now)
+    job = SessionStateJob(f"{base}/sessions", salts=salts)
+    return job.start(_with_beats(visits, not available_now), show, available_now, beat_col=BEAT)
 
 
 def session_snapshot(spark, base: str) -> DataFrame:
     """The sessions job's open sessions as a table (``select * from sessionData``)."""
-    return SessionPartsSink(f"{base}/sessions").snapshot_sql(spark)
+    return _snapshot_sql(spark, SessionStateJob(f"{base}/sessions").snapshot(spark))
 
 
 # --------------------------------------------------------------- status jobs
