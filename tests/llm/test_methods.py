@@ -266,15 +266,11 @@ def test_html_templates(spark):
 
 def passages_of(a, b):
     """(start, end, other start, other end, edits) of the passages that the seeds of two word lists reach."""
-    seeds, docs, places = [], [], []
     words = [np.array(x, dtype=np.uint64) for x in (a, b)]
-    for i, own in enumerate(words):
-        runs = textvec.shingles(own, substring.SEED_WORDS)
-        at = substring.winnowed(runs)
-        seeds.append(runs[at])
-        docs.append(np.full(len(at), i))
-        places.append(at)
-    _, _, x, y = substring.meetings(*map(np.concatenate, (seeds, docs, places)))
+    offsets = np.array([0, len(a), len(a) + len(b)])
+    seed, doc, at = substring.seeds_of(np.concatenate(words), offsets)
+    around = substring.contexts(np.concatenate(words), offsets, doc, at)
+    _, _, x, y = substring.meetings(seed, doc, at - offsets[doc], around)
     found = []
     for chain in substring.pair_chains(x.tolist(), y.tolist()) if len(x) else []:
         for s, e, fs, fe, edits, *_ in substring.align(words[1], words[0], *map(list, zip(*chain, strict=True))):
@@ -283,6 +279,17 @@ def passages_of(a, b):
     return found
 
 
+def test_seeds_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(1, 4 if i % 3 else 2**62, n).astype(np.uint64) for i, n in enumerate([0, 3, 5, 6, 8, 9, 40, 300, 0, 7, 64])]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    seed, text, at = substring.seeds_of(np.concatenate(texts), offsets)
+    for i, own in enumerate(texts):
+        runs = textvec.shingles(own, substring.SEED_WORDS) if len(own) >= substring.SEED_WORDS else own[:0]
+        want = substring.winnowed(runs)
+        assert (at[text == i] - offsets[i]).tolist() == want.tolist() and seed[text == i].tolist() == runs[want].tolist()
+
+
 @pytest.mark.parametrize("kinds", ["s", "sid"])
 @pytest.mark.parametrize("rate, least", [(0, 1.0), (0.05, 0.98), (0.1, 0.98), (0.2, 0.95)])
 def test_passage_recall(rate, least, kinds):
