@@ -45,6 +45,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Remove a table of ``written`` that nothing reads any more."""
+    spark = table.sparkSession
+    for path in {name.rpartition("/")[0] for name in table.inputFiles()}:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and the text (null: empty), whatever else the table holds."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
