@@ -271,10 +271,8 @@ def passages_of(a, b):
     seed, doc, at = substring.seeds_of(np.concatenate(words), offsets)
     around = substring.contexts(np.concatenate(words), offsets, doc, at)
     _, _, x, y, before, after = substring.meetings(seed, doc, at - offsets[doc], around)
-    goes_on, found = dict(zip(zip(x.tolist(), y.tolist(), strict=True), zip(before, after, strict=True), strict=True)), []
-    for chain in substring.pair_chains(x.tolist(), y.tolist()) if len(x) else []:
-        if not substring.worth(chain, goes_on):
-            continue
+    found = []
+    for _, chain in substring.told_apart([(0, *(v.tolist() for v in (x, y, before, after)))]) if len(x) else []:
         for s, e, fs, fe, edits, *_ in substring.align(words[1], words[0], *map(list, zip(*chain, strict=True))):
             if min(e - s, fe - fs) >= substring.PASSAGE_WORDS and 1 - edits / max(e - s, fe - fs) >= substring.SIMILARITY:
                 found.append((s, e, fs, fe, edits))

@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def rows_at_once(spark: SparkSession, n: int) -> Iterator[None]:
+    """Writes within it hand at most ``n`` rows at once to Python: for rows that hold long texts."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def dropped(table: DataFrame) -> None:
     """Remove a table of ``written`` that nothing reads any more."""
     spark = table.sparkSession
