@@ -15,7 +15,7 @@ ROWS = [
     (5, "mail jo.doe7@mail.example.com today", None), (6, PROSE + " " + "x" * 300_000, "en"), (7, " \t\n", "fr"),
 ]
 #: Names that the operators use inside.
-CLASHES = ["kept", "stratum", "node", "size", "ids", "_doc", "_text", "_q", "_row", "place", "words", "templates", "host"]
+CLASHES = ["_seen", "_id", "_w", "_k", "first", "kept", "stratum", "node", "size", "ids", "_doc", "_text", "_q", "_row", "place", "words", "templates", "host"]
 
 
 @pytest.fixture(scope="module")

@@ -106,31 +106,43 @@ def test_edit_distances(a, b):
         assert decontaminate.edit_distance(x, y, most) == min(want, most + 1)
 
 
-def test_decontamination_recall():
+@pytest.mark.parametrize("sizes, count", [((15, 60), 60), ((150, 151), 20), ((300, 301), 20), ((600, 601), 16)])
+@pytest.mark.parametrize("kinds", ["s", "sid"])
+def test_decontamination_recall(sizes, count, kinds):
     """Of windows at up to a fifth of the words changed, nine tenths at least are found, and all exact ones."""
     rng = random.Random(3)
-    items = [(i, " ".join(f"w{rng.randrange(3_000)}" for _ in range(rng.randrange(15, 60)))) for i in range(60)]
+    items = [(i, " ".join(f"w{rng.randrange(3_000)}" for _ in range(rng.randrange(*sizes)))) for i in range(count)]
     index = decontaminate.Index(items)
-    for rate, least in ((0, 1.0), (0.1, 0.97), (0.2, 0.9)):
+    most = 0.2 if kinds == "s" else 0.18  # insertions and deletions shift a window's end, too
+    for rate, least in ((0, 1.0), (0.1, 0.97), (most, 0.9)):
         near = found = 0
-        for k, words in index.items:
+        for k, words in index.whole:
             n = len(words)
             copy = words.tolist()
-            for _ in range(int(n * rate)):
-                at, kind = rng.randrange(len(copy)), rng.random()
-                copy[at:at + (kind < 0.8)] = [rng.getrandbits(63)] * (kind < 0.6 or kind >= 0.8)
+            for at in sorted(rng.sample(range(1, n - 1), int(n * rate)), reverse=True):
+                kind = rng.choice(kinds)
+                copy[at:at + (kind != "i")] = [rng.getrandbits(63)] * (kind != "d")
             noise = [rng.getrandbits(63) for _ in range(60)]
             text = np.array(noise[:30] + copy + noise[30:], dtype=np.uint64)
-            if not any(plain_distance(text[s:s + n].tolist(), words.tolist()) <= n // 5 for s in (29, 30, 31)):
+            if not any(decontaminate.distance(text[s:s + n], words) <= n // 5 for s in range(24, 37)):
                 continue
             near += 1
-            hits = [x for w in decontaminate.hopeful_windows(text, np.array([0, len(text)]), index)
-                    for x in decontaminate.near_windows(*w, index)]
-            found += any(index.items[h[1]][0] == k for h in hits)
+            hits = list(decontaminate.found_in(iter([(0, text, np.array([0, len(text)]))]), index))
+            found += any(index.whole[item][0] == k for _, item, *_ in hits)
             for _, item, distance, start in hits:
-                own = index.items[item][1]
-                assert plain_distance(text[start:start + len(own)].tolist(), own.tolist()) == distance <= len(own) // 5
-        assert near > 20 and found >= least * near
+                own = index.whole[item][1]
+                assert decontaminate.distance(text[start:start + len(own)], own) == distance <= len(own) // 5
+        assert near > 5 and found >= least * near, (rate, near, found)
+
+
+def test_alignment_to_any_run():
+    rng = random.Random(8)
+    for _ in range(200):
+        item, words = ([rng.randrange(4) for _ in range(rng.randrange(1, n))] for n in (8, 14))
+        d, s, e = decontaminate.aligned(np.array(item), np.array(words))
+        assert d == plain_distance(words[s:e], item) == min(
+            plain_distance(words[i:j], item) for i in range(len(words) + 1) for j in range(i, len(words) + 1))
+        assert decontaminate.distance(np.array(item), np.array(words)) == plain_distance(item, words)
 
 
 def test_bayesian_pruning_bound():

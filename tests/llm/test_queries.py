@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for name in ("documents", "pages", "labels", "benchmark"):
+    for name in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 

@@ -19,11 +19,17 @@ Method, for every document in one pass over its words, without a shuffle:
   candidates;
 * the word edit distance of every candidate is computed exactly (banded).
 
-Only the last step decides, so no pair is reported wrongly; how many near ones
+Walks over long items drift apart, so an item of LONG words or more is searched by
+its pieces of about PIECE words: of a near window at least one piece has no more
+than its share of the edits. Where a piece is near, the whole item is aligned to
+the words around, and the item-sized windows at that place are measured.
+
+Only the exact distance decides, so no pair is reported wrongly; how many near ones
 the keys reach is measured in the tests (exact copies: all, by construction).
 
 The benchmark is held by every task in blocks of at most BLOCK_WORDS words; a
-larger benchmark takes a pass over the documents for each block.
+larger benchmark takes a pass over the documents for each block, one after the
+other. Windows wait for their keys up to WAITING bytes.
 
 Defined cases: null or empty texts and items without words match nothing;
 repeated documents and null ids are judged row by row; repeated items each;
@@ -40,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm import textvec
-from tidepool.llm.common import ship
+from tidepool.llm.common import ship, written
 
 _U = np.uint64
 #: Most edits in fifths: a window is near at up to n // EDIT_SHARE edits (similarity 0.8).
@@ -49,6 +55,10 @@ EDIT_SHARE = 5
 WALKS, SETS, SAMPLES = 10, 8, 4
 #: Most words of the benchmark in a task at once.
 BLOCK_WORDS = 4_000_000
+#: Items of so many words are searched by pieces of about so many.
+LONG, PIECE = 64, 40
+#: Bytes of windows that wait to be keyed together.
+WAITING = 32_000_000
 #: A pair seen again within so many words counts once.
 RECENT = 6
 _SEED = 0x5EED
@@ -59,7 +69,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         words = [(i, textvec.hashes_of(t or "", textvec.PUNCTUATION, True)) for i, t in items]
-        self.items = [(i, w) for i, w in words if len(w)]
+        self.whole = [(i, w) for i, w in words if len(w)]
+        # what windows are compared with: an item, or a piece of one from its word ``offset`` on
+        pieces = [(k, o, w[o:e]) for k, (_, w) in enumerate(self.whole) for o, e in _cuts(len(w))]
+        self.of, self.offset = [p[0] for p in pieces], [p[1] for p in pieces]
+        self.items = [(k, w) for k, _, w in pieces]
         self.pairs = np.unique(np.concatenate([_pairs(w) for _, w in self.items] or [np.zeros(0, dtype=_U)]))
         self.bits = np.zeros(1 << 22, dtype=bool)
         self.bits[self.pairs >> _U(42)] = True
@@ -93,6 +107,13 @@ class Index:
         return np.append(out, False), np.append(fresh, False)
 
 
+def _cuts(n: int) -> list[tuple[int, int]]:
+    """Begins and ends of the pieces of an item of ``n`` words."""
+    parts = max(1, n // PIECE) if n >= LONG else 1
+    edges = [n * i // parts for i in range(parts + 1)]
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
 def _pairs(words: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return textvec.mix(words[:-1] * _U(0x9DDFEA08EB382D69) + words[1:])
@@ -154,6 +175,46 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return row[m]
 
 
+def aligned(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
+    """The least word edit distance of the item to any run of ``words``, and such a run."""
+    n, m = len(item), len(words)
+    steps = np.arange(m + 1)
+    row, begin = np.zeros(m + 1, dtype=np.int64), steps.copy()
+    for i, word in enumerate(item, 1):
+        best = np.append(row[0] + 1, np.minimum(row[:-1] + (words != word), row[1:] + 1))
+        from_ = np.append(0, np.where(row[:-1] + (words != word) <= row[1:] + 1, begin[:-1], begin[1:]))
+        low = np.minimum.accumulate(best - steps)
+        at = np.maximum.accumulate(np.where(best - steps == low, steps, 0))  # where the run of insertions began
+        row, begin = low + steps, from_[at]
+    end = int(row.argmin())
+    return int(row[end]), int(begin[end]), end
+
+
+def distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Word edit distance."""
+    steps = np.arange(len(b) + 1)
+    row = steps
+    for i, word in enumerate(a, 1):
+        best = np.append(i, np.minimum(row[:-1] + (b != word), row[1:] + 1))
+        row = np.minimum.accumulate(best - steps) + steps
+    return int(row[-1])
+
+
+def whole_windows(item: np.ndarray, words: np.ndarray, first: int) -> Iterator[tuple[int, int]]:
+    """(distance, first word) of the near windows of a long item that begins about ``first`` in a document's words."""
+    n = len(item)
+    most = n // EDIT_SHARE
+    lo = max(0, first - most)
+    least, begin, end = aligned(item, words[lo:first + n + 2 * most])
+    if least > most:
+        return
+    starts = sorted({min(max(0, s), len(words) - n) for s in range(min(lo + begin, lo + end - n), max(lo + begin, lo + end - n) + 1)})
+    for s in starts:
+        d = distance(item, words[s:s + n])
+        if d <= most:
+            yield d, s
+
+
 def hopeful_windows(words: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each item length, the windows that may be near an item: document numbers, first words, and the words."""
     if not index.items or not len(words):
@@ -173,16 +234,18 @@ def hopeful_windows(words: np.ndarray, offsets: np.ndarray, index: Index) -> Ite
         most = n // EDIT_SHARE
         starts = hopeful[hopeful + n <= limit]
         starts = starts[most_pairs(starts, n) >= index.least[n]]
-        if len(starts):
-            docs = np.searchsorted(offsets, starts, side="right") - 1
-            yield docs, starts - offsets[docs], words[starts[:, None] + np.arange(n)]
+        step = max(1, WAITING // (16 * n))
+        for i in range(0, len(starts), step):
+            part = starts[i:i + step]
+            docs = np.searchsorted(offsets, part, side="right") - 1
+            yield docs, part - offsets[docs], words[part[:, None] + np.arange(n)]
 
 
-def near_windows(docs: np.ndarray, firsts: np.ndarray, windows: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int]]:
-    """(document number, item number, distance, first word) of the near ones among windows of one length."""
+def near_windows(windows: np.ndarray, index: Index) -> Iterator[tuple[int, int, int]]:
+    """(window, item or piece, distance) of the near ones among windows of one length."""
     n = windows.shape[1]
     most = n // EDIT_SHARE
-    for lo in range(0, len(docs), 4_000):
+    for lo in range(0, len(windows), 4_000):
         part = windows[lo:lo + 4_000]
         keys = window_keys(part)
         rows, columns = np.nonzero(index.key_bits[keys >> _U(42)])
@@ -195,27 +258,60 @@ def near_windows(docs: np.ndarray, firsts: np.ndarray, windows: np.ndarray, inde
                 seen.add((r, k))
                 d = edit_distance(part[r], index.items[k][1], most)
                 if d <= most:
-                    yield int(docs[lo + r]), k, d, int(firsts[lo + r])
+                    yield lo + r, k, d
 
 
 def find_in(strings, index: Index) -> Iterator[tuple[int, int, int, int]]:
     """(row, item number, distance, first word) of every near window that the keys reach, in an Arrow string array."""
+    return found_in(textvec.chunks(strings, textvec.PUNCTUATION, True), index)
+
+
+def found_in(chunks: Iterator[tuple[int, np.ndarray, np.ndarray]], index: Index) -> Iterator[tuple[int, int, int, int]]:
+    """``find_in`` of chunks (first row, words, offsets)."""
     waiting: dict[int, list[tuple]] = {}
-    for row, words, offsets in textvec.chunks(strings, textvec.PUNCTUATION, True):
+    size = 0
+
+    def reached() -> Iterator[tuple[int, int, int, int]]:
+        places: dict[tuple[int, int], set[int]] = {}  # of a document and a long item
+        texts: dict[int, np.ndarray] = {}
+        for parts in waiting.values():
+            docs, firsts, windows, own = (np.concatenate([p[i] for p in parts]) if i < 3 else [p[3] for p in parts for _ in p[0]] for i in range(4))
+            for r, k, d in near_windows(windows, index):
+                doc, first, item = int(docs[r]), int(firsts[r]), index.of[k]
+                if len(index.whole[item][1]) < LONG:
+                    yield doc, item, d, first
+                else:
+                    places.setdefault((doc, item), set()).add(first - index.offset[k])
+                    texts[doc] = own[r](doc)
+        for (doc, item), firsts in places.items():
+            words, found, last = index.whole[item][1], {}, -len(texts[doc])
+            for first in sorted(firsts):
+                if first - last > len(words) // EDIT_SHARE and len(texts[doc]) >= len(words):  # else the same place
+                    found |= {s: d for d, s in whole_windows(words, texts[doc], max(0, min(first, len(texts[doc]) - len(words))))}
+                    last = first
+            yield from ((doc, item, d, s) for s, d in found.items())
+
+    for row, words, offsets in chunks:
+        def text(doc: int, row=row, words=words, offsets=offsets) -> np.ndarray:
+            return words[offsets[doc - row]:offsets[doc - row + 1]]
+
         for docs, firsts, windows in hopeful_windows(words, offsets, index):
-            waiting.setdefault(windows.shape[1], []).append((docs + row, firsts, windows))
-    for parts in waiting.values():
-        yield from near_windows(*map(np.concatenate, zip(*parts, strict=True)), index)
+            waiting.setdefault(windows.shape[1], []).append((docs + row, firsts, windows, text))
+            size += windows.nbytes
+            if size >= WAITING:
+                yield from reached()
+                waiting, size = {}, 0
+    yield from reached()
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of bounded size, one after the other; it is measured before any text is fetched."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list[tuple[int, str]], bool]]:
+    """The benchmark in blocks of bounded size, one after the other, and whether there are several."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = int(size // (4 * BLOCK_WORDS)) + 1
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for b in range(n):
-        yield [(r[0], r[1]) for r in items.where(part == b).orderBy("item_id", "text").collect()]
+        yield [(r[0], r[1]) for r in items.where(part == b).orderBy("item_id", "text").collect()], n > 1
 
 
 _INDEXES: dict[int, Index] = {}
@@ -235,7 +331,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = None
-    for items in _blocks(benchmark, item_col, item_text_col):
+    for items, more in _blocks(benchmark, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(items)  # at most a block
 
         def run(batches: Iterator, shared=shared) -> Iterator:
@@ -247,12 +343,15 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 for row, k, d, start in find_in(batch.column(1), index):
                     d0, s0, n = found.get((row, k), (d, start, 0))
                     found[row, k] = (*min((d0, s0), (d, start)), n + 1)
-                columns = [[ids[i] for i, _ in found], [index.items[k][0] for _, k in found],
+                columns = [[ids[i] for i, _ in found], [index.whole[k][0] for _, k in found],
                            *([v[c] for v in found.values()] for c in range(3))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                                  ["doc_id", "item_id", "distance", "word_start", "n_windows"])
 
         found = rows.mapInArrow(run, "doc_id long, item_id long, distance long, word_start long, n_windows long")
+        if more:  # done with this block before the next one is fetched
+            found = written(found, "decontamination-found")
+            shared.destroy()
         out = found if out is None else out.union(found)
     return out
 
@@ -263,7 +362,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
     spark = docs.sparkSession
     ship(spark)
     out = docs
-    for items in _blocks(benchmark, item_col, item_text_col):
+    for items, more in _blocks(benchmark, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(items)  # at most a block
 
         def run(batches: Iterator, shared=shared) -> Iterator:
@@ -279,4 +378,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
                 yield batch.filter(pa.array(keep))
 
         out = out.mapInArrow(run, docs.schema)
+        if more:
+            out = written(out, "decontamination-kept")
+            shared.destroy()
     return out

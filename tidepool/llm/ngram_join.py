@@ -299,10 +299,10 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .groupBy("doc_id").agg(F.count("*").alias("n"),
                                    F.max(F.coalesce("group_id", "doc_id") == F.col("doc_id")).alias("first")))
     seen = written(seen.where("n > 1 OR NOT first"), "ngram-seen")  # nothing to do for the others
-    id_ = F.col(id_col).cast("long")
-    out = docs.join(seen.select(F.col("doc_id").alias("_seen")), id_ == F.col("_seen"), "left_anti")
-    again = docs.join(seen.where("first").select(F.col("doc_id").alias("_seen")), id_ == F.col("_seen"), "left_semi")
-    return out.union(again.dropDuplicates([id_col]))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    out = rows.join(seen.select(F.col("doc_id").alias("_seen")), F.col("_id") == F.col("_seen"), "left_anti")
+    again = rows.join(seen.where("first").select(F.col("doc_id").alias("_seen")), F.col("_id") == F.col("_seen"), "left_semi")
+    return out.union(again.dropDuplicates(["_id"])).select("_doc.*")
 
 
 #: All pairs that share a shingle, counted; components by recursion.

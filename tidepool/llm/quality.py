@@ -54,9 +54,8 @@ FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 def with_figures(df: DataFrame, text: Column) -> DataFrame:
     """Adds the counts as struct ``_q``.
 
-    Repeated 3-word windows: each window's hash keeps its upper bits, its
-    position replaces the lower ones, and the sorted longs then show equal
-    windows side by side. A text of n words leaves 64 - log2(n) bits of hash.
+    Repeated 3-word windows: the windows' hashes are sorted with their positions,
+    so equal windows lie side by side; neighbours of one hash are compared word by word.
     """
     text = F.coalesce(text, F.lit(""))
     df = df.withColumn("_t", text)
@@ -69,19 +68,21 @@ def with_figures(df: DataFrame, text: Column) -> DataFrame:
         F.length(F.regexp_replace("_t", SPACE, "")).cast("long").alias("_c"),
         (F.length("_t") - F.length(F.regexp_replace("_t", r"[#*$%&|<>]+", ""))).cast("long").alias("_s"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("_d"),
-        F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
-    df = df.withColumn("_m", F.expr("shiftleft(1L, length(bin(_n))) - 1L"))
-    window = F.expr("transform(sequence(0, size(_h) - 3), i -> "
-                    "(xxhash64(_h[i], _h[i + 1], _h[i + 2]) & ~_m) | cast(i AS bigint))")
+        "_w", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
+    window = F.expr("transform(sequence(0, size(_h) - 3), i -> struct(xxhash64(_h[i], _h[i + 1], _h[i + 2]) AS h, i AS i))")
     df = df.withColumn("_k", F.when(F.col("_n") >= 4, F.sort_array(window)))
-    again = F.expr("filter(_k, (x, i) -> (i > 0 AND (_k[i - 1] & ~_m) = (x & ~_m)) "
-                   "OR (i + 1 < size(_k) AND (_k[i + 1] & ~_m) = (x & ~_m)))")
-    df = df.withColumn("_a", F.sort_array(F.transform(again, lambda x: x.bitwiseAND(F.col("_m")))))
+
+    def same(j: str) -> str:
+        words = " AND ".join(f"_w[_k[{j}].i + {o}] = _w[x.i + {o}]" for o in range(3))
+        return f"(_k[{j}].h = x.h AND {words})"
+
+    again = F.expr(f"filter(_k, (x, i) -> (i > 0 AND {same('i - 1')}) OR (i + 1 < size(_k) AND {same('i + 1')}))")
+    df = df.withColumn("_a", F.sort_array(F.transform(again, lambda x: x["i"].cast("long"))))
     covered = F.expr("aggregate(transform(_a, (p, i) -> least(3L, coalesce(get(_a, i + 1) - p, 3L))), 0L, (s, x) -> s + x)")
     figures = F.struct(F.col("_n").alias("n_words"), F.col("_c").alias("word_chars"), F.col("_s").alias("n_symbols"),
                        F.col("_d").alias("n_dup_lines"),
                        F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
-    return df.withColumn("_q", figures).drop("_n", "_c", "_s", "_d", "_h", "_m", "_k", "_a")
+    return df.withColumn("_q", figures).drop("_n", "_c", "_s", "_d", "_w", "_h", "_k", "_a")
 
 
 def _base_failed() -> Column:
