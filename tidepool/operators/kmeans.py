@@ -123,6 +123,65 @@ class StreamingKMeansModel:
                 for j in range(len(self.weights))]
 
 
+def _uniform(seed: int, turn: int, key: Column) -> Column:
+    """A number in [0, 1) for each row, the same whenever it is computed."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit(turn), key), F.lit(1 << 52)) / float(1 << 52)
+
+
+def spread_centres(df: DataFrame, features: str, key, k: int = K, rounds: int = 5, oversample: float = 2.0,
+                   seed: int = 42) -> list[list[float]]:
+    """``k`` start centres by k-means||, for points that random centres would miss.
+
+    In each round every point becomes a candidate with a probability in
+    proportion to its squared distance from the candidates so far; about
+    ``oversample * k`` do, so a few rounds of one aggregate and one small
+    collect replace k passes. The candidates, weighted by the points nearest to
+    them, are then reduced to k on the driver. ``key`` identifies a row: the
+    draws are hashes of it, so the same points give the same centres.
+    """
+    points = df.select(F.col(features).alias("x"), _col(key).alias("key"))
+    first = points.orderBy(_uniform(seed, 0, F.col("key")), "key").limit(1).collect()
+    if not first:
+        return []
+    candidates = [list(first[0]["x"])]
+    for turn in range(1, rounds + 1):
+        far = points.select("x", "key", F.array_min(squared_distances("x", candidates)).alias("d"))
+        total = far.agg(F.sum("d")).first()[0]
+        if not total:
+            break  # every point is a candidate
+        chance = oversample * k / total * F.col("d")
+        candidates += sorted(list(r["x"]) for r in far.where(_uniform(seed, turn, F.col("key")) < chance).select("x").distinct().collect())
+    weights = np.zeros(len(candidates))
+    for r in points.groupBy(nearest_centre("x", candidates).alias("c")).count().collect():
+        weights[r["c"]] = r["count"]
+    return reduced_centres(np.array(candidates, dtype=float), weights, k, seed).tolist()
+
+
+def reduced_centres(points: np.ndarray, weights: np.ndarray, k: int, seed: int, turns: int = 20) -> np.ndarray:
+    """k weighted centres of a few points: seeded far apart, then moved to their means."""
+    rng = np.random.default_rng(seed)
+    centres = [points[int(weights.argmax())]]
+    while len(centres) < min(k, len(points)):
+        d = weights * ((points[:, None] - np.array(centres)) ** 2).sum(axis=2).min(axis=1)
+        if not d.sum():
+            break
+        centres.append(points[rng.choice(len(points), p=d / d.sum())])
+    out = np.array(centres)
+    for _ in range(turns):
+        own = ((points[:, None] - out) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([np.average(points[own == j], axis=0, weights=weights[own == j]) if weights[own == j].sum() else out[j]
+                          for j in range(len(out))])
+        if np.allclose(moved, out):
+            break
+        out = moved
+    return out[np.lexsort(out.T[::-1])]
+
+
+def cost(df: DataFrame, features: str, centres) -> DataFrame:
+    """The sum of squared distances to the nearest centres, as one row."""
+    return df.agg(F.sum(F.array_min(squared_distances(features, centres))).alias("cost"))
+
+
 MODEL_SCHEMA = "batch_id bigint, cluster int, weight double, centre array<double>"
 
 

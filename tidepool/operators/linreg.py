@@ -73,6 +73,53 @@ def sgd_on_moments(n: float, g: np.ndarray, h: np.ndarray, w0: np.ndarray,
     return w
 
 
+def centred_moments(df: DataFrame, label, features: list, by=(), origin=None) -> DataFrame:
+    """``n``, the means ``m_i`` (label last) and the central co-moments ``c_i_j`` (sums over the upper triangle).
+
+    Spark merges these pairwise from task to task, so nothing is lost where
+    values lie far from zero, as it is in raw sums of squares. Parts that are to
+    be merged later need an ``origin`` near their values (of each feature and the
+    label, e.g. the means of the first part), as their means are doubles, too.
+    """
+    xs = [_col(f).cast("double") - float(o) for f, o in zip([*features, label], origin or [0.0] * (len(features) + 1))]
+    n = F.count(F.lit(1))
+    return df.where(F.greatest(*[x.isNull().cast("int") for x in xs], F.lit(0)) == 0).groupBy(*by).agg(
+        n.alias("n"), *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(xs)],
+        *[(F.covar_pop(xs[i], xs[j]) * n).alias(f"c_{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))])
+
+
+def merged_moments(parts: list[dict], d: int) -> dict:
+    """Moments of several parts, e.g. batches, as those of all their rows (``d`` features)."""
+    total = {"n": 0, "m": np.zeros(d + 1), "c": np.zeros((d + 1, d + 1))}
+    for p in parts:
+        n, m, c = _centred(p, d)
+        if not n:
+            continue
+        both, gap = total["n"] + n, m - total["m"]
+        total = {"n": both, "m": total["m"] + gap * (n / both),
+                 "c": total["c"] + c + np.outer(gap, gap) * (total["n"] * n / both)}
+    return total
+
+
+def _centred(row, d: int) -> tuple[float, np.ndarray, np.ndarray]:
+    if isinstance(row, dict) and "m" in row:
+        return row["n"], row["m"], row["c"]
+    m = np.array([row[f"m_{i}"] or 0.0 for i in range(d + 1)])
+    c = np.zeros((d + 1, d + 1))
+    for i in range(d + 1):
+        for j in range(i, d + 1):
+            c[i, j] = c[j, i] = row[f"c_{i}_{j}"] or 0.0
+    return float(row["n"]), m, c
+
+
+def least_squares(row, d: int, origin=None) -> tuple[np.ndarray, float]:
+    """Weights and intercept that fit best, from central co-moments with that origin."""
+    _, m, c = _centred(row, d)
+    weights = np.linalg.lstsq(c[:d, :d], c[:d, d], rcond=None)[0]
+    m = m + np.array(origin if origin is not None else [0.0] * (d + 1))
+    return weights, float(m[d] - weights @ m[:d])
+
+
 @dataclass
 class StreamingLinearModel:
     """Weights (and intercept, last) carried across batches on the driver.

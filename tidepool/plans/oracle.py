@@ -513,3 +513,7 @@ select cast(event_id % 5 as double) as label, value as f0, cast(user_id as doubl
 ORACLE["stream_session_state"] = ORACLE["session_gap_first10"]
 ORACLE["stream_session_state_snapshot"] = ORACLE["stream_session_snapshot"]
 ORACLE["stream_url_ring_counts"] = ORACLE["url_sliding_counts"]
+ORACLE["stream_tail_url_counts"] = ORACLE["log_url_strict_counts"]
+ORACLE["sink_committed_rows"] = ORACLE["sink_json_roundtrip"]
+ORACLE["linreg_fit_shifted"] = REG_BASE + """
+select count(*) as n, round(regr_slope(y, x + 1e9), 6) as slope, round(avg(y), 6) as mean_y from reg"""

@@ -292,6 +292,16 @@ def linreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.round(F.regr_intercept("y", "x"), REG_DIGITS).alias("intercept"))
 
 
+def linreg_fit_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML5 far from zero: the fit on a feature shifted by 1e9, yearly parts of central co-moments merged."""
+    r = _regression_input(spark, sf_dir).withColumn("x", F.col("x").cast("double") + 1e9)
+    parts = linreg.centred_moments(batches.with_batch(r, "l_shipdate", "365 days"), "y", ["x"], ["batch_id"], [1e9, 0.0]).collect()
+    whole = linreg.merged_moments([p.asDict() for p in parts], 1)
+    slope = linreg.least_squares(whole, 1)[0][0]
+    found = [(int(whole["n"]), round(float(slope), REG_DIGITS), round(float(whole["m"][1]), REG_DIGITS))]
+    return spark.createDataFrame(found, "n bigint, slope double, mean_y double")
+
+
 def linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML4: (label truncated to int, prediction) per row with the fitted model."""
     r = _regression_input(spark, sf_dir)
@@ -359,6 +369,7 @@ QUERIES = {
     "kmeans_stream": kmeans_stream,
     "linreg_moments": linreg_moments,
     "linreg_fit": linreg_fit,
+    "linreg_fit_shifted": linreg_fit_shifted,
     "linreg_predict": linreg_predict,
     "linreg_sgd_stream": linreg_sgd_stream,
 }

@@ -21,6 +21,7 @@ from tidepool.operators import alarm, batches, kmeans, textstats, topsteps, wind
 from tidepool.session import shared_dir
 from tidepool.sources import fixtures as fx
 from tidepool.streaming import runners, sinks
+from tidepool.streaming.datasources import read_committed, tail_lines, write_committed
 from tidepool.streaming.ml import kmeans_replay
 from tidepool.streaming.session_state import SessionStateJob
 from tidepool.streaming.sessions import SessionPartsSink
@@ -236,6 +237,27 @@ def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark).select("ip", "url", "status", "user_agent", "event_id")
 
 
+def stream_tail_url_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1/SRC2 without a port: log lines read from text files by byte offsets, counted by url."""
+    path, out = shared_dir(spark, "tail-lines"), shared_dir(spark, "tail-counts")
+    fx.logs(spark, sf_dir).select(F.col("line").alias("value")).write.text(path)
+    urls = al.to_strict_urls(tail_lines(spark, path), "line")
+
+    def counted(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.groupBy("url").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    _run(urls, counted, "tail_urls")
+    return spark.read.parquet(out).groupBy("url").agg(F.sum("n").alias("n"))
+
+
+def sink_committed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK5/SNK7 by format name: records written by tasks, named by the driver's commits, read back."""
+    records = al.to_records(_log_stream(spark, sf_dir), "line", keep=("event_id",))
+    path = shared_dir(spark, "committed-rows")
+    runners.drain(write_committed(records, path, shared_dir(spark, "checkpoint-committed"), available_now=True))
+    return read_committed(spark, path, records.schema).select("event_id", "url", "status", "agent")
+
+
 def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """All rows of a stream, stored per micro-batch."""
     out = shared_dir(spark, name)
@@ -311,4 +333,6 @@ STREAM_QUERIES = {
     "stream_session_state_snapshot": stream_session_state_snapshot,
     "stream_hashtag_topk_ticks": stream_hashtag_topk_ticks,
     "stream_url_ring_counts": stream_url_ring_counts,
+    "stream_tail_url_counts": stream_tail_url_counts,
+    "sink_committed_rows": sink_committed_rows,
 }

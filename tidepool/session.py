@@ -10,10 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _LOCAL_DIR: str | None = None
+_SHIPPED: set[str] = set()
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -94,3 +97,17 @@ def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = _checkpoint_base(spark)
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/tidepool/{leaf}"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once a session: keyed state and data sources run there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    to = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{root.name}.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    spark.sparkContext.addPyFile(to)
+    _SHIPPED.add(app)

@@ -50,7 +50,11 @@ def _run(df, fn, name, base, mode="append", available_now=False, interval=runner
 def _window_view(sink: sinks.TickCountsSink, spark, until_tick: int, window_s: int,
                  batch_ids=None) -> DataFrame:
     """Sums per key over ticks (until - window, until]: the current window."""
-    c = sink.read(spark) if batch_ids is None else sink.read(spark, batch_ids) if batch_ids else sink.read(spark).limit(0)
+    if isinstance(sink, sinks.TieredTickCounts):
+        c = sink.since(spark, until_tick - window_s)
+    else:
+        c = sink.read(spark) if batch_ids is None \
+            else sink.read(spark, batch_ids) if batch_ids else sink.read(spark).limit(0)
     c = c.where((F.col("tick") > until_tick - window_s) & (F.col("tick") <= until_tick))
     return c.groupBy(*sink.keys).agg(*[F.sum(k).alias(k) for k in sink.measures])
 
@@ -108,7 +112,7 @@ def _ticking(sink: sinks.TickCountsSink, view, window_s: int):
 
 def _top_counts_job(keyed: DataFrame, key: str, base: str, name: str, on_result, window_s: int,
                     k: int, available_now: bool) -> StreamingQuery:
-    sink = sinks.TickCountsSink(f"{base}/ticks", key, "ts")
+    sink = sinks.TieredTickCounts(f"{base}/ticks", key, "ts", window_s=window_s)
 
     def view(spark, batch_id, last, ids):
         top = (_window_view(sink, spark, last, window_s, ids).where(F.col("n") > 0)

@@ -19,8 +19,10 @@ together with the pieces of the batches up to it.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -195,3 +197,6 @@ def _without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
 
 def _columns() -> list[str]:
     return ["key", "salt", "start_us", "end_us", "requests", "click_us", "click_id", "click_item"]
+
+# Spark's Python workers on the driver don't get shipped files: what they need goes along by value.
+register_pickle_by_value(sys.modules[__name__])

@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidepool.functions.text import utf16_length
+from tidepool.streaming.files import RunningTotals
+from tidepool.streaming.tiers import FAN, TieredParts
 
 
 # ------------------------------------------------------------------ SNK1
@@ -52,8 +54,8 @@ class TextCapture:
     With a ``limit``, ``done`` turns true once more rows are saved; the caller
     then stops the query (:func:`tidepool.streaming.runners.drain_capture`; the
     reference exits the process instead). A batch that comes nevertheless raises
-    ``CaptureFull`` and stays unread. The counts are kept in ``<base>-counts``
-    by batch id, so a restarted query goes on counting. Batches are written with
+    ``CaptureFull`` and stays unread. The count is kept in ``<base>-count.json``,
+    so a restarted query goes on counting. Batches are written with
     their natural partitioning; ``max_records_per_file`` bounds file sizes.
     """
 
@@ -61,27 +63,22 @@ class TextCapture:
                  max_records_per_file: int | None = None):
         self.base, self.limit, self.text_col = base.rstrip("/"), limit, text_col
         self.max_records_per_file = max_records_per_file
-        self.counts: dict[int, int] | None = None
+        self.saved: RunningTotals | None = None
 
     @property
     def total(self) -> int:
-        return sum((self.counts or {}).values())
+        return self.saved.after[0] if self.saved else 0
 
     @property
     def done(self) -> bool:
         return self.limit is not None and self.total > self.limit
 
-    def _load(self, spark: SparkSession) -> None:
-        if self.counts is None:
-            kept = read_or_none(spark, f"{self.base}-counts")
-            self.counts = {} if kept is None else {r["batch_id"]: r["n"] for r in kept.collect()}
-
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        self._load(spark)
-        self.counts.pop(batch_id, None)      # replayed batch: forget the old attempt
-        if self.done:
-            raise CaptureFull(f"{self.total} rows are saved")
+        self.saved = self.saved or RunningTotals(spark, f"{self.base}-count.json", 1)
+        before = self.saved.upto(batch_id)[0]  # of a replayed batch the old attempt does not count
+        if self.limit is not None and before > self.limit:
+            raise CaptureFull(f"{before} rows are saved")
         out = batch_df.select(F.col(self.text_col).cast("string").alias("value")).persist()
         try:
             n = out.count()
@@ -91,10 +88,7 @@ class TextCapture:
             if self.max_records_per_file:
                 w = w.option("maxRecordsPerFile", str(self.max_records_per_file))
             w.text(f"{self.base}/batch_id={batch_id}")
-            if self.limit is not None:
-                spark.createDataFrame([(n,)], "n bigint").coalesce(1).write.mode("overwrite").parquet(
-                    f"{self.base}-counts/batch_id={batch_id}")
-            self.counts[batch_id] = n
+            self.saved.add(batch_id, [n])
         finally:
             out.unpersist()
 
@@ -221,6 +215,36 @@ class TickCountsSink:
                             f"{self.tick_s} seconds", keep_zero=keep_zero)
 
 
+class TieredTickCounts(TickCountsSink):
+    """``TickCountsSink`` whose parts are merged by tiers, for live jobs: a batch without rows leaves nothing, and
+    the window's view opens the window's parts alone."""
+
+    def __init__(self, path: str, keys, time_col: str = "ts", tick_s: int = 1, measures: dict | None = None,
+                 window_s: int = 300, fan: int = FAN):
+        super().__init__(path, keys, time_col, tick_s, measures)
+        self.parts = TieredParts(self.path, self._merged, window_s, fan=fan)
+
+    def _merged(self, parts: DataFrame) -> DataFrame:
+        return parts.groupBy(*self.keys, "tick").agg(*[F.sum(k).alias(k) for k in self.measures])
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        tick = F.floor(F.unix_timestamp(F.col(self.time_col)) / self.tick_s) * self.tick_s
+        self.parts.append(batch_df.groupBy(*self.keys, tick.alias("tick")).agg(
+            *[F.sum(m.cast("bigint")).alias(k) for k, m in self.measures.items()]), batch_id)
+
+    def read(self, spark: SparkSession, batch_ids=None) -> DataFrame:
+        """All stored sums."""
+        return self.since(spark, None)
+
+    def since(self, spark: SparkSession, tick: int | None) -> DataFrame:
+        """The sums of the parts that hold ticks after ``tick``."""
+        found = self.parts.read(spark, tick)
+        if found is not None:
+            return found
+        columns = [*[f"{k} string" for k in self.keys], "tick bigint", *[f"{k} bigint" for k in self.measures]]
+        return spark.createDataFrame([], ", ".join(columns))
+
+
 # ------------------------------------------------------------------ SNK6
 def text_metric_columns(text: str = "text") -> list:
     length = utf16_length(text)
@@ -245,18 +269,16 @@ class MetricsListener(StreamingQueryListener):
     """Forwards observed metrics of ONE query to ``callback(name, batch_id, dict)``,
     keeping the running counter and average like the reference's gauges.
 
-    ``totals_dir`` keeps each batch's figures, so a restarted query goes on
-    counting. The listener removes itself when its query ends.
+    ``totals_dir`` keeps the totals in one small file, so a restarted query goes
+    on counting. The listener removes itself when its query ends.
     """
 
     def __init__(self, callback, name: str = "text_metrics", spark: SparkSession | None = None,
                  totals_dir: str | None = None):
         self.callback, self.name = callback, name
         self.spark, self.totals_dir, self.query_id = spark, totals_dir, None
-        self.figures: dict[int, tuple[int, int]] = {}
-        kept = read_or_none(spark, totals_dir) if totals_dir else None
-        if kept is not None:
-            self.figures = {r["batch_id"]: (r["tweets"], r["chars"]) for r in kept.collect()}
+        self.totals = RunningTotals(spark, f"{totals_dir}/totals.json", 2) if totals_dir else None
+        self.last, self.before, self.after = -1, [0, 0], [0, 0]  # without a folder
 
     def watch(self, query) -> None:
         """Follow this query only."""
@@ -264,11 +286,18 @@ class MetricsListener(StreamingQueryListener):
 
     @property
     def total_tweets(self) -> int:
-        return sum(n for n, _ in self.figures.values())
+        return (self.totals.after if self.totals else self.after)[0]
 
     @property
     def total_chars(self) -> int:
-        return sum(c for _, c in self.figures.values())
+        return (self.totals.after if self.totals else self.after)[1]
+
+    def _add(self, batch_id: int, figures: list[int]) -> None:
+        if self.totals:
+            self.totals.add(batch_id, figures)
+        elif batch_id >= self.last:
+            self.before = self.after if batch_id > self.last else self.before
+            self.last, self.after = batch_id, [a + v for a, v in zip(self.before, figures, strict=True)]
 
     def onQueryStarted(self, event):  # noqa: N802 - Spark API
         if self.query_id is None and event.name and event.name.startswith(self.name):
@@ -281,10 +310,7 @@ class MetricsListener(StreamingQueryListener):
         if row is None or not row["tweets"]:
             return
         batch_id = event.progress.batchId
-        self.figures[batch_id] = (row["tweets"], row["chars"] or 0)
-        if self.totals_dir:
-            (self.spark.createDataFrame([self.figures[batch_id]], "tweets bigint, chars bigint").coalesce(1)
-                 .write.mode("overwrite").parquet(f"{self.totals_dir}/batch_id={batch_id}"))
+        self._add(batch_id, [row["tweets"], row["chars"] or 0])
         self.callback(self.name, batch_id, {
             "counter": self.total_tweets,
             "avg_length": self.total_chars // self.total_tweets,

@@ -16,8 +16,10 @@ read from the state store.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -140,3 +142,6 @@ class SlidingStateJob(StateJob):
         after = after.select("key", "tick", (F.coalesce("base", F.lit(0)) + running).alias("n"))
         plain = final.unionByName(after)
         return of(plain, "left_anti").unionByName(late).withColumnRenamed("key", self.key)
+
+# Spark's Python workers on the driver don't get shipped files: what they need goes along by value.
+register_pickle_by_value(sys.modules[__name__])

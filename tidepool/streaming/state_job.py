@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidepool.session import ship_code
 from tidepool.streaming import runners
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -28,6 +29,7 @@ class StateJob:
     def _start(self, out: DataFrame, on_batch, available_now: bool, partitions: int | None) -> StreamingQuery:
         """``on_batch(rows, batch_id)`` gives what to keep of a batch's rows."""
         spark = out.sparkSession
+        ship_code(spark)
 
         def run(batch_df: DataFrame, batch_id: int) -> None:
             batch_df = batch_df.persist()
