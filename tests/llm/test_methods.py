@@ -276,6 +276,19 @@ def test_html_templates(spark):
     assert got[0] == "Own text 0 Rare 0" and got[7] == "Own text 7 None 3" and got[99] == "Read more here"
 
 
+def test_html_near_copies_keep_their_article(spark):
+    """A host that is mostly near copies of one article, in an article element or not, and a box that recurs within articles."""
+    text = [f"<p>Paragraph {i} of the article with words of its own.</p>" for i in range(8)]
+    pages = [(i, "http://c.org/", "<body><article>" + "".join(text[:7]) + f"<p>Edition {i}.</p><div>Share this story</div></article>") for i in range(12)]
+    pages += [(20 + i, "http://d.org/", "<body><div class=x>" + "".join(text[:7]) + f"<p>Edition {i}.</p></div>") for i in range(6)]
+    pages += [(40 + i, "http://e.org/", f"<body><main><p>Story {i}.</p><div>Share this story</div></main>") for i in range(9)]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = " ".join(f"Paragraph {i} of the article with words of its own." for i in range(7))
+    assert all(got[i].startswith(f"{want} Edition {i}.") for i in range(12))
+    assert all(got[20 + i] == f"{want} Edition {i}." for i in range(6))
+    assert all(got[40 + i] == f"Story {i}." for i in range(9))
+
+
 def passages_of(a, b):
     """(start, end, other start, other end, edits) of the passages that the seeds of two word lists reach."""
     words = [np.array(x, dtype=np.uint64) for x in (a, b)]

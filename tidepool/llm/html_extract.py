@@ -1,9 +1,12 @@
 """Main text of web pages by removing each site's template.
 
 First pass: every element subtree of every page is hashed (tag, texts and the
-hashes of its children), and Spark counts on how many pages of a host each hash
-occurs. A subtree on at least half of a host's pages, and on five or more, is
-template. Second pass: a page's template subtrees are deleted, then what its
+hashes of its children), and Spark counts for how many bodies of a host each hash
+occurs. Pages of one body, copies and most near copies, have one vote: the sketch
+of the least hashes of their blocks. A subtree in at least half of a host's bodies,
+and in five or more, is template. Second pass: a page's template subtrees are
+deleted (within ``article`` and ``main`` only boxes without running text, since
+what recurs there may be near copies of one article), then what its
 markup marks as no article (menus, headers, footers, asides, forms, scripts,
 adverts, notices, comments by tag, role or class); the rest of its
 ``article`` elements, else of ``main``, else of the body, is the text.
@@ -36,6 +39,8 @@ from tidepool.llm.common import ship, written
 
 #: A subtree is template from this share of a host's pages, and this many pages, on.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 5
+#: Least hashes of blocks in a body's sketch.
+VOTE_BLOCKS = 2
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +59,9 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: Elements of running text, and boxes that may hold them.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption caption".split())
+BOXES = frozenset("div section aside ul ol dl table figure details fieldset center header footer".split())
 P_ENDS = BLOCK - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"}
 P_STOPS = frozenset({"td", "th", "li", "div", "article", "section", "body", "button", "dd", "figure", "blockquote"})
 
@@ -192,8 +200,35 @@ def subtree_hashes(root: Node) -> set[int]:
     return out
 
 
+def _runs(node: Node) -> bool:
+    """Whether there is running text in a subtree."""
+    stack = [node]
+    while stack:
+        inner = stack.pop()
+        if inner.tag in RUNNING:
+            return True
+        stack += [k for k in inner.kids if not isinstance(k, str)]
+    return False
+
+
+def body_sketch(root: Node) -> int:
+    """A hash of the VOTE_BLOCKS least hashes of a page's blocks: mostly the same for near copies."""
+    blocks, stack = set(), [k for k in root.kids if not isinstance(k, str)]
+    while stack:
+        node = stack.pop()
+        if node.drop not in (_HARD, _SOFT):
+            if node.tag in RUNNING or node.tag in BOXES and not _runs(node):
+                blocks.add(node.hash)
+            else:
+                stack += [k for k in node.kids if not isinstance(k, str)]
+    least = sorted(blocks, key=lambda h: xxhash.xxh64_intdigest(str(h)))[:VOTE_BLOCKS]
+    return xxhash.xxh64_intdigest(" ".join(map(str, sorted(least)))) - 2**63
+
+
 def _dropped(node: Node, in_article: bool, templates: frozenset) -> bool:
-    if node.drop == _HARD or node.hash in templates and node.tag not in VOID:
+    if node.drop == _HARD:
+        return True
+    if node.hash in templates and node.tag not in VOID and not (in_article and (node.tag not in BOXES or _runs(node))):
         return True
     if node.drop == _SOFT:
         return not node.holds
@@ -250,14 +285,19 @@ def site_templates(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int =
         import pyarrow as pa
 
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, votes, hashes, seen = [], [], [], set()
             for host, page in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
-                own = {0, *subtree_hashes(parse(page))}  # 0 counts the pages
+                root = parse(page)
+                vote = body_sketch(root)
+                own = [h for h in {0, *subtree_hashes(root)} if (host, vote, h) not in seen]  # 0 counts the bodies
+                seen.update((host, vote, h) for h in own)
                 hosts += [host] * len(own)
+                votes += [vote] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(votes, pa.int64()), pa.array(hashes, pa.int64())],
+                                             ["host", "vote", "hash"])
 
-    counts = (pages.mapInArrow(run, "host string, hash long").groupBy("host", "hash")
+    counts = (pages.mapInArrow(run, "host string, vote long, hash long").distinct().groupBy("host", "hash")
               .agg(F.count("*").alias("n")).where(F.col("n") >= least))
     counts = written(counts, "html-subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))

@@ -35,6 +35,8 @@ from tidepool.session import shared_dir
 LEAST_BYTES = 0
 #: Most records in an archive file; about as many index entries in a merged range.
 FILE_RECORDS, RANGE_ENTRIES = 1_000, 100_000
+#: Payloads of more bytes go to archives of their own, which hold about so many bytes at most (or one record).
+LARGE_BYTES, FILE_BYTES = 500_000, 500_000_000
 #: Capture time of pages that have none of their own.
 CAPTURED = "2024-01-01T00:00:00Z"
 
@@ -88,7 +90,7 @@ def _record(row: dict[str, Column]) -> Column:
     block = F.concat(status, F.when(revisit, F.lit("")).otherwise(row["payload"]))
     uri = F.regexp_replace(F.coalesce(row["url"], F.lit("")), r"[\r\n]", "")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    page = F.coalesce(row["page_id"].cast("string"), F.lit("none"))
+    page = F.coalesce(row["page_id"].cast("string"), F.concat(F.lit("none:"), row["payload_digest"]))
     return F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", row["record_type"]),
         line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), page, F.lit(">"))),
@@ -107,8 +109,13 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     """Write the pages as WARC files under ``path``."""
     captured = F.lit(CAPTURED) if captured is None else captured
     rows = with_record_types(pages, id_col, url_col, html_col, captured, least_bytes)
-    (rows.select(_record({c: F.col(c) for c in rows.columns}).alias("value"))
-     .write.option("lineSep", _END).option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    most = pages.agg(F.max(F.octet_length(F.col(html_col)))).first()[0] or 0
+    large = F.col("payload_bytes") > LARGE_BYTES
+    # an archive is read by one task, as one value
+    sizes = [(~large, FILE_RECORDS), (large, max(1, FILE_BYTES // most))] if most > LARGE_BYTES else [(F.lit(True), FILE_RECORDS)]
+    for some, records in sizes:
+        (rows.where(some).select(_record({c: F.col(c) for c in rows.columns}).alias("value"))
+         .write.mode("append").option("lineSep", _END).option("maxRecordsPerFile", records).text(path))
 
 
 def walk_records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -139,7 +146,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
         import pyarrow as pa
 
-        page_of = lambda x: int(x[10:-1]) if x and x != "<urn:page:none>" else None
+        page_of = lambda x: int(x[10:-1]) if x and not x.startswith("<urn:page:none:") else None
         fields = _arrow_schema().names[:-2]
         for batch in batches:
             for name, content in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
