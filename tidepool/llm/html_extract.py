@@ -279,25 +279,23 @@ def _host(url):
 
 
 def site_templates(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = TEMPLATE_PAGES) -> DataFrame:
-    """(host, templates array<bigint>) from (host, html)."""
+    """(host, templates array<bigint>) from (page_id, host, html); of the pages of one body the first one counts."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            hosts, votes, hashes, seen = [], [], [], set()
-            for host, page in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
+            ids, hosts, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            for page in batch.column(2).to_pylist():
                 root = parse(page)
-                vote = body_sketch(root)
-                own = [h for h in {0, *subtree_hashes(root)} if (host, vote, h) not in seen]  # 0 counts the bodies
-                seen.update((host, vote, h) for h in own)
-                hosts += [host] * len(own)
-                votes += [vote] * len(own)
-                hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(votes, pa.int64()), pa.array(hashes, pa.int64())],
-                                             ["host", "vote", "hash"])
-
-    counts = (pages.mapInArrow(run, "host string, vote long, hash long").distinct().groupBy("host", "hash")
+                found.append((body_sketch(root), sorted({0, *subtree_hashes(root)})))  # 0 counts the bodies
+            votes, hashes = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hosts, pa.string()), pa.array(votes, pa.int64()),
+                                              pa.array(hashes, pa.list_(pa.int64()))], ["page_id", "host", "vote", "hashes"])
+
+    bodies = (pages.select("page_id", "host", "html").mapInArrow(run, "page_id long, host string, vote long, hashes array<long>")
+              .groupBy("host", "vote").agg(F.min(F.struct("page_id", "hashes")).alias("first")))
+    counts = (bodies.select("host", F.explode("first.hashes").alias("hash")).groupBy("host", "hash")
               .agg(F.count("*").alias("n")).where(F.col("n") >= least))
     counts = written(counts, "html-subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
@@ -310,7 +308,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     ship(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"), _host(F.col(url_col)).alias("host"))
-    templates = written(site_templates(rows.select("host", "html")), "html-templates")
+    templates = written(site_templates(rows.select("page_id", "host", "html")), "html-templates")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
