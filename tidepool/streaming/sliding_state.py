@@ -2,10 +2,11 @@
 
 The state of a key is its current count and a slot for each tick that still lies
 in the window or ahead of the watermark. An event adds to its slot. Once the
-watermark has passed a tick, a timer adds its slot to the count; one window later
-another takes it out again and frees the slot. So an event costs a constant
-number of state accesses whatever the window's length, and the state is bounded by
-the window and the watermark's delay.
+watermark has passed a tick, the key's timer adds its slot to the count; one window
+later it takes it out again and frees the slot. The slots lie in blocks of ticks, so
+a micro-batch reads and writes a block once however many of its ticks change: a file
+that holds years costs calls of the state store by its blocks, not by its rows. The
+state is bounded by the window and the watermark's delay.
 
 What comes out are the changes of the step function (``sliding_sums``), final as
 of the watermark. A row whose tick is past already is not dropped but kept as a
@@ -19,71 +20,163 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidepool.operators.windows import parse_seconds, sliding_sums
-from tidepool.streaming.state_job import StateJob, watermarked
+from tidepool.streaming.state_job import StateJob, in_order, lists, packed, watermarked
 
+#: Ticks in one value of the state.
+BLOCK = 10_000
+#: A block: its ticks ascending, how many rows each has, and how many of the ticks are counted.
+SLOTS = "ticks array<bigint>, n array<bigint>, counted int"
 CHANGE = "key string, salt int, kind string, tick bigint, arrived bigint, gone bigint, n bigint"
 
+_NONE = np.zeros(0, dtype=np.int64)
+
 
 class Ring(StatefulProcessor):
-    """Rows (tick) of a key -> its ticks: rows that ``arrived`` and have ``gone``, and ``n`` in the window from then on."""
+    """Rows (ticks, n) of a key -> its ticks: rows that ``arrived`` and have ``gone``, and ``n`` in the window from then on.
+
+    The slots lie in blocks of BLOCK ticks; in a block those that are counted come first, as the watermark passes ticks
+    in their order. The key has one timer, for its next change.
+    """
 
     def __init__(self, window: int, tick: int):
         self.window, self.tick = window, tick
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", "tick bigint", "n bigint, counted boolean")
-        self.count = handle.getValueState("count", "n bigint, tick bigint")
+        self.slots = handle.getMapState("slots", "tick bigint", SLOTS)
+        self.count = handle.getValueState("count", "n bigint, due_ms bigint")
 
     def _passed(self, tick: int) -> int:
         """When the watermark has passed a tick, in milliseconds."""
         return (tick + self.tick) * 1000
 
+    def _last_passed(self, watermark: int) -> int:
+        """The last second from which on a tick is ahead of the watermark."""
+        return watermark // 1000 - self.tick
+
+    def _block(self, begin: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ticks and counts of a block, and how many of them are counted."""
+        found = self.slots.getValue((begin,))
+        if found is None:
+            return _NONE, _NONE, 0
+        return np.array(found[0], dtype=np.int64), np.array(found[1], dtype=np.int64), found[2]
+
+    def _keep(self, begin: int, ticks: np.ndarray, n: np.ndarray, counted: int) -> None:
+        if len(ticks):
+            self.slots.updateValue((begin,), (ticks.tolist(), n.tolist(), counted))
+        else:
+            self.slots.removeKey((begin,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        fresh: dict[int, int] = {}
+        last = self._last_passed(timerValues.getCurrentWatermarkInMs())
+        ticks, counts, fresh = _NONE, _NONE, []
         for r in rows:
-            fresh[r.tick] = fresh.get(r.tick, 0) + r.n
-        for tick, n in sorted(fresh.items()):
-            if self._passed(tick) <= watermark:
-                yield Row(key=key[0], salt=key[1], kind="late", tick=tick, arrived=n, gone=0, n=None)
-                continue
-            slot = self.slots.getValue((tick,))
-            self.slots.updateValue((tick,), (n + (slot[0] if slot else 0), False))
-            if slot is None:
-                self.handle.registerTimer(self._passed(tick))
-                self.handle.registerTimer(self._passed(tick + self.window))
+            fresh.append((np.array(r.ticks, dtype=np.int64), np.array(r.n, dtype=np.int64)))
+            if sum(len(t) for t, _ in fresh) >= len(ticks):
+                ticks, counts, fresh = *_summed(ticks, counts, fresh), []
+        ticks, counts = _summed(ticks, counts, fresh)
+        late = int(np.searchsorted(ticks, last, "right"))
+        for tick, n in zip(ticks[:late].tolist(), counts[:late].tolist(), strict=True):
+            yield Row(key=key[0], salt=key[1], kind="late", tick=tick, arrived=n, gone=0, n=None)
+        ticks, counts = ticks[late:], counts[late:]
+        if not len(ticks):
+            return
+        size = BLOCK * self.tick
+        begins = ticks // size * size
+        edges = [0, *(np.flatnonzero(begins[1:] != begins[:-1]) + 1).tolist(), len(ticks)]
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            begin = int(begins[i])
+            old, n, counted = self._block(begin)
+            pending = _summed(np.concatenate((old[counted:], ticks[i:j])), np.concatenate((n[counted:], counts[i:j])))
+            self._keep(begin, np.concatenate((old[:counted], pending[0])), np.concatenate((n[:counted], pending[1])), counted)
+        due, now = self._passed(int(ticks[0])), self.count.get()
+        if now is None or due < now[1]:
+            self._wait(now[0] if now else 0, due, now[1] if now else None)
+
+    def _wait(self, n: int, due: int, before: int | None = None) -> None:
+        """The key's count and its timer."""
+        if before is not None:
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(due)
+        self.count.update((n, due))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        tick = expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.tick
-        n, last = self.count.get() or (0, tick - 1)
-        if tick <= last:
-            raise RuntimeError("timers of a key fire in the order of their times")
-        entering, leaving = self.slots.getValue((tick,)), self.slots.getValue((tick - self.window,))
-        arrived = entering[0] if entering and not entering[1] else 0
-        if arrived:
-            self.slots.updateValue((tick,), (arrived, True))
-        gone = leaving[0] if leaving else 0
-        if leaving:
-            self.slots.removeKey((tick - self.window,))
-        n += arrived - gone
-        if n == 0 and not arrived and not self.slots.exists():
-            self.count.clear()  # a key that has been away for a window costs nothing
+        last, size = self._last_passed(timerValues.getCurrentWatermarkInMs()), BLOCK * self.tick
+        n, due = self.count.get()[0], []
+        inside, inside_n = _NONE, _NONE  # counted, and still in the window
+        begins = sorted(k[0] for k in self.slots.keys())
+        for begin in [b for b in begins if b <= last]:
+            ticks, counts, counted = self._block(begin)
+            inside, inside_n = np.concatenate((inside, ticks[:counted])), np.concatenate((inside_n, counts[:counted]))
+            upto = min(last, begin + size - 1)
+            new = int(np.searchsorted(ticks, upto, "right"))
+            gone = int(np.searchsorted(inside, upto - self.window, "right"))
+            entering = ticks[counted:new], counts[counted:new]
+            leaving = inside[:gone] + self.window, inside_n[:gone]
+            inside, inside_n = np.concatenate((inside[gone:], entering[0])), np.concatenate((inside_n[gone:], entering[1]))
+            more = int(np.searchsorted(inside, upto - self.window, "right"))  # came and went within the block
+            leaving = np.concatenate((leaving[0], inside[:more] + self.window)), np.concatenate((leaving[1], inside_n[:more]))
+            inside, inside_n = inside[more:], inside_n[more:]
+            yield from self._changes(key, n, entering, leaving)
+            n += int(entering[1].sum() - leaving[1].sum())
+            out = int(np.searchsorted(ticks, last - self.window, "right"))
+            if out or new > counted:
+                self._keep(begin, ticks[out:], counts[out:], max(0, new - out))
+            due += [self._passed(int(t)) for t in ticks[new:new + 1]]
+        gone = int(np.searchsorted(inside, last - self.window, "right"))
+        yield from self._changes(key, n, (_NONE, _NONE), (inside[:gone] + self.window, inside_n[:gone]))
+        n -= int(inside_n[:gone].sum())
+        due += [self._passed(int(t) + self.window) for t in inside[gone:gone + 1]]
+        for begin in [b for b in begins if b > last][:1]:
+            due.append(self._passed(int(self._block(begin)[0][0])))
+        if due:
+            self._wait(n, min(due))
         else:
-            self.count.update((n, tick))
-        if arrived or gone:
-            yield Row(key=key[0], salt=key[1], kind="tick", tick=tick, arrived=arrived, gone=gone, n=n)
+            self.count.clear()  # a key that has been away for a window costs nothing
+
+    def _changes(self, key: tuple, n: int, entering: tuple, leaving: tuple) -> Iterator[Row]:
+        ticks = np.union1d(entering[0], leaving[0])
+        arrived, gone = np.zeros(len(ticks), dtype=np.int64), np.zeros(len(ticks), dtype=np.int64)
+        arrived[np.searchsorted(ticks, entering[0])] = entering[1]
+        gone[np.searchsorted(ticks, leaving[0])] = leaving[1]
+        for tick, a, g, m in zip(*(c.tolist() for c in (ticks, arrived, gone, n + np.cumsum(arrived - gone))), strict=True):
+            yield Row(key=key[0], salt=key[1], kind="tick", tick=tick, arrived=a, gone=g, n=m)
 
     def close(self) -> None:
         pass
 
 
+def _summed(ticks: np.ndarray, counts: np.ndarray, more=()) -> tuple[np.ndarray, np.ndarray]:
+    """Each tick once, ascending, with the sum of its counts."""
+    ticks, counts = np.concatenate((ticks, *(t for t, _ in more))), np.concatenate((counts, *(n for _, n in more)))
+    each, at = np.unique(ticks, return_inverse=True)
+    sums = np.zeros(len(each), dtype=np.int64)
+    np.add.at(sums, at, counts)
+    return each, sums
+
+
+def _counted(table):
+    """Rows (key, salt, tick) -> of each key its ticks and how many rows they have."""
+    import pyarrow as pa
+
+    table, new = in_order(table, "tick")
+    tick = table.column("tick").to_numpy()
+    each = new.copy()
+    each[1:] |= tick[1:] != tick[:-1]
+    at = np.flatnonzero(each)
+    keys, begins = np.flatnonzero(new), np.flatnonzero(new[at])
+    columns = [table.column(c).take(pa.array(keys)).combine_chunks() for c in ("key", "salt")]
+    columns += [lists(v, begins, len(at)) for v in (tick[at], np.diff(np.append(at, len(tick))))]
+    return pa.RecordBatch.from_arrays(columns, ["key", "salt", "ticks", "n"])
+
+
 class SlidingStateJob(StateJob):
     """A stream of keyed rows into ``base``: changes of their sliding counts, the ring in the checkpoint's state."""
 
@@ -99,8 +192,8 @@ class SlidingStateJob(StateJob):
         tick = F.floor(F.unix_timestamp(self.time_col) / self.tick) * self.tick
         timed, tick = watermarked(df, self.time_col, self.watermark, tick, beat_col)
         salt = F.pmod(F.xxhash64(id_col), F.lit(self.salts)).cast("int") if id_col else F.lit(0)
-        rows = timed.select(F.col(self.key).alias("key"), salt.alias("salt"), tick.alias("tick"), F.lit(1).cast("bigint").alias("n"))
-        changes = rows.where("tick IS NOT NULL").groupBy("key", "salt").transformWithState(
+        rows = timed.select(F.col(self.key).alias("key"), salt.alias("salt"), tick.cast("bigint").alias("tick")).where("tick IS NOT NULL")
+        changes = packed(rows, _counted, "key string, salt int, ticks array<bigint>, n array<bigint>").groupBy("key", "salt").transformWithState(
             Ring(self.window, self.tick), CHANGE, "Append", "EventTime")
 
         def run(batch_df: DataFrame, batch_id: int) -> DataFrame:
@@ -112,7 +205,9 @@ class SlidingStateJob(StateJob):
 
     def _ahead(self, spark: SparkSession, batch: int) -> DataFrame:
         """Of every key the slots in the state, with what they will add and take."""
-        return self.state(spark, "slots", batch).select("key.key", "key.salt", "user_map_key.tick", "user_map_value.n", "user_map_value.counted")
+        blocks = self.state(spark, "slots", batch)
+        slots = blocks.select("key.key", "key.salt", "user_map_value.counted", F.posexplode(F.arrays_zip("user_map_value.ticks", "user_map_value.n")))
+        return slots.select("key", "salt", F.col("col.ticks").alias("tick"), F.col("col.n").alias("n"), (F.col("pos") < F.col("counted")).alias("counted"))
 
     def steps(self, spark: SparkSession) -> DataFrame:
         """``(key, tick, n)``: the exact step function of all rows that the last committed batch has seen."""
