@@ -1,11 +1,12 @@
-"""Keyed state over a large file: calls of the state store by blocks and keys, not by rows."""
+"""Keyed state over a large file: calls of the state store by blocks and keys, not by rows, and no more than linear work."""
 
+import time
 from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
 
-from tidepool.streaming import sliding_state
+from tidepool.streaming import session_state, sliding_state
 
 
 class Handle:
@@ -70,3 +71,21 @@ def test_ring(steps):
     assert [(r.tick, r.arrived, r.gone, r.n) for r in out] == want
     assert not handle.timers and not handle.values["map"] and "value" not in handle.values
     assert handle.calls < 100 + 20 * steps
+
+
+def test_sessions():
+    us = [1_000_000_000 * i for i in range(5_000)] + [10**13 + 4_000_000_000 * i for i in range(5_000)]  # one that never rests; many of one
+    table = pa.table({"key": ["k"] * len(us), "salt": pa.array([0] * len(us), pa.int32()), "us": us, "id": range(len(us)), "item": [None, "/"] * 5_000})
+    batch = session_state._first_pieces(table, 1_800_000_000, 10)
+    out, handle = run(session_state.Sessions(1_800_000_000, 10, False), batch, [10**10 + 10**9 * i for i in range(25)])
+    assert [r.requests for r in out] == [5_000] + [1] * 5_000 and {r.kind for r in out} == {"closed"}
+    assert out[0].click_id == list(range(10)) and not handle.timers and not handle.values["list"]
+    assert handle.calls < 150
+
+
+def test_a_long_session_is_joined_in_linear_time():
+    of = session_state.Sessions(1_800_000_000, 10, False)
+    pieces = [(i, i, 1, [(i, -i, None)]) for i in range(200_000)]
+    begin = time.process_time()
+    assert of._joined(pieces) == [(0, 199_999, 200_000, [(i, -i, None) for i in range(10)])]
+    assert time.process_time() - begin < 20  # lists copied for every request took minutes

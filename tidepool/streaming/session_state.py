@@ -20,8 +20,13 @@ together with the pieces of the batches up to it.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import partial
+from itertools import islice
+from operator import itemgetter
 
+import numpy as np
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -30,38 +35,63 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from tidepool.operators import sessions
 from tidepool.operators.sessions import CLICKSTREAM_LENGTH, SESSION_GAP
 from tidepool.operators.windows import parse_seconds
-from tidepool.streaming.state_job import StateJob, watermarked
+from tidepool.streaming.state_job import StateJob, in_order, lists, packed, watermarked
 
 WATERMARK = "10 minutes"
 CLICKS = "click_us array<bigint>, click_id array<bigint>, click_item array<string>"
-OPEN = f"last_us bigint, requests bigint, {CLICKS}"
+OPEN = f"start_us bigint, last_us bigint, requests bigint, {CLICKS}"
+#: Pieces of a key as lists; ``clicks``: how many each has of the clicks.
+FIRST = f"key string, salt int, start_us array<bigint>, last_us array<bigint>, requests array<bigint>, clicks array<bigint>, {CLICKS}"
+#: Pieces of a key that are joined, and sessions that are written, at a time.
+ROWS_AT_ONCE = 10_000
 PIECE = f"key string, salt int, kind string, start_us bigint, end_us bigint, requests bigint, {CLICKS}"
 
 
 class Sessions(StatefulProcessor):
-    """Rows (us, id, item) of a key -> pieces; the state holds its open sessions by their start."""
+    """Rows (pieces of a few requests) of a key -> pieces; the state holds its open sessions as one list, by their start.
+
+    A micro-batch reads and writes a key's list once, and the key has one timer, for the session that ends first: what
+    a row or a session costs is its share of a sort, not a call of the state store.
+    """
 
     def __init__(self, gap_us: int, n: int, show_open: bool):
         self.gap_us, self.n, self.show_open = gap_us, n, show_open
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "start_us bigint", OPEN)
+        self.open = handle.getListState("open", OPEN)
 
     def _read(self) -> list[tuple]:
         """(start, last, requests, first clicks) of the open sessions."""
-        return [(k[0], v[0], v[1], list(zip(v[2], v[3], v[4], strict=True))) for k, v in self.open.iterator()]
+        return [(v[0], v[1], v[2], list(zip(v[3], v[4], v[5], strict=True))) for v in self.open.get()]
+
+    def _first(self, clicks: list) -> list:
+        return sorted(clicks, key=_place)[:self.n]
 
     def _joined(self, pieces: list[tuple]) -> list[tuple]:
         """Pieces less than a gap apart become one."""
-        out: list[tuple] = []
-        for start, last, requests, clicks in sorted(pieces, key=lambda p: p[:2]):
+        out: list[list] = []
+        for start, last, requests, clicks in sorted(pieces, key=itemgetter(0, 1)):
             if out and start < out[-1][1] + self.gap_us:
-                s, end, m, before = out[-1]
-                out[-1] = (s, max(end, last), m + requests, [*before, *clicks])
+                piece = out[-1]
+                piece[1] = max(piece[1], last)
+                piece[2] += requests
+                piece[3] += clicks
+                if len(piece[3]) > 8 * self.n + 64:  # a session may have any number of requests
+                    piece[3] = self._first(piece[3])
             else:
-                out.append((start, last, requests, clicks))
-        return [(s, e, m, sorted(c, key=_place)[:self.n]) for s, e, m, c in out]
+                out.append([start, last, requests, [*clicks]])
+        return [(s, e, m, self._first(c)) for s, e, m, c in out]
+
+    def _united(self, pieces: list[tuple], rows) -> list[tuple]:
+        """The pieces and those of the rows, joined; of the rows a part at a time."""
+        fresh = []
+        for r in rows:
+            clicks = iter(zip(r.click_us, r.click_id, r.click_item, strict=True))
+            fresh += [(s, e, m, [*islice(clicks, k)]) for s, e, m, k in zip(r.start_us, r.last_us, r.requests, r.clicks, strict=True)]
+            if len(fresh) >= max(ROWS_AT_ONCE, len(pieces)):
+                pieces, fresh = self._joined(pieces + fresh), []
+        return self._joined(pieces + fresh)
 
     def _expiry(self, last: int) -> int:
         return -(-(last + self.gap_us) // 1000)
@@ -73,39 +103,48 @@ class Sessions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = self._read()
-        fresh = [(r.us, r.us, 1, [(r.us, r.id, r.item)]) for r in rows]
         watermark = timerValues.getCurrentWatermarkInMs()
-        held = {p[0]: p for p in before}
-        now = {}
-        for piece in self._joined([*before, *fresh]):
+        held = [p[0] for p in before]
+        now = []
+        for piece in self._united(before, rows):
             start, last, *_ = piece
-            if self._expiry(last) <= watermark and not any(start <= s <= last for s in held):
+            if self._expiry(last) <= watermark and bisect_left(held, start) == bisect_right(held, last):
                 yield self._piece(key, "late", *piece)
             else:
-                now[start] = piece
-        self._write(held, now)
+                now.append(piece)
+        self._write(now)
+        due, then = self._due(before), self._due(now)
+        if due != then:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(then)
         if self.show_open:
-            yield from (self._piece(key, "open", *p) for p in now.values())
-
-    def _write(self, held: dict, now: dict) -> None:
-        timers = {self._expiry(p[1]) for p in now.values()}
-        for start, p in held.items():
-            if start not in now:
-                self.open.removeKey((start,))
-            if self._expiry(p[1]) not in timers:
-                self.handle.deleteTimer(self._expiry(p[1]))
-        for start, p in now.items():
-            if held.get(start) != p:
-                us, ids, items = map(list, zip(*p[3], strict=True)) if p[3] else ([], [], [])
-                self.open.updateValue((start,), (p[1], p[2], us, ids, items))
-                self.handle.registerTimer(self._expiry(p[1]))
+            yield from (self._piece(key, "open", *p) for p in now)
+
+    def _due(self, pieces: list[tuple]) -> int | None:
+        """When the first of them has timed out: the time of the key's timer."""
+        return min((self._expiry(p[1]) for p in pieces), default=None)
+
+    def _write(self, pieces: list[tuple]) -> None:
+        values = [(s, e, m, *(map(list, zip(*c, strict=True)) if c else ([], [], []))) for s, e, m, c in pieces]
+        if not values:
+            self.open.clear()
+            return
+        self.open.put(values[:ROWS_AT_ONCE])
+        for i in range(ROWS_AT_ONCE, len(values), ROWS_AT_ONCE):
+            self.open.appendList(values[i:i + ROWS_AT_ONCE])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        for start, last, requests, clicks in self._read():
-            if self._expiry(last) <= watermark:
-                self.open.removeKey((start,))
-                yield self._piece(key, "closed", start, last, requests, clicks)
+        left = []
+        for piece in self._read():
+            if self._expiry(piece[1]) <= watermark:
+                yield self._piece(key, "closed", *piece)
+            else:
+                left.append(piece)
+        self._write(left)
+        if left:
+            self.handle.registerTimer(self._due(left))
 
     def close(self) -> None:
         pass
@@ -116,6 +155,27 @@ def _place(click: tuple) -> tuple:
     return tuple((x is not None, x) for x in click)
 
 
+def _first_pieces(table, gap_us: int, n: int):
+    """Rows (key, salt, us, id, item) -> of each key the pieces that they make, and all their clicks one after the other."""
+    import pyarrow as pa
+
+    table, new = in_order(table, "us", "id", "item")
+    us = table.column("us").to_numpy()
+    begin = new.copy()
+    begin[1:] |= us[1:] >= us[:-1] + gap_us
+    at = np.flatnonzero(begin)
+    requests = np.diff(np.append(at, len(us)))
+    place = np.arange(len(us)) - np.repeat(at, requests)
+    first = np.flatnonzero(place < n)
+    keys, begins = np.flatnonzero(new), np.flatnonzero(new[at])
+    clicks = np.minimum(requests, n)
+    columns = [table.column(c).take(pa.array(keys)).combine_chunks() for c in ("key", "salt")]
+    columns += [lists(v, begins, len(at)) for v in (us[at], us[at + requests - 1], requests, clicks)]
+    click_begins = (np.cumsum(clicks) - clicks)[begins]
+    columns += [lists(table.column(c).take(pa.array(first)), click_begins, len(first)) for c in ("us", "id", "item")]
+    return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FIRST.split(", ")])
+
+
 def _clicks() -> F.Column:
     return F.transform(F.arrays_zip("click_us", "click_id", "click_item"), lambda c: F.struct(
         c["click_us"].alias("us"), c["click_id"].alias("id"), c["click_item"].alias("item")))
@@ -136,8 +196,9 @@ class SessionStateJob(StateJob):
         rows = timed.select(
             F.col(self.key).alias("key"), F.pmod(F.xxhash64(self.id_col), F.lit(self.salts)).cast("int").alias("salt"),
             us.alias("us"), F.col(self.id_col).cast("bigint").alias("id"), F.col(self.item).alias("item"))
-        return rows.where("us IS NOT NULL").groupBy("key", "salt").transformWithState(
-            Sessions(parse_seconds(self.gap) * 1_000_000, self.n, show_open), PIECE, "Append", "EventTime")
+        gap_us = parse_seconds(self.gap) * 1_000_000
+        pieces = packed(rows.where("us IS NOT NULL"), partial(_first_pieces, gap_us=gap_us, n=self.n), FIRST)
+        return pieces.groupBy("key", "salt").transformWithState(Sessions(gap_us, self.n, show_open), PIECE, "Append", "EventTime")
 
     def start(self, visits: DataFrame, on_batch=None, available_now: bool = False, partitions: int | None = None,
               beat_col: str | None = None) -> StreamingQuery:
@@ -160,7 +221,7 @@ class SessionStateJob(StateJob):
 
     def open_pieces(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The state after ``batch_id``, through the state data source."""
-        return self.state(spark, "open", batch_id).select("key.key", "key.salt", "user_map_key.start_us", "user_map_value.*").withColumn(
+        return self.state(spark, "open", batch_id).select("key.key", "key.salt", "list_element.*").withColumn(
             "end_us", F.col("last_us") + parse_seconds(self.gap) * 1_000_000).select(*_columns())
 
     def pieces(self, spark: SparkSession) -> DataFrame:
