@@ -192,3 +192,18 @@ def test_substring_repeated_lines(spark):
     whole = {r.doc_id for r in found if (r.word_start, r.word_end, r.other_start, r.other_end, r.edits) == (30, 230, 77, 277, 0)}
     assert whole >= set(range(3, 21))
     assert len(found) <= 4 * 18
+
+
+def test_substring_holders_by_chance_hide_no_passage(spark):
+    """Documents 1 and 3 hold each seed of the passage in 8 of its words, with other words around; 2 and 4 hold the passage."""
+    passage = [f"w{i * i}" for i in range(70)]
+
+    def pieces(name):
+        return " ".join(f"{name}a{i} {name}b{i} {name}c{i} {' '.join(passage[i:i + 8])} {name}d{i} {name}e{i} {name}f{i}" for i in range(63))
+
+    def around(name):
+        return f"{' '.join(f'{name}{i}' for i in range(30))} {' '.join(passage)} {' '.join(f'{name}{i}' for i in range(30, 60))}"
+
+    rows = [(1, pieces("x")), (2, around("y")), (3, pieces("z")), (4, around("v"))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.word_start, r.word_end, r.other_id) for r in found} == {(2, 30, 100, 4), (4, 30, 100, 2)}
